@@ -43,9 +43,12 @@ def global_row_number(df: DataFrame, order_cols: Sequence[Column | str], name: s
         F.sum("_cnt").over(Window.partitionBy(F.lit(1))).alias("_total"))
     out = ranged.withColumn("_pid", pid).join(F.broadcast(offsets), "_pid")
     out = out.withColumn(name, F.col("_off") + local + 1)
+    drop = ["_pid", "_off", "_mid"]
     if total_name:
-        out = out.withColumnRenamed("_total", total_name)
-    return out.drop("_pid", "_off", "_mid", "_total")
+        out = out.withColumn(total_name, F.col("_total"))
+    if total_name != "_total":
+        drop.append("_total")
+    return out.drop(*drop)
 
 
 def kth_largest(df: DataFrame, value_col: str, k: int) -> Column:

@@ -177,12 +177,14 @@ dw AS (SELECT DISTINCT doc_id AS doc, word FROM (SELECT doc_id, unnest(string_sp
 dwf AS (SELECT * FROM dw WHERE word IN (SELECT word FROM dw GROUP BY word HAVING count(*) > (SELECT t FROM thr))),
 l2 AS (SELECT a.word AS w1, b.word AS w2, count(*) AS support FROM dwf a JOIN dwf b ON a.doc = b.doc AND a.word < b.word
        GROUP BY 1, 2 HAVING count(*) > (SELECT t FROM thr)),
-l3 AS (SELECT a.word AS w1, b.word AS w2, c.word AS w3, count(*) AS support
-       FROM dwf a JOIN dwf b ON a.doc = b.doc AND a.word < b.word JOIN dwf c ON c.doc = a.doc AND b.word < c.word
-       GROUP BY 1, 2, 3 HAVING count(*) > (SELECT t FROM thr)),
-l4 AS (SELECT a.word AS w1, b.word AS w2, c.word AS w3, d.word AS w4, count(*) AS support
-       FROM dwf a JOIN dwf b ON a.doc = b.doc AND a.word < b.word JOIN dwf c ON c.doc = a.doc AND b.word < c.word
-       JOIN dwf d ON d.doc = a.doc AND c.word < d.word
+o3 AS (SELECT a.doc, a.word AS w1, b.word AS w2, c.word AS w3
+       FROM dwf a JOIN dwf b ON a.doc = b.doc AND a.word < b.word
+       JOIN l2 p ON p.w1 = a.word AND p.w2 = b.word
+       JOIN dwf c ON c.doc = a.doc AND b.word < c.word),
+l3 AS (SELECT w1, w2, w3, count(*) AS support FROM o3 GROUP BY 1, 2, 3 HAVING count(*) > (SELECT t FROM thr)),
+l4 AS (SELECT o.w1, o.w2, o.w3, d.word AS w4, count(*) AS support
+       FROM o3 o JOIN l3 x ON x.w1 = o.w1 AND x.w2 = o.w2 AND x.w3 = o.w3
+       JOIN dwf d ON d.doc = o.doc AND o.w3 < d.word
        GROUP BY 1, 2, 3, 4 HAVING count(*) > (SELECT t FROM thr))
 """
 

@@ -31,7 +31,7 @@ SPLIT_VALID = 0.1         # next 10% -> validation
 NEIGHBORS = 10
 PAGERANK_ROUNDS = 10
 TOP_NODES = 20
-SUPPORT_FRACTION = 0.3    # minimum support = floor(0.3 * number of documents)
+SUPPORT_FRACTION = 0.12   # minimum support = floor(0.12 * number of documents)
 TOP_SETS = 10
 ALS_RANKS = (4, 8, 12)
 

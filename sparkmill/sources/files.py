@@ -29,7 +29,7 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
 
 def read_documents(spark: SparkSession, path: str) -> DataFrame:
     """One row per file: ``path``, ``text`` (whole content)."""
-    return (spark.read.option("wholetext", True).text(path)
+    return (spark.read.text(path, wholetext=True)
             .select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("text")))
 
 
@@ -66,7 +66,7 @@ def parse_log_lines(df: DataFrame, line_col: str = "raw", lenient: bool = False)
 def parse_edge_lines(lines: DataFrame, line_col: str = "value") -> DataFrame:
     """Drop lines containing '#', split on whitespace, keep the first two
     tokens; blank or one-token lines are dropped; edges are de-duplicated."""
-    toks = F.split(F.trim(F.col(line_col), " \t\r\n\f\u000b"), "[ \\t\\n\\r\\f\\x0B]+")
+    toks = F.split(F.trim(F.col(line_col), F.lit(" \t\r\n\f\u000b")), "[ \\t\\n\\r\\f\\x0B]+")
     return (lines.filter(~F.col(line_col).contains("#"))
             .select(toks.alias("_t"))
             .filter(F.size("_t") >= 2)

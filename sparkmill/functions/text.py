@@ -42,10 +42,11 @@ def simple_tokens(c) -> Column:
 def remove_stop_words(tokens: Column, stop_words: list[str]) -> Column:
     """Drop tokens found in a bounded stop-word list; keeps order and duplicates.
 
-    The list travels inside the plan as an array literal (it is a parameter of
-    bounded size, never data), so the check runs in the JVM per row.
+    The list travels inside the plan as literals (it is a parameter of bounded
+    size, never data); Catalyst turns the ``IN`` list into a hash set
+    (``InSet``), so each token costs one hash probe in the JVM.
     """
-    stop = F.array(*[F.lit(w) for w in sorted(set(stop_words))]) if stop_words else None
-    if stop is None:
+    words = sorted(set(stop_words))
+    if not words:
         return tokens
-    return F.filter(tokens, lambda t: ~F.array_contains(stop, t))
+    return F.filter(tokens, lambda t: ~t.isin(words))

@@ -268,6 +268,8 @@ def oracle_sql() -> dict[str, str]:
             f"UNION ALL SELECT 'user_cf', 'test', * FROM ({_rmse('upt', 'test')})"),
         "graph_edges": f"WITH {EDGES} SELECT src, dst FROM edges",
         "edge_degrees": f"WITH {EDGES} SELECT node, out_degree, in_degree FROM degs",
+        "adjacency": (f"WITH {EDGES} SELECT src, CAST(0 AS INTEGER) AS page, CAST(count(*) AS INTEGER) AS n_dst, "
+                      "array_to_string(list_sort(list(dst)), ' ') AS dsts FROM edges GROUP BY src"),
         "pagerank_ranks": f"WITH {PR} SELECT node, round(rank, 6) AS rank FROM {FINAL}",
         "pagerank_top20": (f"WITH {PR} SELECT node, round(rank, 6) AS rank FROM {FINAL} "
                            f"ORDER BY round(rank, 9) DESC, node LIMIT {Q.TOP_NODES}"),

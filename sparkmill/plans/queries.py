@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from sparkmill.operators import graph, itemsets, ratings as rt, recommend as rc, text, weblog
 from sparkmill.sources import tables
 from sparkmill.sources.files import parse_log_lines
+from sparkmill.session import checkpoint_dir
 from sparkmill.sources.stopwords import spark_stop_words
 
 # Parameters of the registered queries (scale-free where the data grows).
@@ -243,6 +244,11 @@ def edge_degrees(spark, d):
     return graph.degrees(tables.graph_edges(spark, d))
 
 
+def adjacency(spark, d):
+    adj = graph.adjacency(tables.graph_edges(spark, d))
+    return adj.select("src", "page", F.size("dsts").alias("n_dst"), F.array_join("dsts", " ").alias("dsts"))
+
+
 def _ranks(spark, d):
     return graph.pagerank(tables.graph_edges(spark, d), PAGERANK_ROUNDS)
 
@@ -256,7 +262,10 @@ def pagerank_top20(spark, d):
 
 
 def pagerank_node_report(spark, d):
-    edges = tables.graph_edges(spark, d)
+    # The derived graph feeds PageRank, the degree table and the neighbour
+    # ranks: write it once to the checkpoint folder.
+    checkpoint_dir(spark)
+    edges = tables.graph_edges(spark, d).checkpoint(eager=True)
     rep = graph.node_report(edges, graph.pagerank(edges, PAGERANK_ROUNDS), TOP_NODES)
     return rep.select("node", r6("rank").alias("rank"), "out_degree", "in_degree",
                       r6("avg_neighbor_rank").alias("avg_neighbor_rank"))
@@ -346,6 +355,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         ("method_comparison", method_comparison),
         ("graph_edges", graph_edges),
         ("edge_degrees", edge_degrees),
+        ("adjacency", adjacency),
         ("pagerank_ranks", pagerank_ranks),
         ("pagerank_top20", pagerank_top20),
         ("pagerank_node_report", pagerank_node_report),

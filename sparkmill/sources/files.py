@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sparkmill.functions.weblog import parse_log_line
+from sparkmill.functions.weblog import log_fields
 
 RATING_SCHEMA = T.StructType([
     T.StructField("user", T.IntegerType()),
@@ -53,14 +53,14 @@ def read_ratings_csv(spark: SparkSession, path: str, mode: str = "FAILFAST") ->
     return (spark.read.schema(RATING_SCHEMA).option("header", True).option("mode", mode).csv(path))
 
 
-def read_access_log(spark: SparkSession, path: str, lenient: bool = False) -> DataFrame:
+def read_access_log(spark: SparkSession, path: str, lenient: bool = False, compat: bool = True) -> DataFrame:
     """Access-log lines parsed into typed fields plus ``is_valid`` and ``raw``."""
-    return parse_log_lines(read_lines(spark, path).withColumnRenamed("value", "raw"), "raw", lenient)
+    return parse_log_lines(read_lines(spark, path).withColumnRenamed("value", "raw"), "raw", lenient, compat)
 
 
-def parse_log_lines(df: DataFrame, line_col: str = "raw", lenient: bool = False) -> DataFrame:
-    parsed = df.select(F.col(line_col).alias("raw"), parse_log_line(F.col(line_col), lenient).alias("_p"))
-    return parsed.select("_p.*", "raw")
+def parse_log_lines(df: DataFrame, line_col: str = "raw", lenient: bool = False,
+                    compat: bool = True) -> DataFrame:
+    return log_fields(df, line_col, lenient, compat)
 
 
 def parse_edge_lines(lines: DataFrame, line_col: str = "value") -> DataFrame:

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sparkmill.functions.text import clean_text, whitespace_tokens
-from sparkmill.functions.weblog import parse_log_line
+from sparkmill.functions.weblog import log_fields
 
 
 def stream_lines(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
@@ -33,8 +33,7 @@ def streaming_word_counts(lines: DataFrame, mode: str = "clean") -> DataFrame:
 def streaming_log_records(lines: DataFrame, lenient: bool = True) -> DataFrame:
     """Parsed access-log records from a line stream (lenient by default: a bad
     line must not stop a long-running query)."""
-    return lines.select(parse_log_line(F.col("value"), lenient).alias("_p"), F.col("value").alias("raw")) \
-                .select("_p.*", "raw")
+    return log_fields(lines, "value", lenient)
 
 
 def streaming_endpoint_status_counts(records: DataFrame) -> DataFrame:

@@ -44,3 +44,15 @@ def test_node_report(edges):
     assert rep["E"].avg_neighbor_rank is None and rep["E"].out_degree == 0
     assert rep["C"].in_degree == 3 and rep["C"].out_degree == 2
     assert list(rep) == ["C", "B", "A", "E"] or set(rep) == {"A", "B", "C", "E"}
+
+
+@pytest.mark.parametrize("page", [10_000, 1])
+def test_adjacency(edges, page):
+    rows = graph.adjacency(edges, page).collect()
+    lists = {}
+    for r in rows:
+        lists.setdefault(r.src, []).extend(r.dsts)
+        assert len(r.dsts) >= 1
+    assert {k: sorted(v) for k, v in lists.items()} == {"A": ["B", "C"], "B": ["C"], "C": ["A", "E"], "D": ["C"]}
+    if page == 10_000:
+        assert all(r.page == 0 for r in rows)

@@ -54,3 +54,9 @@ def test_strict_and_lenient_bad_size(spark):
     assert [r.is_valid for r in lenient] == [False, False]
     with pytest.raises(Exception):
         parse_log_lines(df, "raw", lenient=False).collect()
+
+
+def test_protocol_split_mode(spark):
+    df = spark.createDataFrame([(LINES[0],), (LINES[1],)], "raw string")
+    rows = parse_log_lines(df, "raw", compat=False).collect()
+    assert [(r.endpoint, r.protocol) for r in rows] == [("/a/b.html", "HTTP/1.0"), ("/x", "")]

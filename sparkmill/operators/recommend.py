@@ -25,19 +25,21 @@ def cosine_similarity(ratings: DataFrame, key: str = "item", over: str = "user",
     at least one ``over`` value, a < b.  sim = dot / (norm_a * norm_b) with
     norms over all ratings of each key; 0.0 when a norm is 0.
 
-    Pairs are formed per ``over`` group by the salted self-join of
-    ``pairs_within_groups`` (hot groups are split into bucket pairs) and summed
-    with partial aggregation right after the join, so the shuffle carries one
-    row per pair per map task."""
+    Plan: the per-key norm is attached to each rating first (a shuffle of the
+    ratings, not of the much larger pair table); pairs are formed per
+    ``over`` group by the salted self-join of ``pairs_within_groups`` (hot
+    groups are split into bucket pairs) and summed with partial aggregation
+    right after the join.  The similarity is computed straight out of that
+    aggregate, so the result stays hash-partitioned on (a, b) and a later
+    join on the canonical pair key does not move it."""
     a, b = f"{key}_1", f"{key}_2"
-    pairs = pairs_within_groups(ratings.select(over, key, "rating"), [over], key, carry=["rating"],
+    rated = ratings.select(over, key, "rating").join(norms(ratings, key), key)
+    pairs = pairs_within_groups(rated, [over], key, carry=["rating", "norm"],
                                 block_size=block_size, keep_group=False)
     dots = pairs.groupBy(a, b).agg(F.sum(F.col("rating_1") * F.col("rating_2")).alias("dot"),
-                                   F.count(F.lit(1)).alias("n_common"))
-    nrm = norms(ratings, key)
-    out = (dots.join(nrm.select(F.col(key).alias(a), F.col("norm").alias("_n1")), a)
-               .join(nrm.select(F.col(key).alias(b), F.col("norm").alias("_n2")), b))
-    return out.select(a, b, "dot", "n_common", cosine(F.col("dot"), F.col("_n1"), F.col("_n2")).alias("sim"))
+                                   F.count(F.lit(1)).alias("n_common"),
+                                   F.max("norm_1").alias("_n1"), F.max("norm_2").alias("_n2"))
+    return dots.select(a, b, "dot", "n_common", cosine(F.col("dot"), F.col("_n1"), F.col("_n2")).alias("sim"))
 
 
 def symmetric(sims: DataFrame, key: str = "item") -> DataFrame:
@@ -55,6 +57,20 @@ def nearest_neighbors(sims: DataFrame, n: int = 10, key: str = "item", digits: i
     return ranked.select(key, "other", "sim", "rank")
 
 
+def _weighted(cand: DataFrame, sims: DataFrame, key: str, group: list[str]) -> DataFrame:
+    """Join candidate (target, other) rows with the canonical similarity table
+    on (least, greatest) and form sum(sim * rating) / sum(sim) per group.
+    Only the candidate side is shuffled; the similarity table keeps the hash
+    partitioning of its aggregate."""
+    a, b = f"{key}_1", f"{key}_2"
+    keyed = cand.select(*group, "rating", F.least("target", "other").alias(a),
+                        F.greatest("target", "other").alias(b))
+    scored = keyed.join(sims.select(a, b, "sim"), [a, b])
+    agg = scored.groupBy(*group).agg(F.sum("sim").alias("_s"),
+                                     F.sum(F.col("sim") * F.col("rating")).alias("_sr"))
+    return agg.filter(F.col("_s") != 0).withColumn("prediction", F.col("_sr") / F.col("_s"))
+
+
 def item_based_predict(train: DataFrame, pairs: DataFrame, sims: DataFrame) -> DataFrame:
     """pred(u, i) = sum_j s(i, j) r(u, j) / sum_j s(i, j) over the items j the
     user rated in ``train``; no row when no such j is similar to i (or the
@@ -62,12 +78,8 @@ def item_based_predict(train: DataFrame, pairs: DataFrame, sims: DataFrame) -> D
     want = pairs.select("user", F.col("item").alias("target")).distinct()
     rated = train.select("user", F.col("item").alias("other"), "rating")
     cand = want.join(rated, "user")
-    sim = symmetric(sims, "item").withColumnRenamed("item", "target")
-    scored = cand.join(sim, ["target", "other"])
-    agg = scored.groupBy("user", "target").agg(F.sum("sim").alias("_s"),
-                                               F.sum(F.col("sim") * F.col("rating")).alias("_sr"))
-    return agg.filter(F.col("_s") != 0).select(
-        "user", F.col("target").alias("item"), (F.col("_sr") / F.col("_s")).alias("prediction"))
+    out = _weighted(cand, sims, "item", ["user", "target"])
+    return out.select("user", F.col("target").alias("item"), "prediction")
 
 
 def user_based_predict(train: DataFrame, pairs: DataFrame, sims: DataFrame) -> DataFrame:
@@ -76,12 +88,8 @@ def user_based_predict(train: DataFrame, pairs: DataFrame, sims: DataFrame) -> D
     want = pairs.select(F.col("user").alias("target"), "item").distinct()
     rated = train.select(F.col("user").alias("other"), "item", "rating")
     cand = want.join(rated, "item")
-    sim = symmetric(sims, "user").withColumnRenamed("user", "target")
-    scored = cand.join(sim, ["target", "other"])
-    agg = scored.groupBy("target", "item").agg(F.sum("sim").alias("_s"),
-                                               F.sum(F.col("sim") * F.col("rating")).alias("_sr"))
-    return agg.filter(F.col("_s") != 0).select(
-        F.col("target").alias("user"), "item", (F.col("_sr") / F.col("_s")).alias("prediction"))
+    out = _weighted(cand, sims, "user", ["target", "item"])
+    return out.select(F.col("target").alias("user"), "item", "prediction")
 
 
 def als_fit(train: DataFrame, rank: int = 8, max_iter: int = 5, reg: float = 0.1, seed: int = 5,

@@ -17,14 +17,23 @@ WHITESPACE_CLASS = "[ \\t\\n\\r\\f\\x0B]"
 NOT_KEPT_CLASS = "[^a-z0-9 \\t\\n\\r\\f\\x0B]"
 NON_WORD_RUN = "\\W+"
 
+# The same deletion in two cheap steps: drop every non-ASCII character with a
+# single-range class, then the ASCII characters outside the kept set with
+# translate (a per-character table lookup).  Java's regex engine is several
+# times slower on the negated multi-range class itself.
+_KEPT = set("abcdefghijklmnopqrstuvwxyz0123456789 \t\n\r\f\x0b")
+NON_ASCII_CLASS = "[^\\x00-\\x7F]"
+ASCII_NOT_KEPT = "".join(chr(c) for c in range(128) if chr(c) not in _KEPT)
+
 
 def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
 def clean_text(c) -> Column:
-    """Lower-case, then delete everything but a-z, 0-9 and whitespace."""
-    return F.regexp_replace(F.lower(_col(c)), NOT_KEPT_CLASS, "")
+    """Lower-case, then delete everything but a-z, 0-9 and whitespace
+    (``regexp_replace(lower(c), NOT_KEPT_CLASS, '')``, computed faster)."""
+    return F.translate(F.regexp_replace(F.lower(_col(c)), NON_ASCII_CLASS, ""), ASCII_NOT_KEPT, "")
 
 
 def whitespace_tokens(c) -> Column:

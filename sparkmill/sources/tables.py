@@ -28,6 +28,24 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+# Inputs up to this many rows may be re-spread over all cores before
+# CPU-heavy per-row work (regex cleaning, log parsing).
+SPREAD_MAX_ROWS = 5_000_000
+
+
+def spread(df: DataFrame, max_rows: int = SPREAD_MAX_ROWS) -> DataFrame:
+    """Round-robin a *small* input over ``spark.sql.shuffle.partitions`` tasks.
+
+    A file written as one parquet row group is read by one task, which then
+    runs all per-row regex work alone.  Large inputs arrive in many row groups
+    and are left untouched (re-shuffling them would only add I/O); for small
+    ones (row count from parquet footers) the extra shuffle is negligible."""
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    if parts <= 1 or df.count() > max_rows:
+        return df
+    return df.repartition(parts)
+
+
 def ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(user bigint, item bigint, rating double, ts bigint), one row per pair."""
     li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_quantity")
@@ -51,7 +69,7 @@ STATUS_BY_TYPE = {"click": 200, "purchase": 200, "view": 304, "signup": 302, "er
 
 def log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(event_id bigint, raw string): one access-log line per event."""
-    ev = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value", "props")
+    ev = spread(table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value", "props"))
     status = F.coalesce(*[F.when(F.col("event_type") == k, F.lit(v)) for k, v in STATUS_BY_TYPE.items()],
                         F.lit(500))
     key = F.get_json_object("props", "$.k").cast("int")
@@ -81,4 +99,4 @@ def graph_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "documents").select("doc_id", "text")
+    return spread(table(spark, sf_dir, "documents").select("doc_id", "text"))

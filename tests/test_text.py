@@ -54,3 +54,13 @@ def test_document_words_distinct(spark):
     clean = spark.createDataFrame([(1, "a b a"), (2, "")], "doc_id long, text string")
     got = sorted(map(tuple, text.document_words(clean).collect()))
     assert got == [(1, "a"), (1, "b")]
+
+
+def test_clean_text_equals_single_class_regex(spark):
+    from sparkmill.functions.text import NOT_KEPT_CLASS, clean_text
+
+    samples = ["Ünïcödé – ‘quotes’ & ÉÇ 😀 tab\there\x0bvt\x0cff\r\nCRLF", "İstanbul K-9 x_y", "", "plain"]
+    df = spark.createDataFrame([(s,) for s in samples], "t string")
+    rows = df.select(clean_text(F.col("t")).alias("a"),
+                     F.regexp_replace(F.lower("t"), NOT_KEPT_CLASS, "").alias("b")).collect()
+    assert all(r.a == r.b for r in rows)

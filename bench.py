@@ -40,6 +40,8 @@ def main() -> None:
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     only = [q for q in os.environ.get("BENCH_QUERIES", "").split(",") if q]
     extra = {"spark.checkpoint.dir": tempfile.mkdtemp(prefix="sparkmill-bench-ckpt-")}
+    if os.environ.get("BENCH_EVENT_LOG"):  # optional: stage timings for analysis
+        extra.update({"spark.eventLog.enabled": "true", "spark.eventLog.dir": os.environ["BENCH_EVENT_LOG"]})
     spark = build_session(f"local[{cpus}]", cpus * 2, "sparkmill-bench", extra)
     Q.word_count_clean_top20(spark, sf_dir).write.format("noop").mode("overwrite").save()  # warm-up
     times = {}

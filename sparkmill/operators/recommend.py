@@ -12,6 +12,7 @@ from sparkmill.functions.metrics import cosine
 from sparkmill.operators.ordering import top_n_per_group
 from sparkmill.operators.ratings import baseline_predict, rmse
 from sparkmill.operators.skew import DEFAULT_BLOCK_SIZE, pairs_within_groups
+from sparkmill.session import checkpoint_dir
 
 
 def norms(ratings: DataFrame, key: str) -> DataFrame:
@@ -93,13 +94,20 @@ def user_based_predict(train: DataFrame, pairs: DataFrame, sims: DataFrame) -> D
 
 
 def als_fit(train: DataFrame, rank: int = 8, max_iter: int = 5, reg: float = 0.1, seed: int = 5,
-            num_blocks: int = 4):
-    """Explicit-feedback ALS (``pyspark.ml``); ids must fit in 32-bit ints."""
+            num_blocks: int | None = None, checkpoint_interval: int = 10):
+    """Explicit-feedback ALS (``pyspark.ml``); ids must fit in 32-bit ints.
+
+    Blocks default to the cluster's parallelism (one factor block per core);
+    factors are checkpointed to the session's checkpoint folder every
+    ``checkpoint_interval`` iterations, which bounds lineage on long fits."""
     from pyspark.ml.recommendation import ALS
 
+    spark = train.sparkSession
+    checkpoint_dir(spark)
+    blocks = num_blocks or max(1, spark.sparkContext.defaultParallelism)
     als = ALS(rank=rank, maxIter=max_iter, regParam=reg, seed=seed, userCol="user", itemCol="item",
-              ratingCol="rating", coldStartStrategy="drop", numUserBlocks=num_blocks,
-              numItemBlocks=num_blocks, checkpointInterval=2)
+              ratingCol="rating", coldStartStrategy="drop", numUserBlocks=blocks,
+              numItemBlocks=blocks, checkpointInterval=checkpoint_interval)
     data = train.select(F.col("user").cast("int").alias("user"), F.col("item").cast("int").alias("item"),
                         "rating")
     return als.fit(data)

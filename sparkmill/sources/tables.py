@@ -20,6 +20,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sparkmill.session import checkpoint_dir
+
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations"]
 
@@ -43,7 +45,11 @@ def spread(df: DataFrame, max_rows: int = SPREAD_MAX_ROWS) -> DataFrame:
     parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     if parts <= 1 or df.count() > max_rows:
         return df
-    return df.repartition(parts)
+    # Materialised (reliable checkpoint): Catalyst pushes filters through a
+    # plain repartition, which would pull the regex work back into the single
+    # scan task; a checkpointed table is a leaf it cannot push below.
+    checkpoint_dir(df.sparkSession)
+    return df.repartition(parts).checkpoint(eager=True)
 
 
 def ratings(spark: SparkSession, sf_dir: str) -> DataFrame:

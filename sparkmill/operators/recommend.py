@@ -5,6 +5,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -123,15 +124,24 @@ def als_predict(model, pairs: DataFrame) -> DataFrame:
 
 def als_rank_search(train: DataFrame, valid: DataFrame, ranks: Sequence[int] = (4, 8, 12),
                     max_iter: int = 5, reg: float = 0.1, seed: int = 5) -> tuple[DataFrame, int]:
-    """Fit one model per rank on cached splits; train and validation RMSE per
-    rank; returns (table, best_rank) with the lowest validation RMSE."""
+    """Fit one model per rank; train and validation RMSE per rank (scored in
+    one pass over both splits); returns (table, best_rank) with the lowest
+    validation RMSE.  The training split is cached across the fits."""
     spark = train.sparkSession
+    train = train.select("user", "item", "rating").persist(StorageLevel.MEMORY_AND_DISK)
+    both = (train.withColumn("split", F.lit("train"))
+            .unionByName(valid.select("user", "item", "rating").withColumn("split", F.lit("valid"))))
     rows = []
-    for r in ranks:
-        model = als_fit(train, r, max_iter, reg, seed)
-        tr = rmse(als_predict(model, train), train).first()
-        va = rmse(als_predict(model, valid), valid).first()
-        rows.append((int(r), tr["rmse"], va["rmse"]))
+    try:
+        for r in ranks:
+            model = als_fit(train, r, max_iter, reg, seed)
+            scored = model.transform(both.select(F.col("user").cast("int").alias("user"),
+                                                 F.col("item").cast("int").alias("item"), "rating", "split"))
+            res = {x["split"]: x["rmse"] for x in scored.groupBy("split").agg(
+                F.sqrt(F.avg(F.pow(F.col("prediction") - F.col("rating"), 2))).alias("rmse")).collect()}
+            rows.append((int(r), res.get("train"), res.get("valid")))
+    finally:
+        train.unpersist()
     valid_rows = [x for x in rows if x[2] is not None]
     best = min(valid_rows, key=lambda x: x[2])[0] if valid_rows else int(ranks[0])
     table = spark.createDataFrame([(r, t, v, r == best) for r, t, v in rows],

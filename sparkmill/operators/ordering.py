@@ -20,9 +20,9 @@ def global_row_number(df: DataFrame, order_cols: Sequence[Column | str], name: s
        distributed sort; a hot leading key is split by the later keys);
     2. tag rows with their partition and local position and checkpoint, so the
        numbering is fixed on reliable storage and survives executor loss;
-    3. count rows per partition (one row per partition), prefix-sum these few
-       counts and add the offset to each local position via a broadcast join
-       of that bounded table.
+    3. count rows per partition -- one row per range partition, a bound we
+       choose, so it may come to the driver -- and add each partition's
+       offset as a literal array lookup: a plain projection, no join.
     """
     spark = df.sparkSession
     checkpoint_dir(spark)
@@ -34,21 +34,18 @@ def global_row_number(df: DataFrame, order_cols: Sequence[Column | str], name: s
                 .checkpoint(eager=True))
     pid = F.shiftrightunsigned(F.col("_mid"), _LOCAL_BITS)
     local = F.col("_mid").bitwiseAND(F.lit((1 << _LOCAL_BITS) - 1))
-    counts = ranged.groupBy(pid.alias("_pid")).agg(F.count(F.lit(1)).alias("_cnt"))
-    # At most `parts` rows: a window without partitioning is fine on this table.
-    w = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(
-        "_pid",
-        F.coalesce(F.sum("_cnt").over(w), F.lit(0)).alias("_off"),
-        F.sum("_cnt").over(Window.partitionBy(F.lit(1))).alias("_total"))
-    out = ranged.withColumn("_pid", pid).join(F.broadcast(offsets), "_pid")
-    out = out.withColumn(name, F.col("_off") + local + 1)
-    drop = ["_pid", "_off", "_mid"]
+    counts = {r["_pid"]: r["_cnt"] for r in
+              ranged.groupBy(pid.alias("_pid")).agg(F.count(F.lit(1)).alias("_cnt")).collect()}
+    n_slots = (max(counts) + 1) if counts else 1
+    offsets, run = [], 0
+    for p in range(n_slots):
+        offsets.append(run)
+        run += counts.get(p, 0)
+    offset = F.element_at(F.array(*[F.lit(o).cast("bigint") for o in offsets]), (pid + 1).cast("int"))
+    out = ranged.withColumn(name, offset + local + 1)
     if total_name:
-        out = out.withColumn(total_name, F.col("_total"))
-    if total_name != "_total":
-        drop.append("_total")
-    return out.drop(*drop)
+        out = out.withColumn(total_name, F.lit(run).cast("bigint"))
+    return out.drop("_mid")
 
 
 def kth_largest(df: DataFrame, value_col: str, k: int) -> Column:

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from sparkmill.functions.metrics import cosine
 from sparkmill.operators.ordering import top_n_per_group
 from sparkmill.operators.ratings import baseline_predict, rmse
-from sparkmill.operators.skew import DEFAULT_BLOCK_SIZE, pairs_within_groups
+from sparkmill.operators.skew import DEFAULT_BLOCK_SIZE, pairs_within_groups, salted_join
 from sparkmill.session import checkpoint_dir
 
 
@@ -73,23 +73,26 @@ def _weighted(cand: DataFrame, sims: DataFrame, key: str, group: list[str]) -> D
     return agg.filter(F.col("_s") != 0).withColumn("prediction", F.col("_sr") / F.col("_s"))
 
 
-def item_based_predict(train: DataFrame, pairs: DataFrame, sims: DataFrame) -> DataFrame:
+def item_based_predict(train: DataFrame, pairs: DataFrame, sims: DataFrame,
+                       block_size: int = DEFAULT_BLOCK_SIZE) -> DataFrame:
     """pred(u, i) = sum_j s(i, j) r(u, j) / sum_j s(i, j) over the items j the
     user rated in ``train``; no row when no such j is similar to i (or the
-    similarity sum is 0).  Work starts from the wanted pairs."""
+    similarity sum is 0).  Work starts from the wanted pairs; a user with many
+    ratings has them split into buckets (``salted_join``)."""
     want = pairs.select("user", F.col("item").alias("target")).distinct()
     rated = train.select("user", F.col("item").alias("other"), "rating")
-    cand = want.join(rated, "user")
+    cand = salted_join(rated, want, ["user"], "other", block_size)
     out = _weighted(cand, sims, "item", ["user", "target"])
     return out.select("user", F.col("target").alias("item"), "prediction")
 
 
-def user_based_predict(train: DataFrame, pairs: DataFrame, sims: DataFrame) -> DataFrame:
+def user_based_predict(train: DataFrame, pairs: DataFrame, sims: DataFrame,
+                       block_size: int = DEFAULT_BLOCK_SIZE) -> DataFrame:
     """pred(u, i) = sum_v s(u, v) r(v, i) / sum_v s(u, v) over the users v who
-    rated i in ``train``."""
+    rated i in ``train`` (an item with many raters is split into buckets)."""
     want = pairs.select(F.col("user").alias("target"), "item").distinct()
     rated = train.select(F.col("user").alias("other"), "item", "rating")
-    cand = want.join(rated, "item")
+    cand = salted_join(rated, want, ["item"], "other", block_size)
     out = _weighted(cand, sims, "user", ["target", "item"])
     return out.select(F.col("target").alias("user"), "item", "prediction")
 

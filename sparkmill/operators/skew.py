@@ -106,3 +106,27 @@ def pairs_within_groups(df: DataFrame, group_cols: Sequence[str], item_col: str,
         out.append(F.when(swap, F.col(f"_r_{c}")).otherwise(F.col(f"_l_{c}")).alias(f"{c}_1"))
         out.append(F.when(swap, F.col(f"_l_{c}")).otherwise(F.col(f"_r_{c}")).alias(f"{c}_2"))
     return joined.select(*out)
+
+
+def salted_join(split_side: DataFrame, other: DataFrame, keys: Sequence[str], salt_by: str,
+                block_size: int = DEFAULT_BLOCK_SIZE) -> DataFrame:
+    """Inner equi-join that stays balanced when a key is hot on both sides.
+
+    Keys with more than ``block_size`` rows on ``split_side`` are cut into
+    ceil(n / block_size) buckets by hash of ``salt_by``; the matching rows of
+    ``other`` are copied once per bucket.  Each join key then holds at most
+    about ``block_size`` rows of the split side, and ordinary keys are not
+    copied at all.  The result equals ``split_side.join(other, keys)``."""
+    keys = list(keys)
+    hot = (split_side.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+           .filter(F.col("_n") > block_size)
+           .select(*keys, F.ceil(F.col("_n") / block_size).cast("int").alias("_nb")))
+    small = small_or_none(hot)
+    hot_side = F.broadcast(small) if small is not None else hot
+    left = (split_side.join(hot_side, keys, "left")
+            .withColumn("_salt", F.pmod(F.xxhash64(F.col(salt_by)), F.coalesce(F.col("_nb"), F.lit(1))).cast("int"))
+            .drop("_nb"))
+    right = (other.join(hot_side, keys, "left")
+             .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_nb"), F.lit(1)) - 1)))
+             .drop("_nb"))
+    return left.join(right, keys + ["_salt"]).drop("_salt")

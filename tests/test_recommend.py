@@ -99,3 +99,23 @@ def test_als_unknown_ids_dropped(spark, train, test):
     got = {(r.user, r.item) for r in rc.als_predict(model, test).collect()}
     assert (9, 10) not in got and (1, 99) not in got
     assert (2, 20) in got
+
+
+@pytest.mark.parametrize("block", [1, 2])
+def test_cf_predictions_salted(spark, train, test, block):
+    isims = rc.cosine_similarity(train, "item", "user", block)
+    ip = {(r.user, r.item): r.prediction for r in rc.item_based_predict(train, test, isims, block).collect()}
+    assert close(ip[(2, 20)], 4.474301316) and close(ip[(1, 30)], 3.537078994) and len(ip) == 2
+    usims = rc.cosine_similarity(train, "user", "item", block)
+    up = {(r.user, r.item): r.prediction for r in rc.user_based_predict(train, test, usims, block).collect()}
+    assert close(up[(2, 20)], 1.443460939) and close(up[(1, 30)], 2.478269534) and len(up) == 2
+
+
+def test_salted_join_equals_join(spark):
+    from sparkmill.operators.skew import salted_join
+
+    left = spark.createDataFrame([(k, i) for k in range(3) for i in range(k * 7 + 1)], "k long, i long")
+    right = spark.createDataFrame([(k, j) for k in range(4) for j in range(3)], "k long, j long")
+    plain = sorted(map(tuple, left.join(right, "k").select("k", "i", "j").collect()))
+    salted = sorted(map(tuple, salted_join(left, right, ["k"], "i", 2).select("k", "i", "j").collect()))
+    assert plain == salted

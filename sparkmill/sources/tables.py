@@ -59,7 +59,9 @@ def ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
     joined = li.join(od, li.l_orderkey == od.o_orderkey)
     return (joined.groupBy(F.col("o_custkey").alias("user"), F.col("l_partkey").alias("item"))
             .agg(F.max(F.ceil(F.col("l_quantity") / 10)).cast("double").alias("rating"),
-                 F.max(F.unix_seconds(F.col("o_orderdate").cast("timestamp"))).alias("ts")))
+                 # unix_timestamp of a timestamp_ntz reads the wall clock as UTC,
+                 # independent of the session time zone.
+                 F.max(F.unix_timestamp("o_orderdate")).alias("ts")))
 
 
 def item_titles(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -95,6 +95,13 @@ def time_split(ratings: DataFrame, n_test: int | None = 100_000, n_valid: int |
     return numbered.withColumn("split", split).drop("_rn", "_total")
 
 
+def sort_by_time(ratings: DataFrame, newest_first: bool = False) -> DataFrame:
+    """Ratings in time order, ties by (user, item): a range-partitioned global
+    sort (``orderBy``), not a single-partition one."""
+    ts = F.col("ts").desc() if newest_first else F.col("ts").asc()
+    return ratings.orderBy(ts, F.col("user").asc(), F.col("item").asc())
+
+
 def split_counts(split_df: DataFrame) -> DataFrame:
     return split_df.groupBy("split").agg(F.count(F.lit(1)).alias("n"))
 

@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 DEFAULT_BLOCK_SIZE = 2000
@@ -28,8 +28,7 @@ def small_or_none(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFram
     rows = df.limit(max_rows + 1).collect()
     if len(rows) > max_rows:
         return None
-    spark = SparkSession.getActiveSession()
-    return spark.createDataFrame(rows, schema=df.schema)
+    return df.sparkSession.createDataFrame(rows, schema=df.schema)
 
 
 def checked_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> tuple[DataFrame, bool]:

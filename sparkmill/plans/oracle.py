@@ -192,6 +192,8 @@ l4 AS (SELECT o.w1, o.w2, o.w3, d.word AS w4, count(*) AS support
 def oracle_sql() -> dict[str, str]:
     sql = {
         "word_count_raw": _word_count("text"),
+        "word_count_lower": _word_count("lower(text)"),
+        "word_count_clean": _word_count(_clean_expr("text")),
         "word_count_lower_top10_ties": (
             f"WITH c AS ({_word_count('lower(text)')}) SELECT word, n FROM c "
             f"WHERE n >= (SELECT min(n) FROM (SELECT n FROM c ORDER BY n DESC LIMIT {Q.TOP_WORDS_TIES}))"),
@@ -251,6 +253,13 @@ def oracle_sql() -> dict[str, str]:
             "ORDER BY round(sim, 9) DESC, other) AS rank FROM isim_both) "
             f"SELECT item, other, round(sim, 6) AS sim, CAST(rank AS INTEGER) AS rank FROM ranked "
             f"WHERE rank <= {Q.NEIGHBORS}"),
+        "user_neighbors_top10": (
+            f"WITH {RATINGS}, {_sims('ratings', 'user', 'item', 'usim')}, "
+            "ranked AS (SELECT k AS \"user\", other, sim, row_number() OVER (PARTITION BY k "
+            "ORDER BY round(sim, 9) DESC, other) AS rank FROM usim_both) "
+            f"SELECT \"user\", other, round(sim, 6) AS sim, CAST(rank AS INTEGER) AS rank FROM ranked "
+            f"WHERE rank <= {Q.NEIGHBORS}"),
+        "ratings_by_time": f"WITH {RATINGS} SELECT * FROM ratings",
         "item_cf_predict": (
             f"WITH {SPLIT}, {_sims('train', 'item', 'user', 'isim')}, {_item_cf('test', 'ip')} "
             "SELECT \"user\", item, round(prediction, 6) AS prediction FROM ip"),

@@ -51,6 +51,14 @@ def word_count_raw(spark, d):
     return text.word_count(_docs(spark, d), "text", "raw")
 
 
+def word_count_lower(spark, d):
+    return text.word_count(_docs(spark, d), "text", "lower")
+
+
+def word_count_clean(spark, d):
+    return text.word_count(_docs(spark, d), "text", "clean")
+
+
 def word_count_lower_top10_ties(spark, d):
     return text.top_words_with_ties(text.word_count(_docs(spark, d), "text", "lower"), TOP_WORDS_TIES)
 
@@ -103,6 +111,13 @@ def _ratings(spark, d):
     return tables.ratings(spark, d)
 
 
+def _ratings_once(spark, d):
+    """Derived ratings written once to the checkpoint folder, for queries that
+    read them several times (norms, hot-group sizes, pairs)."""
+    checkpoint_dir(spark)
+    return _ratings(spark, d).checkpoint(eager=True)
+
+
 def ratings(spark, d):
     return _ratings(spark, d)
 
@@ -174,19 +189,29 @@ def _cos_out(df, key):
 
 
 def item_cosine(spark, d):
-    return _cos_out(rc.cosine_similarity(_ratings(spark, d), "item", "user"), "item")
+    return _cos_out(rc.cosine_similarity(_ratings_once(spark, d), "item", "user"), "item")
 
 
 def user_cosine(spark, d):
-    return _cos_out(rc.cosine_similarity(_ratings(spark, d), "user", "item"), "user")
+    return _cos_out(rc.cosine_similarity(_ratings_once(spark, d), "user", "item"), "user")
 
 
 def item_neighbors_top10(spark, d):
-    sims = rc.cosine_similarity(_ratings(spark, d), "item", "user")
+    sims = rc.cosine_similarity(_ratings_once(spark, d), "item", "user")
     nn = rc.nearest_neighbors(sims, NEIGHBORS, "item")
     return nn.select("item", "other", r6("sim").alias("sim"), F.col("rank").cast("int").alias("rank"))
 
 
+def user_neighbors_top10(spark, d):
+    sims = rc.cosine_similarity(_ratings_once(spark, d), "user", "item")
+    nn = rc.nearest_neighbors(sims, NEIGHBORS, "user")
+    return nn.select("user", "other", r6("sim").alias("sim"), F.col("rank").cast("int").alias("rank"))
+
+
+def ratings_by_time(spark, d):
+    return rt.sort_by_time(_ratings(spark, d))
+
+
 def item_cf_predict(spark, d):
     train, _, test = _splits(spark, d)
     sims = rc.cosine_similarity(train, "item", "user")
@@ -320,6 +345,8 @@ def frequent_sets_fpgrowth(spark, d):
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     name: fn for name, fn in [
         ("word_count_raw", word_count_raw),
+        ("word_count_lower", word_count_lower),
+        ("word_count_clean", word_count_clean),
         ("word_count_lower_top10_ties", word_count_lower_top10_ties),
         ("word_count_clean_top20", word_count_clean_top20),
         ("clean_documents", clean_documents),
@@ -347,6 +374,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         ("item_cosine", item_cosine),
         ("user_cosine", user_cosine),
         ("item_neighbors_top10", item_neighbors_top10),
+        ("user_neighbors_top10", user_neighbors_top10),
+        ("ratings_by_time", ratings_by_time),
         ("item_cf_predict", item_cf_predict),
         ("user_cf_predict", user_cf_predict),
         ("cf_rmse", cf_rmse),

@@ -19,18 +19,6 @@ DEFAULT_BLOCK_SIZE = 2000
 MAX_BROADCAST_ROWS = 200_000
 
 
-def small_or_none(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame | None:
-    """Return a driver-built copy of ``df`` when it has at most ``max_rows`` rows, else None.
-
-    The check reads at most ``max_rows + 1`` rows, so the driver never holds
-    more than the bound; callers broadcast the copy or fall back to a shuffle join.
-    """
-    rows = df.limit(max_rows + 1).collect()
-    if len(rows) > max_rows:
-        return None
-    return df.sparkSession.createDataFrame(rows, schema=df.schema)
-
-
 def checked_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> tuple[DataFrame, bool]:
     """Materialise ``df`` on reliable storage, count it, and return it with a
     broadcast hint only when it has at most ``max_rows`` rows.
@@ -48,12 +36,11 @@ def checked_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> tupl
 
 
 def join_hot_keys(df: DataFrame, hot: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Left-join a (usually tiny) per-key table; broadcast only when its size is checked."""
-    small = small_or_none(hot)
-    if small is not None:
-        return df.join(F.broadcast(small), list(keys), "left")
-    # Too many hot keys to ship: shuffle join; AQE splits skewed partitions of df.
-    return df.join(hot, list(keys), "left")
+    """Left-join a (usually tiny) per-key table; broadcast only when its size is checked.
+
+    Beyond the bound it is a shuffle join, and AQE splits skewed partitions of ``df``."""
+    hot_side, _ = checked_broadcast(hot)
+    return df.join(hot_side, list(keys), "left")
 
 
 def with_bucket_count(df: DataFrame, group_cols: Sequence[str], block_size: int,
@@ -120,8 +107,7 @@ def salted_join(split_side: DataFrame, other: DataFrame, keys: Sequence[str], sa
     hot = (split_side.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
            .filter(F.col("_n") > block_size)
            .select(*keys, F.ceil(F.col("_n") / block_size).cast("int").alias("_nb")))
-    small = small_or_none(hot)
-    hot_side = F.broadcast(small) if small is not None else hot
+    hot_side, _ = checked_broadcast(hot)
     left = (split_side.join(hot_side, keys, "left")
             .withColumn("_salt", F.pmod(F.xxhash64(F.col(salt_by)), F.coalesce(F.col("_nb"), F.lit(1))).cast("int"))
             .drop("_nb"))

@@ -289,9 +289,9 @@ def pagerank_top20(spark, d):
 def pagerank_node_report(spark, d):
     # The derived graph feeds PageRank, the degree table and the neighbour
     # ranks: write it once to the checkpoint folder.
-    checkpoint_dir(spark)
-    edges = tables.graph_edges(spark, d).checkpoint(eager=True)
-    rep = graph.node_report(edges, graph.pagerank(edges, PAGERANK_ROUNDS), TOP_NODES)
+    edges = graph.prepare_edges(tables.graph_edges(spark, d))
+    ranks = graph.pagerank(edges, PAGERANK_ROUNDS, assume_distinct=True)
+    rep = graph.node_report(edges, ranks, TOP_NODES, assume_distinct=True)
     return rep.select("node", r6("rank").alias("rank"), "out_degree", "in_degree",
                       r6("avg_neighbor_rank").alias("avg_neighbor_rank"))
 

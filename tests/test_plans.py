@@ -42,3 +42,15 @@ def test_entry(spark):
 def test_oracle_covers_queries():
     q, s = set(E.queries()), set(E.oracle_sql())
     assert s <= q and q - s == E.NO_ORACLE
+
+
+WINDOWED = {"item_neighbors_top10", "user_neighbors_top10"}
+
+
+@pytest.mark.parametrize("name", sorted(set(E.queries()) - SKIP))
+def test_windows_only_for_top_n_per_key(spark, name):
+    plan = _plan(E.queries()[name](spark, SF))
+    if name in WINDOWED:
+        assert "WindowGroupLimit" in plan and "SinglePartition" not in plan
+    else:
+        assert "Window" not in plan, name

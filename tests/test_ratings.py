@@ -44,3 +44,15 @@ def test_top_rated(spark):
     titles = spark.createDataFrame([(1, "A"), (2, "B"), (3, "C"), (4, "D")], "item long, title string")
     out = [(x.title, x.n_ratings) for x in rt.top_rated(r, titles, min_ratings=2, k=20).collect()]
     assert out == [("A", 3), ("C", 5), ("B", 5)]
+
+
+def test_random_split_partitions_rows(spark):
+    df = spark.range(3000).select(F.col("id").alias("user"), (F.col("id") % 11).alias("item"),
+                                  F.lit(3.0).alias("rating"))
+    parts = rt.random_split(df, (8, 1, 1), seed=0)
+    sizes = [p.count() for p in parts]
+    assert sum(sizes) == 3000 and sizes[0] > sizes[1] and sizes[0] > sizes[2]
+    ids = set()
+    for p in parts:
+        ids |= {r.user for r in p.select("user").collect()}
+    assert len(ids) == 3000

@@ -66,7 +66,7 @@ def hash_split(ratings: DataFrame, weights=(8, 1, 1), names=("train", "valid", "
 
 def random_split(ratings: DataFrame, weights=(8, 1, 1), seed: int = 0) -> list[DataFrame]:
     """``randomSplit`` as in the reference (depends on the input partitioning)."""
-    return ratings.randomSplit(list(weights), seed)
+    return ratings.randomSplit([float(w) for w in weights], seed)
 
 
 def time_split(ratings: DataFrame, n_test: int | None = 100_000, n_valid: int | None = 100_000,

@@ -119,3 +119,12 @@ def test_salted_join_equals_join(spark):
     plain = sorted(map(tuple, left.join(right, "k").select("k", "i", "j").collect()))
     salted = sorted(map(tuple, salted_join(left, right, ["k"], "i", 2).select("k", "i", "j").collect()))
     assert plain == salted
+
+
+def test_method_comparison_shape(spark, train, test):
+    valid = spark.createDataFrame([(3, 10, 3.0), (2, 30, 3.0)], "user long, item long, rating double")
+    out = rc.method_comparison(train, valid, test, ranks=(2,)).collect()
+    keys = {(r.method, r.split) for r in out}
+    assert keys == {(m, s) for m in ("als", "baseline", "item_cf", "user_cf") for s in ("valid", "test")}
+    base = {r.split: r for r in out if r.method == "baseline"}
+    assert close(base["test"].rmse, 0.367701076) and base["test"].n == 4

@@ -60,3 +60,14 @@ def test_protocol_split_mode(spark):
     df = spark.createDataFrame([(LINES[0],), (LINES[1],)], "raw string")
     rows = parse_log_lines(df, "raw", compat=False).collect()
     assert [(r.endpoint, r.protocol) for r in rows] == [("/a/b.html", "HTTP/1.0"), ("/x", "")]
+
+
+def test_struct_form_equals_projection(spark):
+    from pyspark.sql import functions as F
+
+    from sparkmill.functions.weblog import parse_log_line
+
+    df = spark.createDataFrame([(x,) for x in LINES], "raw string")
+    a = sorted(repr(tuple(r)) for r in df.select(parse_log_line("raw").alias("p"), "raw").select("p.*", "raw").collect())
+    b = sorted(repr(tuple(r)) for r in parse_log_lines(df, "raw").collect())
+    assert a == b

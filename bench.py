@@ -42,7 +42,8 @@ def main() -> None:
     extra = {"spark.checkpoint.dir": tempfile.mkdtemp(prefix="sparkmill-bench-ckpt-")}
     if os.environ.get("BENCH_EVENT_LOG"):  # optional: stage timings for analysis
         extra.update({"spark.eventLog.enabled": "true", "spark.eventLog.dir": os.environ["BENCH_EVENT_LOG"]})
-    spark = build_session(f"local[{cpus}]", cpus * 2, "sparkmill-bench", extra)
+    parts = int(os.environ.get("BENCH_PARTITIONS", str(cpus)))  # one shuffle partition per core at this size
+    spark = build_session(f"local[{cpus}]", parts, "sparkmill-bench", extra)
     Q.word_count_clean_top20(spark, sf_dir).write.format("noop").mode("overwrite").save()  # warm-up
     times = {}
     for name in only or HEADLINE:

@@ -1,7 +1,6 @@
 import math
 
 import pytest
-from pyspark.sql import functions as F
 
 from sparkmill.operators import ratings as rt
 from sparkmill.operators import recommend as rc

@@ -1,6 +1,5 @@
 import os
 
-from pyspark.sql import functions as F
 
 from sparkmill.operators import ratings as rt
 from sparkmill.sources import files, sinks

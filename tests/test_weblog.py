@@ -1,7 +1,6 @@
 import datetime
 
 import pytest
-from pyspark.sql import functions as F
 
 from sparkmill.operators import weblog
 from sparkmill.sources.files import parse_log_lines

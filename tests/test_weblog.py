@@ -62,8 +62,6 @@ def test_protocol_split_mode(spark):
 
 
 def test_struct_form_equals_projection(spark):
-    from pyspark.sql import functions as F
-
     from sparkmill.functions.weblog import parse_log_line
 
     df = spark.createDataFrame([(x,) for x in LINES], "raw string")

@@ -303,7 +303,7 @@ def _clean(spark, d):
 
 
 def min_support(spark, d) -> int:
-    n_docs = _docs(spark, d).count()
+    n_docs = tables.table(spark, d, "documents").count()
     return int(SUPPORT_FRACTION * n_docs)
 
 

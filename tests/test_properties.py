@@ -76,3 +76,26 @@ def test_pagerank_support_shrinks(spark, edges):
         if prev is not None:
             assert nodes <= prev
         prev = nodes
+
+
+@SETTINGS
+@given(st.lists(st.tuples(st.integers(0, 3), st.integers(0, 50), st.integers(0, 50)), min_size=0, max_size=60,
+                unique=True),
+       st.integers(1, 7))
+def test_global_row_number_is_a_dense_sorted_numbering(spark, rows, parts):
+    from sparkmill.operators.ordering import global_row_number
+
+    df = spark.createDataFrame(rows, "ts long, user long, item long")
+    out = global_row_number(df, ["ts", "user", "item"], "rn", parts, total_name="total").collect()
+    got = sorted((r.rn, r.ts, r.user, r.item) for r in out)
+    assert got == [(i + 1, *t) for i, t in enumerate(sorted(rows))]
+    assert all(r.total == len(rows) for r in out)
+
+
+def test_spread_keeps_rows(spark):
+    from sparkmill.sources.tables import spread
+
+    df = spark.range(1000).selectExpr("id", "cast(id % 7 as string) AS s")
+    out = spread(df)
+    assert out.rdd.getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert sorted(map(tuple, out.collect())) == sorted(map(tuple, df.collect()))

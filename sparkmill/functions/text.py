@@ -16,6 +16,8 @@ from pyspark.sql import functions as F
 WHITESPACE_CLASS = "[ \\t\\n\\r\\f\\x0B]"
 NOT_KEPT_CLASS = "[^a-z0-9 \\t\\n\\r\\f\\x0B]"
 NON_WORD_RUN = "\\W+"
+# Stop words travel inside the plan as literals; this bounds their size.
+MAX_STOP_WORDS = 100_000
 
 # The same deletion in two cheap steps: drop every non-ASCII character with a
 # single-range class, then the ASCII characters outside the kept set with
@@ -58,4 +60,6 @@ def remove_stop_words(tokens: Column, stop_words: list[str]) -> Column:
     words = sorted(set(stop_words))
     if not words:
         return tokens
+    if len(words) > MAX_STOP_WORDS:
+        raise ValueError(f"stop-word list has {len(words)} entries; at most {MAX_STOP_WORDS} travel in a plan")
     return F.filter(tokens, lambda t: ~t.isin(words))

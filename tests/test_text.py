@@ -64,3 +64,12 @@ def test_clean_text_equals_single_class_regex(spark):
     rows = df.select(clean_text(F.col("t")).alias("a"),
                      F.regexp_replace(F.lower("t"), NOT_KEPT_CLASS, "").alias("b")).collect()
     assert all(r.a == r.b for r in rows)
+
+
+def test_stop_word_list_is_bounded():
+    import pytest
+
+    from sparkmill.functions.text import MAX_STOP_WORDS, remove_stop_words
+
+    with pytest.raises(ValueError):
+        remove_stop_words(F.array(F.lit("a")), [str(i) for i in range(MAX_STOP_WORDS + 1)])

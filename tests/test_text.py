@@ -66,7 +66,7 @@ def test_clean_text_equals_single_class_regex(spark):
     assert all(r.a == r.b for r in rows)
 
 
-def test_stop_word_list_is_bounded():
+def test_stop_word_list_is_bounded(spark):
     import pytest
 
     from sparkmill.functions.text import MAX_STOP_WORDS, remove_stop_words

@@ -16,11 +16,19 @@ def _plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
+WINDOWED = {"item_neighbors_top10", "user_neighbors_top10"}
+
+
 @pytest.mark.parametrize("name", sorted(set(E.queries()) - SKIP))
-def test_no_python_or_cartesian(spark, name):
+def test_plan_shape(spark, name):
+    """No Python or Cartesian nodes; windows only in top-n-per-key queries, with a partial group limit."""
     plan = _plan(E.queries()[name](spark, SF))
     for bad in FORBIDDEN:
         assert bad not in plan, f"{name}: {bad}"
+    if name in WINDOWED:
+        assert "WindowGroupLimit" in plan and "SinglePartition" not in plan
+    else:
+        assert "Window" not in plan, name
 
 
 @pytest.mark.parametrize("name", ["word_count_clean_top20", "log_top_error_endpoints", "top_rated_items",
@@ -43,14 +51,3 @@ def test_oracle_covers_queries():
     q, s = set(E.queries()), set(E.oracle_sql())
     assert s <= q and q - s == E.NO_ORACLE
 
-
-WINDOWED = {"item_neighbors_top10", "user_neighbors_top10"}
-
-
-@pytest.mark.parametrize("name", sorted(set(E.queries()) - SKIP))
-def test_windows_only_for_top_n_per_key(spark, name):
-    plan = _plan(E.queries()[name](spark, SF))
-    if name in WINDOWED:
-        assert "WindowGroupLimit" in plan and "SinglePartition" not in plan
-    else:
-        assert "Window" not in plan, name

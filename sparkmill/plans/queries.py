@@ -25,7 +25,7 @@ TOP_ERRORS = 10
 TOP_404 = 20
 DAYS = 30
 INVALID_SAMPLE = 20
-MIN_RATINGS = 40          # reference: 500 on MovieLens; parts here have at most ~50 ratings
+MIN_RATINGS = 40          # library default 500; parts here have at most ~50 ratings
 TOP_RATED = 20
 SPLIT_TEST = 0.1          # oldest 10% of rating rows -> test
 SPLIT_VALID = 0.1         # next 10% -> validation

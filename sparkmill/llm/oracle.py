@@ -4,6 +4,25 @@ from __future__ import annotations
 
 SPACE_WORDS = r"regexp_extract_all({}, '[^\x20\x09-\x0D]+')"
 
+FOLD = "translate(coalesce({}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+ALNUM_WORDS = r"regexp_extract_all({}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+OP6 = f"""
+WITH d AS (SELECT doc_id, {ALNUM_WORDS.format(FOLD.format("text"))} AS words FROM documents),
+b AS (SELECT coalesce(CAST(item_id AS VARCHAR), 'null') AS item, {ALNUM_WORDS.format(FOLD.format("text"))} AS words FROM benchmark),
+bw AS (SELECT DISTINCT item, least(13, len(words)) AS k, array_to_string(words[s:s + least(13, len(words)) - 1], ' ') AS body
+       FROM (SELECT item, words, unnest(range(1, greatest(len(words) - 11, 2))) AS s FROM b WHERE len(words) > 0)),
+sizes AS (SELECT DISTINCT k FROM bw),
+dw AS (SELECT doc_id, k, s, array_to_string(words[s:s + k - 1], ' ') AS body
+       FROM (SELECT doc_id, words, k, unnest(range(1, len(words) - k + 2)) AS s FROM d, sizes WHERE len(words) >= k)),
+m AS (SELECT dw.doc_id, dw.s, dw.k, bw.item FROM dw JOIN bw USING (k, body)),
+hit AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(s, s + k)) AS p FROM m) GROUP BY doc_id),
+own AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS names FROM (SELECT DISTINCT doc_id, item FROM m) GROUP BY doc_id)
+SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(names, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(words) AS contaminated
+FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN own USING (doc_id)
+"""
+
 OP10 = f"""
 WITH w AS (SELECT doc_id, {SPACE_WORDS.format("coalesce(text, '')")} AS words FROM documents),
 win AS (SELECT doc_id, s, array_to_string(words[s:s + 34], ' ') AS body
@@ -18,5 +37,6 @@ FROM w LEFT JOIN hit USING (doc_id)
 """
 
 ORACLE = {
+    "op6_decontamination": OP6,
     "op10_substring_dedup": OP10,
 }

@@ -7,15 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkmill.llm import substring
+from sparkmill.llm import decontam, substring
 from sparkmill.sources.tables import table
 
 
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = decontam.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return out.drop("items", "spans")
+
+
 def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = substring.drop_repeated_passages(table(spark, sf_dir, "documents"))
     return out.drop("kept_text")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op6_decontamination": op6_decontamination,
     "op10_substring_dedup": op10_substring_dedup,
 }

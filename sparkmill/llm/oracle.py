@@ -4,6 +4,16 @@ from __future__ import annotations
 
 SPACE_WORDS = r"regexp_extract_all({}, '[^\x20\x09-\x0D]+')"
 
+OP2 = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS body FROM pages),
+q AS (SELECT page_id, strlen(body) AS n, sha1(body) AS digest FROM p),
+r AS (SELECT *, CASE WHEN n >= 1000 THEN max(page_id) OVER (PARTITION BY digest) ELSE page_id END AS lead FROM q)
+SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, digest AS payload_digest,
+       CASE WHEN lead = page_id THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN lead <> page_id THEN lead END AS refers_to
+FROM r
+"""
+
 FOLD = "translate(coalesce({}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 ALNUM_WORDS = r"regexp_extract_all({}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 
@@ -37,6 +47,7 @@ FROM w LEFT JOIN hit USING (doc_id)
 """
 
 ORACLE = {
+    "op2_warc_transactions": OP2,
     "op6_decontamination": OP6,
     "op10_substring_dedup": OP10,
 }

@@ -7,10 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkmill.llm import decontam, substring
+from sparkmill.llm import decontam, substring, warc
+from sparkmill.llm.store import folder, stored
 from sparkmill.sources.tables import table
 
 
+def op2_warc_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = folder(spark, "warc")
+    warc.write_archive(table(spark, sf_dir, "pages"), path)
+    captures = stored(warc.assemble(warc.read_records(spark, path, payloads=False)), "captures")
+    return warc.resolve_revisits(captures)
+
+
 def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = decontam.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return out.drop("items", "spans")
@@ -22,6 +30,7 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_warc_transactions": op2_warc_transactions,
     "op6_decontamination": op6_decontamination,
     "op10_substring_dedup": op10_substring_dedup,
 }

@@ -14,6 +14,15 @@ SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, digest AS payload_digest,
 FROM r
 """
 
+OP5 = """
+WITH v AS (SELECT row_number() OVER () AS uid, vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS e FROM embeddings
+           WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT q.uid, q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(CAST(q.e AS DOUBLE[]), CAST(c.e AS DOUBLE[])) AS BIGINT) AS score
+      FROM v q JOIN v c ON q.uid <> c.uid WHERE q.vec_id % 20 = 0),
+r AS (SELECT *, row_number() OVER (PARTITION BY uid ORDER BY score DESC, vec_id) AS rank FROM s)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank <= 20
+"""
+
 FOLD = "translate(coalesce({}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 ALNUM_WORDS = r"regexp_extract_all({}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 
@@ -48,6 +57,7 @@ FROM w LEFT JOIN hit USING (doc_id)
 
 ORACLE = {
     "op2_warc_transactions": OP2,
+    "op5_exact_topk": OP5,
     "op6_decontamination": OP6,
     "op10_substring_dedup": OP10,
 }

@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkmill.llm import decontam, substring, warc
+import public_tokenizers
+from sparkmill.llm import decontam, substring, tokenfile, topk, warc
 from sparkmill.llm.store import folder, stored
 from sparkmill.sources.tables import table
 
@@ -19,11 +20,22 @@ def op2_warc_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.resolve_revisits(captures)
 
 
+def op5_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = topk.quantised(table(spark, sf_dir, "embeddings"))
+    return topk.top_k(vectors, F.col("vec_id") % 20 == 0, k=20)
+
+
 def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = decontam.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return out.drop("items", "spans")
 
 
+def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = folder(spark, "tokens")
+    tokenfile.write_tokens(table(spark, sf_dir, "documents"), path, public_tokenizers.path("word_bpe_49k.json"))
+    return tokenfile.read_tokens(spark, path)
+
+
 def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = substring.drop_repeated_passages(table(spark, sf_dir, "documents"))
     return out.drop("kept_text")
@@ -31,6 +43,8 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_warc_transactions": op2_warc_transactions,
+    "op5_exact_topk": op5_exact_topk,
     "op6_decontamination": op6_decontamination,
+    "op7_token_files": op7_token_files,
     "op10_substring_dedup": op10_substring_dedup,
 }

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from sparkmill.llm import secrets
+
 SPACE_WORDS = r"regexp_extract_all({}, '[^\x20\x09-\x0D]+')"
 
 OP2 = """
@@ -42,6 +44,57 @@ SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hi
 FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN own USING (doc_id)
 """
 
+
+
+def _runs(name: str, pattern: str) -> str:
+    """Rows (doc_id, start, found) of the leftmost non-overlapping matches, by what stands between them."""
+    return f"""
+{name}_p AS (SELECT doc_id, string_split_regex(t, '{pattern}') AS gaps, regexp_extract_all(t, '{pattern}') AS found FROM d),
+{name} AS (SELECT doc_id, found[i] AS found, CAST(coalesce(list_sum(list_transform(gaps[:i], lambda x: length(x))), 0)
+                  + coalesce(list_sum(list_transform(found[:i - 1], lambda x: length(x))), 0) AS BIGINT) AS start
+           FROM (SELECT doc_id, gaps, found, unnest(range(1, len(found) + 1)) AS i FROM {name}_p))"""
+
+
+def _either(word: str) -> str:
+    return "".join(f"[{x}{x.upper()}]" for x in word)
+
+
+_KEYS = "|".join(map(_either, ("password", "passwd", "secret", "token"))) + f"|{_either('api')}_?{_either('key')}"
+_ASSIGN = f"""(?:{_KEYS})["'']?\\x20*[:=]\\x20*["'']?([A-Za-z0-9+/_.=-]+)"""
+
+
+def _entropy(k: int, c: secrets.CharacterClass) -> str:
+    """Every window's sum from its own histogram; islands of the flagged ones."""
+    allow = "^(" + "|".join(secrets.ALLOWED) + ")$"
+    return f"""
+{_runs(f"c{k}", f"{c.pattern}{{{c.window},}}").strip()},
+w{k} AS (SELECT doc_id, start, i, substr(found, i, {c.window}) AS body
+        FROM (SELECT *, unnest(range(1, length(found) - {c.window} + 2)) AS i FROM c{k} WHERE NOT regexp_matches(found, '{allow}'))),
+f{k} AS (SELECT doc_id, start + i - 1 AS s FROM w{k}
+        WHERE list_sum(list_transform(map_values(list_histogram(string_split(body, ''))), lambda n: {c.terms}[CAST(n AS BIGINT) + 1])) <= {c.most}),
+g{k} AS (SELECT doc_id, s, sum(CAST(fresh AS INT)) OVER (PARTITION BY doc_id ORDER BY s) AS island
+        FROM (SELECT *, s > coalesce(lag(s) OVER (PARTITION BY doc_id ORDER BY s), -1000) + {c.window} AS fresh FROM f{k})),
+e{k} AS (SELECT doc_id, {3 + k} AS o, '{c.kind}' AS kind, min(s) AS start, max(s) + {c.window} AS stop FROM g{k} GROUP BY doc_id, island)"""
+
+
+OP8 = f"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+{_runs("a", _ASSIGN).strip()},
+{_runs("k", secrets.ACCESS).strip()},
+{_runs("h", secrets.HEX).strip()},
+base AS (SELECT doc_id, 0 AS o, 'assign' AS kind, start, start + length(found) AS stop FROM a WHERE length(regexp_extract(found, '{_ASSIGN}', 1)) >= 6
+         UNION ALL SELECT doc_id, 1, 'access', start, start + length(found) FROM k WHERE length(found) >= 20
+         UNION ALL SELECT doc_id, 2, 'hex', start, start + length(found) FROM h WHERE length(found) >= 24),
+{", ".join(_entropy(k, c).strip() for k, c in enumerate(secrets.CLASSES))},
+every AS (SELECT * FROM base {" ".join(f"UNION ALL SELECT * FROM e{k}" for k in range(len(secrets.CLASSES)))}),
+b AS (SELECT doc_id, count(*) FILTER (o = 0) AS n_assign, count(*) FILTER (o = 1) AS n_access, count(*) FILTER (o = 2) AS n_hex,
+             string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY start, o) AS listed FROM base GROUP BY doc_id),
+s AS (SELECT doc_id, string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY start, o) AS spans FROM every GROUP BY doc_id)
+SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+       sha256(coalesce(listed, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM d LEFT JOIN b USING (doc_id) LEFT JOIN s USING (doc_id)
+"""
+
 OP10 = f"""
 WITH w AS (SELECT doc_id, {SPACE_WORDS.format("coalesce(text, '')")} AS words FROM documents),
 win AS (SELECT doc_id, s, array_to_string(words[s:s + 34], ' ') AS body
@@ -59,5 +112,6 @@ ORACLE = {
     "op2_warc_transactions": OP2,
     "op5_exact_topk": OP5,
     "op6_decontamination": OP6,
+    "op8_secret_scan": OP8,
     "op10_substring_dedup": OP10,
 }

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import public_tokenizers
-from sparkmill.llm import decontam, substring, tokenfile, topk, warc
+from sparkmill.llm import decontam, secrets, substring, tokenfile, topk, warc
 from sparkmill.llm.store import folder, stored
 from sparkmill.sources.tables import table
 
@@ -36,6 +36,10 @@ def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenfile.read_tokens(spark, path)
 
 
+def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.report(table(spark, sf_dir, "documents"))
+
+
 def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = substring.drop_repeated_passages(table(spark, sf_dir, "documents"))
     return out.drop("kept_text")
@@ -46,5 +50,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_exact_topk": op5_exact_topk,
     "op6_decontamination": op6_decontamination,
     "op7_token_files": op7_token_files,
+    "op8_secret_scan": op8_secret_scan,
     "op10_substring_dedup": op10_substring_dedup,
 }

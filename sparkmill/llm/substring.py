@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from sparkmill.llm import words as W
 
 _KIND = W.non_space(lower=False)
-_ROWS = "key long, doc_id long, text_hash long, pos int, n int"
+_ROWS = "key long, doc_id long, text_hash long, pos int, length int, n int"
 
 
 def levels(window: int, shortest: int = 9) -> list[int]:
@@ -71,21 +71,23 @@ def _parts(start: np.ndarray, anchor: np.ndarray, window: int, gram: int, length
 
 def _candidates(parts: np.ndarray, hashes: np.ndarray, ids, text_hash, first_word, doc) -> pa.RecordBatch | None:
     """Rows of a batch: n=1 to be judged, n=2 stands for two or more in this
-    batch, n=0 settled here (its key only spreads rows)."""
+    batch, n=0 a run of ``length`` parts settled here (its key only spreads rows)."""
     if not len(parts):
         return None
     _, inverse, counts = np.unique(hashes, return_inverse=True, return_counts=True)
     many = counts[inverse] > 1
     first = np.zeros(len(counts), dtype=np.int64)
     first[inverse[::-1]] = np.arange(len(parts))[::-1]
-    lead = first[counts > 1]
-    n = np.where(many, 0, 1).astype(np.int32)
-    key = np.where(many, W.mix(hashes + parts.astype(np.uint64)), hashes)
-    key, n = np.concatenate([key, hashes[lead]]), np.concatenate([n, np.full(len(lead), 2, dtype=np.int32)])
-    order = np.concatenate([np.arange(len(parts)), lead])
-    row, pos = doc[order], (parts[order] - first_word[doc[order]]).astype(np.int32)
-    return pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), ids.take(pa.array(row)), text_hash.take(pa.array(row)), pa.array(pos), pa.array(n)],
-                                      names=["key", "doc_id", "text_hash", "pos", "n"])
+    lead, single, settled = first[counts > 1], np.flatnonzero(~many), np.flatnonzero(many)
+    head = np.flatnonzero(np.concatenate([[True], (np.diff(parts[settled]) != 1) | (np.diff(doc[settled]) != 0)])) if len(settled) else settled
+    length = np.concatenate([np.ones(len(lead) + len(single), dtype=np.int64), np.diff(np.append(head, len(settled)))])
+    order = np.concatenate([lead, single, settled[head]])
+    n = np.repeat([2, 1, 0], [len(lead), len(single), len(head)])
+    key = np.where(n == 0, W.mix(hashes[order] + parts[order].astype(np.uint64)), hashes[order])
+    row = doc[order]
+    return pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), ids.take(pa.array(row)), text_hash.take(pa.array(row)),
+                                       pa.array((parts[order] - first_word[row]).astype(np.int32)), pa.array(length.astype(np.int32)), pa.array(n.astype(np.int32))],
+                                      names=["key", "doc_id", "text_hash", "pos", "length", "n"])
 
 
 def _judge(window: int, at: int):
@@ -120,57 +122,58 @@ def _judge(window: int, at: int):
 
 def _alive(batch: pa.RecordBatch, row: int, n: int, w: W.Words, size: int) -> np.ndarray:
     """Mask over the words of rows row..row+n: where a surviving part begins."""
-    positions = batch.column("positions").slice(row, n)
-    out = np.zeros(size, dtype=bool)
-    flat = positions.flatten().to_numpy(zero_copy_only=False)
-    count = positions.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
-    out[flat + np.repeat(w.first[:-1], count)] = True
-    return out
+    runs = batch.column("runs").slice(row, n)
+    flat = runs.flatten()
+    pos, length = (flat.field(k).to_numpy(zero_copy_only=False).astype(np.int64) for k in (0, 1))
+    count = runs.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+    at = pos + np.repeat(w.first[:-1], count)
+    edge = np.zeros(size + 1, dtype=np.int64)
+    np.add.at(edge, at, 1)
+    np.add.at(edge, at + length, -1)
+    return np.cumsum(edge[:-1]) > 0
+
+
+_FOUND = ["doc_id", "text_hash", "pos", "length"]
 
 
 def _repeated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows sorted by key: those whose key counts twice or more, and settled
-    ones.  Holds one row back between batches at most."""
-    last, total, pending = None, 0, None
+    runs.  A key's count goes on over batches; one row is held back at most."""
+    last, total, held = None, 0, None
     for batch in batches:
-        key = batch.column("key").to_numpy()
-        n = batch.column("n").to_numpy()
+        key, n = batch.column("key").to_numpy(), batch.column("n").to_numpy()
         if not len(key):
             continue
         head = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
         sums = np.add.reduceat(n, head).astype(np.int64)
-        carried = last is not None and key[0] == last
-        if carried:
+        if key[0] == last:
             sums[0] += total
+            if held is not None and sums[0] >= 2:
+                yield held
+                held = None
+        else:
+            held = None
         run = np.repeat(np.arange(len(head)), np.diff(np.append(head, len(key))))
-        take = (n == 0) | ((n == 1) & (sums[run] >= 2))
-        if pending is not None and carried and sums[0] >= 2:
-            yield pending
-            pending = None
-        elif pending is not None and not carried:
-            pending = None
-        yield batch.filter(pa.array(take)).select(["doc_id", "text_hash", "pos"])
-        if not (carried and len(head) == 1) or pending is None:
-            tail = batch.slice(int(head[-1]))
-            if sums[-1] < 2:
-                single = tail.filter(pa.array(tail.column("n").to_numpy() == 1)).select(["doc_id", "text_hash", "pos"])
-                pending = single if single.num_rows else pending if carried and len(head) == 1 else None
-            else:
-                pending = None
+        yield batch.filter(pa.array((n == 0) | ((n == 1) & (sums[run] >= 2)))).select(_FOUND)
+        if len(head) > 1:
+            held = None
+        alone = np.flatnonzero((n == 1) & (run == len(head) - 1))
+        if sums[-1] < 2 and len(alone):
+            held = batch.slice(int(alone[0]), 1).select(_FOUND)
         last, total = key[-1], int(sums[-1])
 
 
 def _survivors(candidates: DataFrame) -> DataFrame:
-    """Surviving parts of each text: (doc_id, text_hash, positions)."""
+    """Surviving parts of each text: (doc_id, text_hash, runs)."""
     found = (candidates.repartition("key").sortWithinPartitions("key")
-             .mapInArrow(_repeated, "doc_id long, text_hash long, pos int"))
-    return found.groupBy("doc_id", "text_hash").agg(F.collect_list("pos").alias("positions"))
+             .mapInArrow(_repeated, "doc_id long, text_hash long, pos int, length int"))
+    return found.groupBy("doc_id", "text_hash").agg(F.collect_list(F.struct("pos", "length")).alias("runs"))
 
 
 def _joined(texts: DataFrame, survivors: DataFrame, how: str) -> DataFrame:
-    s = survivors.select(F.col("doc_id").alias("s_doc_id"), F.col("text_hash").alias("s_text_hash"), "positions")
+    s = survivors.select(F.col("doc_id").alias("s_doc_id"), F.col("text_hash").alias("s_text_hash"), "runs")
     return (texts.join(s, texts.doc_id.eqNullSafe(s.s_doc_id) & (texts.text_hash == s.s_text_hash), how)
-            .select("doc_id", "text_hash", "text", "positions"))
+            .select("doc_id", "text_hash", "text", "runs"))
 
 
 def _cut(window: int):
@@ -179,7 +182,7 @@ def _cut(window: int):
             n_words, removed, digests, kept_texts = [], [], [], []
             for row, data, offsets in W.chunks(batch.column("text")):
                 w = W.split(data, offsets, _KIND)
-                alive = _alive(batch, row, len(offsets) - 1, w, len(w.hash) + 1)[:len(w.hash)]
+                alive = _alive(batch, row, len(offsets) - 1, w, len(w.hash))
                 covered = np.zeros(len(w.hash) + 1, dtype=np.int64)
                 hit = np.flatnonzero(alive)
                 np.add.at(covered, hit, 1)

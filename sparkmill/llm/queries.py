@@ -8,11 +8,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import public_tokenizers
-from sparkmill.llm import decontam, secrets, substring, tokenfile, topk, warc
+from sparkmill.llm import decontam, secrets, substring, tokenfile, topk, toxicity, warc
 from sparkmill.llm.store import folder, stored
 from sparkmill.sources.tables import table
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
+
+
 def op2_warc_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = folder(spark, "warc")
     warc.write_archive(table(spark, sf_dir, "pages"), path)
@@ -46,6 +51,7 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_toxicity": op1_toxicity,
     "op2_warc_transactions": op2_warc_transactions,
     "op5_exact_topk": op5_exact_topk,
     "op6_decontamination": op6_decontamination,

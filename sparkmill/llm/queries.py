@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import public_tokenizers
-from sparkmill.llm import decontam, secrets, substring, tokenfile, topk, toxicity, warc
+from sparkmill.llm import decontam, quality, secrets, substring, tokenfile, topk, toxicity, warc
 from sparkmill.llm.store import folder, stored
 from sparkmill.sources.tables import table
 
@@ -45,6 +45,11 @@ def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.report(table(spark, sf_dir, "documents"))
 
 
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return quality.score(docs, quality.fit(docs, table(spark, sf_dir, "labels")))
+
+
 def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = substring.drop_repeated_passages(table(spark, sf_dir, "documents"))
     return out.drop("kept_text")
@@ -57,5 +62,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_decontamination": op6_decontamination,
     "op7_token_files": op7_token_files,
     "op8_secret_scan": op8_secret_scan,
+    "op9_quality": op9_quality,
     "op10_substring_dedup": op10_substring_dedup,
 }

@@ -28,6 +28,19 @@ SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank
 FOLD = "translate(coalesce({}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 ALNUM_WORDS = r"regexp_extract_all({}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 
+OP3 = f"""
+WITH RECURSIVE w AS (SELECT doc_id, {SPACE_WORDS.format(FOLD.format("text"))} AS words FROM documents),
+sh AS (SELECT DISTINCT doc_id, array_to_string(words[s:s + 3], ' ') AS g
+       FROM (SELECT doc_id, words, unnest(range(1, greatest(len(words) - 2, 2))) AS s FROM w WHERE len(words) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM sh GROUP BY doc_id),
+common AS (SELECT a.doc_id AS u, b.doc_id AS v, count(*) AS k FROM sh a JOIN sh b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY ALL),
+link AS (SELECT u, v FROM common JOIN n x ON x.doc_id = u JOIN n y ON y.doc_id = v WHERE 100 * k >= 85 * (x.n + y.n - k)),
+edge AS (SELECT u, v FROM link UNION ALL SELECT v, u FROM link),
+reach AS (SELECT doc_id AS a, doc_id AS b FROM w UNION SELECT reach.a, edge.v FROM reach JOIN edge ON reach.b = edge.u)
+SELECT w.doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, min(b) AS component_id
+FROM w LEFT JOIN n USING (doc_id) JOIN reach ON reach.a = w.doc_id GROUP BY ALL
+"""
+
 OP6 = f"""
 WITH d AS (SELECT doc_id, {ALNUM_WORDS.format(FOLD.format("text"))} AS words FROM documents),
 b AS (SELECT coalesce(CAST(item_id AS VARCHAR), 'null') AS item, {ALNUM_WORDS.format(FOLD.format("text"))} AS words FROM benchmark),
@@ -110,6 +123,7 @@ FROM w LEFT JOIN hit USING (doc_id)
 
 ORACLE = {
     "op2_warc_transactions": OP2,
+    "op3_ngram_jaccard": OP3,
     "op5_exact_topk": OP5,
     "op6_decontamination": OP6,
     "op8_secret_scan": OP8,

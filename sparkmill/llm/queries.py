@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import public_tokenizers
-from sparkmill.llm import decontam, quality, secrets, substring, tokenfile, topk, toxicity, warc
+from sparkmill.llm import decontam, jaccard, quality, secrets, substring, tokenfile, topk, toxicity, warc
 from sparkmill.llm.store import folder, stored
 from sparkmill.sources.tables import table
 
@@ -25,6 +25,10 @@ def op2_warc_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.resolve_revisits(captures)
 
 
+def op3_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.link(table(spark, sf_dir, "documents")).drop("text_hash")
+
+
 def op5_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = topk.quantised(table(spark, sf_dir, "embeddings"))
     return topk.top_k(vectors, F.col("vec_id") % 20 == 0, k=20)
@@ -58,6 +62,7 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_warc_transactions": op2_warc_transactions,
+    "op3_ngram_jaccard": op3_ngram_jaccard,
     "op5_exact_topk": op5_exact_topk,
     "op6_decontamination": op6_decontamination,
     "op7_token_files": op7_token_files,

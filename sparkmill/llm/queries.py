@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import public_tokenizers
-from sparkmill.llm import decontam, jaccard, quality, secrets, substring, tokenfile, topk, toxicity, warc
+from sparkmill.llm import decontam, jaccard, quality, secrets, segment, substring, tokenfile, topk, toxicity, warc
 from sparkmill.llm.store import folder, stored
 from sparkmill.sources.tables import table
 
@@ -29,6 +29,19 @@ def op3_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.link(table(spark, sf_dir, "documents")).drop("text_hash")
 
 
+def op4_sampled_segmentation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return segmentations(table(spark, sf_dir, "documents"))
+
+
+def segmentations(docs: DataFrame) -> DataFrame:
+    """Sampled segmentations of every text, decoded again and compared with it."""
+    model = public_tokenizers.path("piece_bpe_32k.model")
+    crc = docs.select("doc_id", "text", F.crc32(F.coalesce("text", F.lit("")).cast("binary")).alias("crc"))
+    samples = segment.encode(crc, model, keep=("crc",))
+    out = segment.decode(samples, model, digest=True)
+    return out.withColumn("round_trip", F.col("text_crc32") == F.col("crc")).drop("text_crc32", "crc")
+
+
 def op5_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = topk.quantised(table(spark, sf_dir, "embeddings"))
     return topk.top_k(vectors, F.col("vec_id") % 20 == 0, k=20)
@@ -63,6 +76,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_warc_transactions": op2_warc_transactions,
     "op3_ngram_jaccard": op3_ngram_jaccard,
+    "op4_sampled_segmentation": op4_sampled_segmentation,
     "op5_exact_topk": op5_exact_topk,
     "op6_decontamination": op6_decontamination,
     "op7_token_files": op7_token_files,

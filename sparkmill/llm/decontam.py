@@ -263,3 +263,11 @@ def search(index: DataFrame, items: DataFrame, window: int = 13, slop: int | Non
 def contamination(docs: DataFrame, items: DataFrame, window: int = 13) -> DataFrame:
     """Index the documents for the items and search them for exact phrases."""
     return search(build_index(docs, items), items, window)
+
+
+def keep_uncontaminated(docs: DataFrame, items: DataFrame, window: int = 13, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs``, all columns, that are not contaminated."""
+    key = "__row_key"  # of a row's id and text; the same for repeated rows
+    keyed = docs.withColumn(key, F.xxhash64(F.col(id_col).cast("long"), F.xxhash64(text_col)))
+    found = search(build_index(keyed, items, key, text_col), items, window)
+    return keyed.join(found.filter("contaminated").select(F.col("doc_id").alias(key)).distinct(), key, "left_anti").drop(key)

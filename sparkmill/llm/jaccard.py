@@ -300,8 +300,8 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 # ------------------------------------------------------------------------ the join
 def link(docs: DataFrame, shingle: int = 4, percent: int = 85, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, text_hash, n_shingles, component_id) of every row; texts whose sets have a Jaccard
-    similarity of ``percent`` or more, directly or through others, share a component."""
+    """(doc_id, text_hash, n_shingles, component_id, root) of every row; texts whose sets have a Jaccard
+    similarity of ``percent`` or more, directly or through others, share a component.  ``root`` names it (null for an empty set)."""
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text_col).alias("text_hash"),
                         F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     brief = stored(texts.mapInArrow(_summaries(shingle), "doc_id long, text_hash long, n long, name long, map binary, recurs long"), "sets")
@@ -337,7 +337,20 @@ def link(docs: DataFrame, shingle: int = 4, percent: int = 85, id_col: str = "do
     roots = components(near.unionByName(far)).select(F.col("node").alias("name"), "root")
     classes = classes.select("name", "first_id").join(roots, "name", "left").withColumn("root", F.coalesce("root", "name"))
     least = classes.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    labels = stored(classes.join(least, "root").select(F.col("name").alias("l_name"), "component_id"), "labels")
+    labels = stored(classes.join(least, "root").select(F.col("name").alias("l_name"), "component_id", "root"), "labels")
     own = F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("component_id"))
     return (sets.join(labels, (sets.name == labels.l_name) & (sets.n > 0), "left")
-            .select("doc_id", "text_hash", F.col("n").alias("n_shingles"), own.alias("component_id")))
+            .select("doc_id", "text_hash", F.col("n").alias("n_shingles"), own.alias("component_id"), "root"))
+
+
+def keep_one(docs: DataFrame, shingle: int = 4, percent: int = 85, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs`` with one row of each component, that of the smallest id; texts without words stay."""
+    linked = link(docs, shingle, percent, id_col, text_col)
+    row = F.struct(F.col("doc_id").isNull(), "doc_id", "text_hash")
+    chosen = (linked.filter("root is not null").groupBy("root").agg(F.min(row).alias("r")).select("r.doc_id", "r.text_hash"))
+    key = "__row_key"  # of a row's id and text; the same for repeated rows
+    keys = chosen.select(F.xxhash64("doc_id", "text_hash").alias(key))
+    keyed = docs.withColumn(key, F.xxhash64(F.col(id_col).cast("long"), F.xxhash64(text_col)))
+    empty = ~F.coalesce(F.col(text_col), F.lit("")).rlike("[^\\x20\\x09-\\x0D]")
+    with_words = keyed.filter(~empty).join(keys, key, "left_semi").dropDuplicates([key])
+    return with_words.unionByName(keyed.filter(empty)).drop(key)

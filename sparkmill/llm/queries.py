@@ -26,7 +26,7 @@ def op2_warc_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard.link(table(spark, sf_dir, "documents")).drop("text_hash")
+    return jaccard.link(table(spark, sf_dir, "documents")).drop("text_hash", "root")
 
 
 def op4_sampled_segmentation(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -174,3 +174,14 @@ def redacted(text: Column, spans: Column, mark: str = "[secret]") -> Column:
 
     done = F.aggregate(spans, start, step, lambda st: F.concat(st["out"], F.substring(text, st["at"] + 1, F.char_length(text))))
     return F.when(F.size(spans) > 0, done).otherwise(text)
+
+
+def redact(docs: DataFrame, text_col: str = "text", length_col: str | None = "n_chars") -> DataFrame:
+    """``docs``, all columns, with secrets replaced in the text, and its length set anew where that changed it."""
+    found = scan(docs.select(F.struct("*").alias("row"), F.col(text_col).alias("text")))
+    found = found.withColumn("clean", redacted(F.col("text"), F.col("secret_spans")))
+    changed = F.size("secret_spans") > 0
+    own = {text_col: F.col("clean")}
+    if length_col in docs.columns:
+        own[length_col] = F.when(changed, F.char_length("clean").cast(docs.schema[length_col].dataType)).otherwise(F.col("row")[length_col])
+    return found.select(*[own.get(c, F.col("row")[c]).alias(c) for c in docs.columns])

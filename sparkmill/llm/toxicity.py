@@ -204,3 +204,16 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
 
     lean = docs.select(F.col(id_col).cast("long").alias("doc_id"), held_out(id_col).alias("held_out"), F.col(text_col).alias("text"))
     return lean.mapInArrow(rows, "doc_id long, held_out boolean, score double, predicted int")
+
+
+def keep_clean(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
+    """The rows of ``docs``, all columns, whose text is not predicted toxic."""
+    sent, at = docs.sparkSession.sparkContext.broadcast(model), docs.columns.index(text_col)
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        distances = sent.value.distances()
+        for batch in batches:
+            s = sent.value.score(sent.value.features(batch.column(at), distances))
+            yield batch.filter(pa.array(s < 0.5))
+
+    return docs.mapInArrow(rows, docs.schema)

@@ -131,7 +131,7 @@ def choose_boundary(sizes: pd.DataFrame, meeting: float, percent: int) -> int:
     subsets, lists = sets * prefix * (prefix + 1) / 2, sets * prefix * (1 + _PARTNER_COST * meeting)
     best, cost = 0, lists.sum()
     for b in n:
-        c = subsets[n <= b].sum() + lists[100 * n >= percent * (b + 1)].sum()
+        c = subsets[n <= b].sum() + (lists[100 * n >= percent * (b + 1)].sum() if (n > b).any() else 0.0)
         if c < cost:
             best, cost = int(b), c
         if subsets[n <= b].sum() > cost:
@@ -140,7 +140,7 @@ def choose_boundary(sizes: pd.DataFrame, meeting: float, percent: int) -> int:
 
 
 # ------------------------------------------------------------------------ postings
-def _postings(shingle: int, percent: int, order: np.ndarray, boundary: int):
+def _postings(shingle: int, percent: int, order: np.ndarray, boundary: int, largest: int):
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             seen: set[int] = set()
@@ -156,7 +156,7 @@ def _postings(shingle: int, percent: int, order: np.ndarray, boundary: int):
                 place = np.lexsort(((rank << _U64(58)) | (W.mix(h) >> _U64(6)), doc))
                 h = h[place]
                 prefix = sizes - need(sizes, percent) + 1
-                small, listed = fresh & (sizes <= boundary) & (sizes > 1), fresh & (100 * sizes >= percent * (boundary + 1))
+                small, listed = fresh & (sizes <= boundary) & (sizes > 1), fresh & (100 * sizes >= percent * (boundary + 1)) & (largest > boundary)
                 at = np.arange(len(h)) - first[doc]
                 one = np.flatnonzero(listed[doc] & (at < prefix[doc]))
                 keys, owner = [W.mix(h[one] ^ _U64(5))], [doc[one]]
@@ -313,7 +313,7 @@ def link(docs: DataFrame, shingle: int = 4, percent: int = 85, id_col: str = "do
     again = recurring.agg(F.sum("recurs")).first()[0] or 0
     boundary = choose_boundary(sizes, min(1.0, again / max(total, 1.0)), percent)
 
-    posted = texts.mapInArrow(_postings(shingle, percent, _order(recurring), boundary), "key long, name long, n long")
+    posted = texts.mapInArrow(_postings(shingle, percent, _order(recurring), boundary, int(sizes["n"].max()) if len(sizes) else 0), "key long, name long, n long")
     shared = posted.repartition("key").sortWithinPartitions("key", "name").mapInArrow(_shared, "key long, name long, n long")
     place = F.row_number().over(Window.partitionBy("key").orderBy("n", "name")) - 1
     lists = stored(shared.withColumn("block", F.floor(place / BLOCK)).join(classes.select("name", "map"), "name"), "lists")

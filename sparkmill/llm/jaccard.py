@@ -15,7 +15,7 @@ more often the later (the order may be any; counts only make it cheap).
 The boundary is chosen by cost from the histogram of set sizes: postings of either kind,
 and the partners that an inverted list is expected to bring.
 
-Lists with two classes or more are scanned in blocks.  A parity map of 1024 bits per
+Lists with two classes or more are scanned in blocks.  A parity map of 512 bits per
 class bounds the difference of two sets from below, which rules out most pairs.
 Round one takes, for each class, its few nearest partners in a block, verifies them
 against the whole sets and joins what links into components.  Round two takes every pair,
@@ -42,9 +42,11 @@ from sparkmill.llm.components import components
 from sparkmill.llm.store import stored
 
 _KIND = W.non_space(lower=True)
-_MAP_BITS = 10
-_ORDER_BITS = 20
+_MAP_BITS = 9
+_ORDER_BITS, _SLICE_BITS = 22, 12
+_OFTEN = 4
 BLOCK = 2048
+SMALL = 16
 NEAREST = 4
 _PARTNER_COST = 8.0
 _U64 = np.uint64
@@ -81,7 +83,7 @@ def _classes(sizes: np.ndarray, first: np.ndarray, h: np.ndarray) -> np.ndarray:
 
 
 def _maps(sizes: np.ndarray, h: np.ndarray) -> np.ndarray:
-    """Parity map per set: each shingle flips one of 1024 bits."""
+    """Parity map per set: each shingle flips one of 512 bits."""
     bit = (W.mix(h ^ _U64(3)) >> _U64(64 - _MAP_BITS)).astype(np.int64) + np.repeat(np.arange(len(sizes)), sizes) * (1 << _MAP_BITS)
     spots, times = np.unique(bit, return_counts=True)
     out = np.zeros(len(sizes) << _MAP_BITS, dtype=np.uint8)
@@ -113,13 +115,21 @@ def _summaries(shingle: int):
 
 # ------------------------------------------------------------------------ order and boundary
 def _order(recurring: DataFrame) -> np.ndarray:
-    """By the top bits of a shingle: log2 of the largest count there.  At most 2**20 bytes."""
-    counts = recurring.groupBy("name").agg(F.sum("recurs").alias("times"))
+    """By the top bits of a shingle: log2 of the largest count there, from ``_OFTEN`` on.  2**22 bytes,
+    gathered as slices."""
+    counts = recurring.groupBy("name").agg(F.sum("recurs").alias("times")).filter(F.col("times") >= _OFTEN)
     slot = F.shiftrightunsigned("name", 64 - _ORDER_BITS)
-    top = counts.groupBy(slot.alias("slot")).agg(F.max(F.floor(F.log2("times")).cast("int")).alias("rank")).toPandas()
-    out = np.zeros(1 << _ORDER_BITS, dtype=np.uint8)
-    out[top["slot"].to_numpy(dtype=np.int64)] = np.minimum(top["rank"].to_numpy(dtype=np.int64), 63)
-    return out
+    top = counts.groupBy(slot.alias("slot")).agg(F.max(F.floor(F.log2("times"))).cast("int").alias("rank"))
+
+    def pack(group: pd.DataFrame) -> pd.DataFrame:  # at most 2**12 rows
+        part = np.zeros(1 << _SLICE_BITS, dtype=np.uint8)
+        part[group["slot"].to_numpy(dtype=np.int64) & ((1 << _SLICE_BITS) - 1)] = np.minimum(group["rank"].to_numpy(dtype=np.int64), 63)
+        return pd.DataFrame({"slice": [int(group["slot"].iloc[0]) >> _SLICE_BITS], "ranks": [part.tobytes()]})
+
+    out = np.zeros((1 << (_ORDER_BITS - _SLICE_BITS), 1 << _SLICE_BITS), dtype=np.uint8)
+    for r in top.groupBy(F.shiftright("slot", _SLICE_BITS).alias("at")).applyInPandas(pack, "slice long, ranks binary").collect():
+        out[r["slice"]] = np.frombuffer(r["ranks"], dtype=np.uint8)
+    return out.reshape(-1)
 
 
 def choose_boundary(sizes: pd.DataFrame, meeting: float, percent: int) -> int:
@@ -175,27 +185,30 @@ def _postings(shingle: int, percent: int, order: np.ndarray, boundary: int, larg
     return rows
 
 
-def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of rows sorted by (key, name): one per pair, of keys with two names or more."""
-    held = None  # the last row's key and name, and its row if it is not out yet
-    for batch in batches:
-        key, name = batch.column("key").to_numpy(), batch.column("name").to_numpy()
-        if not len(key):
-            continue
-        fresh = np.concatenate([[held is None or (key[0], name[0]) != held[:2]], (key[1:] != key[:-1]) | (name[1:] != name[:-1])])
-        rows = np.flatnonzero(fresh)
-        if not len(rows):
-            continue
-        k = key[rows]
-        joins_held = held is not None and k[0] == held[0]
-        before = np.concatenate([[joins_held], k[1:] == k[:-1]])
-        after = np.concatenate([k[1:] == k[:-1], [False]])
-        if joins_held and held[2] is not None:
-            yield held[2]
-        out = before | after
-        if out.any():
-            yield batch.take(pa.array(rows[out]))
-        held = (k[-1], name[rows[-1]], None if out[-1] else batch.slice(int(rows[-1]), 1))
+def _shared(percent: int):
+    """Of rows sorted by (key, n, name): one per (key, name) that another name of its key fits in size.
+    In order of size a class fits some other if it fits a neighbour."""
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None  # the last row: (key, n, name), and the row if it is not out yet
+        for batch in batches:
+            key, n, name = (batch.column(c).to_numpy() for c in ("key", "n", "name"))
+            if not len(key):
+                continue
+            fresh = np.concatenate([[held is None or (key[0], n[0], name[0]) != held[0]], (key[1:] != key[:-1]) | (name[1:] != name[:-1])])
+            at = np.flatnonzero(fresh)
+            if not len(at):
+                continue
+            k, size = key[at], n[at]
+            fits = (k[1:] == k[:-1]) & (100 * size[:-1] >= percent * size[1:])
+            with_held = held is not None and k[0] == held[0][0] and 100 * held[0][1] >= percent * size[0]
+            if with_held and held[1] is not None:
+                yield held[1]
+            out = np.concatenate([[with_held], fits]) | np.concatenate([fits, [False]])
+            if out.any():
+                yield batch.take(pa.array(at[out]))
+            held = ((k[-1], size[-1], name[at[-1]]), None if out[-1] else batch.slice(int(at[-1]), 1))
+
+    return rows
 
 
 # ------------------------------------------------------------------------ candidates
@@ -229,16 +242,39 @@ def _block_pairs(group: pd.DataFrame, percent: int, nearest: int | None) -> Iter
         yield a[i], j
 
 
+def _near_pairs(frame: pd.DataFrame, group: np.ndarray, rows: np.ndarray, percent: int) -> Iterator[np.ndarray]:
+    """All pairs that may link in groups of at most SMALL rows, for all groups at once."""
+    n, comp, side, names = (frame[c].to_numpy() for c in ("n", "comp", "side", "name"))
+    maps = np.frombuffer(b"".join(frame["map"]), dtype=_U64).reshape(len(frame), -1)
+    two_sides = np.zeros(len(group), dtype=bool)
+    two_sides[group[1:][(group[1:] == group[:-1]) & (side[1:] != side[:-1])]] = True
+    for step in range(1, SMALL):
+        a = rows[rows + step < len(group)]
+        a = a[group[a] == group[a + step]]
+        b = a + step
+        a, b = (x[(comp[a] != comp[b]) & ~(two_sides[group[a]] & (side[a] == side[b]))] for x in (a, b))
+        ok = 100 * np.minimum(n[a], n[b]) >= percent * np.maximum(n[a], n[b])
+        a, b = a[ok], b[ok]
+        differ = np.bitwise_count(maps[a] ^ maps[b]).sum(axis=1, dtype=np.int64)
+        ok = (100 + percent) * differ <= (100 - percent) * (n[a] + n[b])
+        yield np.stack([np.minimum(names[a[ok]], names[b[ok]]), np.maximum(names[a[ok]], names[b[ok]])], axis=1)
+
+
 def _candidates(percent: int, nearest: int | None):
     """Rows sorted by (key, part): the pairs of each block that may link.  A block has
     2 * BLOCK rows at most; the last one of a batch waits for the next."""
     def found(frame: pd.DataFrame) -> Iterator[pa.RecordBatch]:
-        out = [np.zeros((0, 2), dtype=np.int64)]
-        for _, group in frame.groupby(["key", "part"], sort=False):
-            names = group["name"].to_numpy()
-            if len(names) > 1:
-                for i, j in _block_pairs(group, percent, nearest):
-                    out.append(np.stack([np.minimum(names[i], names[j]), np.maximum(names[i], names[j])], axis=1))
+        if len(frame) < 2:
+            return
+        key, part = frame["key"].to_numpy(), frame["part"].to_numpy()
+        group = np.cumsum(np.concatenate([[0], (key[1:] != key[:-1]) | (part[1:] != part[:-1])]))
+        size = np.bincount(group)
+        out = list(_near_pairs(frame, group, np.flatnonzero(size[group] <= SMALL), percent))
+        for g in np.flatnonzero(size > SMALL):
+            block = frame.iloc[np.searchsorted(group, g):np.searchsorted(group, g, side="right")]
+            names = block["name"].to_numpy()
+            for i, j in _block_pairs(block, percent, nearest):
+                out.append(np.stack([np.minimum(names[i], names[j]), np.maximum(names[i], names[j])], axis=1))
         pairs = np.unique(np.concatenate(out), axis=0)
         if len(pairs):
             yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["u", "v"])
@@ -249,7 +285,7 @@ def _candidates(percent: int, nearest: int | None):
             frame = batch.to_pandas()
             frame = frame if held is None else pd.concat([held, frame], ignore_index=True)
             if len(frame):
-                last = (frame["key"] == frame["key"].iloc[-1]) & (frame["part"] == frame["part"].iloc[-1])
+                last = ((frame["key"] == frame["key"].iloc[-1]) & (frame["part"] == frame["part"].iloc[-1])).to_numpy()
                 held = frame[last]
                 yield from found(frame[~last])
         if held is not None:
@@ -258,9 +294,9 @@ def _candidates(percent: int, nearest: int | None):
     return rows
 
 
-def _pairs(lists: DataFrame, percent: int, nearest: int | None) -> DataFrame:
-    """Distinct (u, v) of rows (key, part, side, name, n, map, comp)."""
-    rows = lists.select("key", "part", "side", "name", "n", "map", "comp").repartition("key", "part").sortWithinPartitions("key", "part", "n", "name")
+def _pairs(lists: DataFrame, maps: DataFrame, percent: int, nearest: int | None) -> DataFrame:
+    """Distinct (u, v) of rows (key, part, side, name, n, comp)."""
+    rows = lists.join(maps, "name").select("key", "part", "side", "name", "n", "map", "comp").repartition("key", "part").sortWithinPartitions("key", "part", "n", "name")
     return rows.mapInArrow(_candidates(percent, nearest), "u long, v long").distinct()
 
 
@@ -314,16 +350,16 @@ def link(docs: DataFrame, shingle: int = 4, percent: int = 85, id_col: str = "do
     boundary = choose_boundary(sizes, min(1.0, again / max(total, 1.0)), percent)
 
     posted = texts.mapInArrow(_postings(shingle, percent, _order(recurring), boundary, int(sizes["n"].max()) if len(sizes) else 0), "key long, name long, n long")
-    shared = posted.repartition("key").sortWithinPartitions("key", "name").mapInArrow(_shared, "key long, name long, n long")
+    shared = posted.repartition("key").sortWithinPartitions("key", "n", "name").mapInArrow(_shared(percent), "key long, name long, n long")
     place = F.row_number().over(Window.partitionBy("key").orderBy("n", "name")) - 1
-    lists = stored(shared.withColumn("block", F.floor(place / BLOCK)).join(classes.select("name", "map"), "name"), "lists")
+    lists, maps = stored(shared.withColumn("block", F.floor(place / BLOCK)), "lists"), classes.select("name", "map")
     wanted = (lists.select("name").distinct().join(classes, "name")
               .select(F.col("rep.doc_id").alias("r_id"), F.col("rep.text_hash").alias("r_hash")))
     whole = stored(texts.join(wanted, texts.doc_id.eqNullSafe(F.col("r_id")) & (texts.text_hash == F.col("r_hash"))).select("text")
                    .mapInArrow(_whole(shingle), "name long, shingles binary"), "shingles")
 
-    one = lists.select("key", F.col("block").alias("part"), F.lit(0).alias("side"), "name", "n", "map", F.col("name").alias("comp"))
-    near = _verified(_pairs(one, percent, NEAREST), whole, percent)
+    one = lists.select("key", F.col("block").alias("part"), F.lit(0).alias("side"), "name", "n", F.col("name").alias("comp"))
+    near = _verified(_pairs(one, maps, percent, NEAREST), whole, percent)
 
     roots = components(near).select(F.col("node").alias("name"), "root")
     lists = lists.join(roots, "name", "left").withColumn("comp", F.coalesce("root", "name")).drop("root")
@@ -332,7 +368,7 @@ def link(docs: DataFrame, shingle: int = 4, percent: int = 85, id_col: str = "do
     other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("last")))
     two = (lists.join(open_lists, "key").withColumn("other", other)
            .withColumn("part", F.least("block", "other") * (F.col("last") + 1) + F.greatest("block", "other")).withColumn("side", F.col("block")))
-    far = _verified(_pairs(two, percent, None), whole, percent)
+    far = _verified(_pairs(two, maps, percent, None), whole, percent)
 
     roots = components(near.unionByName(far)).select(F.col("node").alias("name"), "root")
     classes = classes.select("name", "first_id").join(roots, "name", "left").withColumn("root", F.coalesce("root", "name"))

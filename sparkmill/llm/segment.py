@@ -35,6 +35,8 @@ from pyspark.sql import functions as F
 from sparkmill.llm import words as W
 
 SAMPLES = 2
+CHUNK_BYTES = 2 << 20
+KNOWN_EDGES = 4_000_000
 _U64 = np.uint64
 _BASE = _U64(0xC2B2AE3D27D4EB4F)
 _CODE = W.mix(np.arange(256, dtype=np.uint64) + _U64(11))
@@ -83,6 +85,27 @@ class Vocabulary:
             order = np.argsort(h[own])
             self.by_length[int(n)] = (h[own][order], own[order])
 
+        self.known, self.known_lattice = np.zeros(0, dtype=np.uint64), None
+
+    def lattice(self, names: np.ndarray, data: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[Lattice, np.ndarray]:
+        """(lattice, number in it of each of some distinct segments).  A worker process remembers the
+        first segments it meets, up to ``KNOWN_EDGES`` edges; the others are built again."""
+        order = np.argsort(self.known)
+        at = np.searchsorted(self.known, names, sorter=order)
+        at[at == len(self.known)] = 0
+        number = order[at] if len(order) else at
+        new = np.flatnonzero(self.known[number] != names) if len(order) else np.arange(len(names))
+        size = end[new] - start[new]
+        edge = np.cumsum(size) - size
+        flat = np.full(size.sum() + len(new), 32, dtype=np.uint8)
+        flat[np.repeat(np.arange(len(new)) + 1, size) + np.arange(size.sum())] = data[np.repeat(start[new] - edge, size) + np.arange(size.sum())]
+        built = Lattice(self, flat, size + 1)
+        number[new] = len(self.known) + np.arange(len(new))
+        both = built if self.known_lattice is None else self.known_lattice.joined(built)
+        if len(both.piece) <= KNOWN_EDGES:
+            self.known, self.known_lattice = np.concatenate([self.known, names[new]]), both
+        return both, number
+
     @classmethod
     def of(cls, path: str) -> Vocabulary:
         if path not in cls._loaded:
@@ -107,15 +130,15 @@ class Lattice:
         first = np.cumsum(size) - size
         stop = (first + size)[by_size]
         # byte positions in node order: position of node (l, segment) is stop - l
-        left = np.repeat(np.arange(1, longest + 1), with_left[1:])
-        owner = np.arange(nodes - segments) - (level[left] - segments)
-        spot = stop[owner] - left
+        left = np.repeat(np.arange(1, longest + 1, dtype=np.int32), with_left[1:])
+        owner = (np.arange(nodes - segments) - (level[left] - segments)).astype(np.int32)
+        spot = (stop[owner] - left).astype(np.int32)
         lead = (flat & 0xC0) != 0x80
-        char = np.cumsum(lead) - 1
+        char = np.cumsum(lead, dtype=np.int32) - 1
         width = np.bincount(char, minlength=int(lead.sum())) if len(flat) else np.zeros(0, int)
         known = np.zeros(len(width), dtype=bool)
         run = W._running(_CODE[flat], _BASE)
-        some = np.flatnonzero(lead[spot])
+        some = np.flatnonzero(lead[spot]).astype(np.int32)
         source, length, piece = [], [], []
         for n in sorted(vocabulary.by_length):
             some = some[left[some] >= n]
@@ -127,42 +150,58 @@ class Lattice:
             ok = np.flatnonzero(hashes[k] == h)
             own = char[at[ok]]
             known[own[width[own] == n]] = True
-            source.append(some[ok] + segments)
-            length.append(np.full(len(ok), n, dtype=np.int32))
-            piece.append(ids[k[ok]])
+            source.append(some[ok] + np.int32(segments))
+            length.append(np.full(len(ok), n, dtype=np.int16))
+            piece.append(ids[k[ok]].astype(np.int32))
         spelled = np.flatnonzero(~known[char[spot]]) if len(flat) else np.zeros(0, int)
-        source.insert(0, spelled + segments)
-        length.insert(0, np.ones(len(spelled), dtype=np.int32))
-        piece.insert(0, vocabulary.byte_id[flat[spot[spelled]]])
+        source.insert(0, (spelled + segments).astype(np.int32))
+        length.insert(0, np.ones(len(spelled), dtype=np.int16))
+        piece.insert(0, vocabulary.byte_id[flat[spot[spelled]]].astype(np.int32))
         source, length, piece = (np.concatenate(x[::-1]) for x in (source, length, piece))
         order = np.argsort(source, kind="stable")  # a merge of ascending runs
-        source, length, self.piece = source[order], length[order], piece[order].astype(np.int32)
+        source, length, self.piece = source[order], length[order], piece[order]
+        del order, piece
         gone = left[source - segments] - length
         self.target = (level[gone] + owner[source - segments]).astype(np.int32)
         self.first_edge = np.searchsorted(source, np.arange(nodes + 1)).astype(np.int32)
         beta, ways = np.full(nodes, -np.inf), np.zeros(nodes)
         beta[:segments], ways[:segments] = 0.0, 1.0
-        weight = vocabulary.log_weight[self.piece]
         for n in range(1, longest + 1):
             a, b = self.first_edge[level[n]], self.first_edge[level[n + 1]]
             if a == b:
                 continue
             own, to = source[a:b], self.target[a:b]
-            v = weight[a:b] + beta[to]
+            v = vocabulary.log_weight[self.piece[a:b]] + beta[to]
             head = np.flatnonzero(np.diff(own, prepend=-1))
             top = np.maximum.reduceat(v, head)
             each = np.repeat(top, np.diff(np.append(head, b - a)))
             beta[own[head]] = top + np.log(np.add.reduceat(np.exp(v - each), head))
             ways[own[head]] = np.add.reduceat(ways[to], head)
-        self.log_q = weight + beta[self.target] - beta[source]
-        total = np.cumsum(np.exp(self.log_q))
-        total -= np.concatenate([[0.0], total])[self.first_edge[source]]
-        last = self.first_edge[1:][np.diff(self.first_edge) > 0] - 1
-        total[last] = 2.0  # rounding never passes the last edge
-        self.upto = total.astype(np.float32)
+        self.log_q = vocabulary.log_weight[self.piece]
+        self.log_q += beta[self.target]
+        self.log_q -= beta[source]
+        self.upto = np.empty(len(source), dtype=np.float32)  # per node, so the same wherever the node stands
+        count, sums = np.diff(self.first_edge), np.zeros(nodes)
+        own = np.flatnonzero(count)
+        for j in range(int(count.max(initial=0))):
+            own = own[count[own] > j]
+            at = self.first_edge[own] + j
+            sums[own] += np.exp(self.log_q[at])
+            self.upto[at] = np.where(count[own] == j + 1, 2.0, sums[own])  # rounding never passes the last edge
         self.base = (level[size] + rank).astype(np.int64)
         self.ways = ways[self.base]
-        self.ends = segments  # nodes below are ends
+        self.is_end = np.arange(nodes) < segments
+
+    def joined(self, other: Lattice) -> Lattice:
+        """The segments of self, then those of other."""
+        out = object.__new__(Lattice)
+        nodes, edges = len(self.is_end), len(self.piece)
+        out.first_edge = np.concatenate([self.first_edge[:-1], other.first_edge + np.int32(edges)])
+        out.target = np.concatenate([self.target, other.target + np.int32(nodes)])
+        out.base = np.concatenate([self.base, other.base + nodes])
+        for name in ("piece", "log_q", "upto", "ways", "is_end"):
+            setattr(out, name, np.concatenate([getattr(self, name), getattr(other, name)]))
+        return out
 
     def draw(self, segment: np.ndarray, key: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """One segmentation for each entry: (edges in order, where each entry's begin, log
@@ -179,7 +218,7 @@ class Lattice:
                 behind = behind[self.upto[edge[behind]] <= u[behind]]
             taken.append((who, edge))
             node = self.target[edge]
-            on = node >= self.ends
+            on = ~self.is_end[node]
             who, node = who[on], node[on]
         count = np.bincount(np.concatenate([w for w, _ in taken]), minlength=n) if taken else np.zeros(n, np.int64)
         first = np.concatenate([[0], np.cumsum(count)])
@@ -195,7 +234,7 @@ class Lattice:
         out, open_ = [], [(int(self.base[segment]), 0.0, [])]
         while open_:
             node, log_p, edges = open_.pop()
-            if node < self.ends:
+            if self.is_end[node]:
                 out.append((log_p, edges))
                 continue
             for e in range(self.first_edge[node], self.first_edge[node + 1]):
@@ -230,16 +269,13 @@ class _Chunk:
         end[last] = offsets[doc[last] + 1]
         run = W._running(_CODE[data], _BASE)
         names = W.mix(W._between(run, start, end, _BASE) + W.mix((end - start).astype(np.uint64)))
-        _, first, self.which = np.unique(names, return_index=True, return_inverse=True)
-        size = end[first] - start[first]
-        edge = np.cumsum(size) - size
-        flat = np.full(size.sum() + len(first), 32, dtype=np.uint8)
-        inside = np.repeat(edge + np.arange(len(first)) + 1 - edge, size) + np.arange(size.sum())
-        flat[inside] = data[np.repeat(start[first] - edge, size) + np.arange(size.sum())]
-        self.lattice = Lattice(vocabulary, flat, size + 1)
-        self.n, self.doc, self.seeds = n, doc, seeds
+        names, first, which = np.unique(names, return_index=True, return_inverse=True)
+        self.lattice, number = vocabulary.lattice(names, data, start[first], end[first])
+        self.which = number[which]
+        self.n, self.doc, self.seeds = n, doc.astype(np.int32), seeds
         self.first = np.searchsorted(doc, np.arange(n + 1))
-        self.place = np.arange(len(doc)) - self.first[doc]
+        self.place = (np.arange(len(doc)) - self.first[doc]).astype(np.int32)
+        self.which = self.which.astype(np.int32)
         self.runs: list[tuple] = []
 
     def key(self, stream: int, at: np.ndarray) -> np.ndarray:
@@ -385,7 +421,7 @@ def _encode(model: str, k: int, seed: int, keep: tuple[str, ...]):
         for batch in batches:
             keys = batch.column("doc_id").fill_null(0).to_numpy().view(np.uint64)
             seeds = W.mix(W.mix(keys) + _U64(seed))
-            for row, data, offsets in W.chunks(batch.column("text"), 12 << 20):
+            for row, data, offsets in W.chunks(batch.column("text"), CHUNK_BYTES):
                 n = len(offsets) - 1
                 chunk = _Chunk(vocabulary, data, offsets, seeds[row:row + n])
                 for rank, (has, log_p, value, inclusion, path) in enumerate(chunk.samples(k)):
@@ -395,7 +431,7 @@ def _encode(model: str, k: int, seed: int, keep: tuple[str, ...]):
                     yield pa.RecordBatch.from_arrays(
                         [*(batch.column(c).slice(row, n).take(pa.array(own)) for c in ("k_" + x for x in keep)),
                          batch.column("doc_id").slice(row, n).take(pa.array(own)), pa.array(np.full(len(own), rank + 1, np.int32)), pa.array(np.diff(cut)[own]),
-                         pa.array(log_p[own]), pa.array(value[own]), pa.array(inclusion[own]), pa.array([ids[cut[d]:cut[d + 1]].tobytes() for d in own], pa.binary())],
+                         *(pa.array(np.round(x[own], 6)) for x in (log_p, value, inclusion)), pa.array([ids[cut[d]:cut[d + 1]].tobytes() for d in own], pa.binary())],
                         names=[*keep, *(x.split()[0] for x in _ROW.split(", "))])
 
     return rows

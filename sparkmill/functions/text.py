@@ -16,8 +16,6 @@ from pyspark.sql import functions as F
 WHITESPACE_CLASS = "[ \\t\\n\\r\\f\\x0B]"
 NOT_KEPT_CLASS = "[^a-z0-9 \\t\\n\\r\\f\\x0B]"
 NON_WORD_RUN = "\\W+"
-# Stop words travel inside the plan as literals; this bounds their size.
-MAX_STOP_WORDS = 100_000
 
 # The same deletion in two cheap steps: drop every non-ASCII character with a
 # single-range class, then the ASCII characters outside the kept set with
@@ -51,15 +49,13 @@ def simple_tokens(c) -> Column:
 
 
 def remove_stop_words(tokens: Column, stop_words: list[str]) -> Column:
-    """Drop tokens found in a bounded stop-word list; keeps order and duplicates.
+    """Drop tokens found in a stop-word list; keeps order and duplicates.
 
-    The list travels inside the plan as literals (it is a parameter of bounded
-    size, never data); Catalyst turns the ``IN`` list into a hash set
-    (``InSet``), so each token costs one hash probe in the JVM.
+    The list travels inside the plan as literals; Catalyst turns the ``IN`` list
+    into a hash set (``InSet``), so each token costs one hash probe in the JVM.
+    A list that is data itself goes through ``operators.text.clean_documents_by_join``.
     """
     words = sorted(set(stop_words))
     if not words:
         return tokens
-    if len(words) > MAX_STOP_WORDS:
-        raise ValueError(f"stop-word list has {len(words)} entries; at most {MAX_STOP_WORDS} travel in a plan")
     return F.filter(tokens, lambda t: ~t.isin(words))

@@ -21,8 +21,9 @@ LOG_FIELDS = ["host", "client_identd", "user_id", "date_time", "method", "endpoi
 
 # The pattern plus a tail that swallows the rest of the line, so one
 # regexp_replace rewrites a matching line into its nine groups separated by
-# LF (no group can hold LF: \S groups exclude it and '.' stops at it).
-_WHOLE_LINE = LOG_PATTERN + "[\\s\\S]*\\z"
+# LF (no group can hold LF: \S groups exclude it and '.' stops at it).  (?d): '.'
+# stops at LF only, not at CR, U+0085, U+2028 or U+2029.
+_WHOLE_LINE = "(?d)" + LOG_PATTERN + "[\\s\\S]*\\z"
 _GROUPS = "\n".join(f"${i}" for i in range(1, 10))
 
 

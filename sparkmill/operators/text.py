@@ -49,6 +49,21 @@ def clean_documents(df: DataFrame, stop_words: list[str], text_col: str = "text"
     return df.select(F.col(id_col), F.array_join(toks, " ").alias("text"))
 
 
+def clean_documents_by_join(df: DataFrame, stop_words: DataFrame, text_col: str = "text",
+                            id_col: str = "doc_id") -> DataFrame:
+    """``clean_documents`` with the stop words in a table (word) of any length: an anti
+    join on the tokens.  Rows are told apart by id and text; repeated rows stay."""
+    toks = simple_tokens(clean_text(F.col(text_col)))
+    rows = df.select(F.col(id_col), F.xxhash64(text_col).alias("_text"), toks.alias("_toks"))
+    exploded = rows.dropDuplicates([id_col, "_text"]).select(id_col, "_text", F.posexplode("_toks").alias("_pos", "word"))
+    kept = (exploded.join(stop_words.select("word").distinct(), "word", "left_anti")
+            .groupBy(id_col, "_text").agg(F.sort_array(F.collect_list(F.struct("_pos", "word"))).alias("_kept")))
+    kept = kept.select(F.col(id_col).alias("_id"), F.col("_text").alias("_key"), F.array_join("_kept.word", " ").alias("text"))
+    out = rows.select(id_col, "_text", F.col("_toks").isNull().alias("_null")).join(
+        kept, F.col(id_col).eqNullSafe(F.col("_id")) & (F.col("_text") == F.col("_key")), "left")
+    return out.select(id_col, F.when(~F.col("_null"), F.coalesce("text", F.lit(""))).alias("text"))
+
+
 def document_words(clean: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Distinct (doc, word) pairs of cleaned documents (tokens split on single spaces,
     empty tokens dropped)."""

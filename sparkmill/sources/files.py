@@ -79,11 +79,12 @@ def read_edge_list(spark: SparkSession, path: str) -> DataFrame:
     return parse_edge_lines(read_lines(spark, path))
 
 
-def read_stop_words(spark: SparkSession, path: str, max_words: int = 100_000) -> list[str]:
-    """One word per line.  The list is a bounded parameter, so it is
-    returned to the driver (at most ``max_words`` entries, else an error)."""
-    rows = read_lines(spark, path).select(F.trim("value").alias("w")).filter("w <> ''") \
-        .distinct().limit(max_words + 1).collect()
-    if len(rows) > max_words:
-        raise ValueError(f"stop-word list has more than {max_words} entries")
-    return sorted(r.w for r in rows)
+def stop_words(spark: SparkSession, path: str) -> DataFrame:
+    """One word per line, as a table (word), for lists of any length."""
+    return read_lines(spark, path).select(F.trim("value").alias("word")).filter("word <> ''").distinct()
+
+
+def read_stop_words(spark: SparkSession, path: str) -> list[str]:
+    """One word per line, as a list for a plan's literals.  The list comes to the
+    driver whole; a long one stays a table (``stop_words``)."""
+    return sorted(r.word for r in stop_words(spark, path).collect())

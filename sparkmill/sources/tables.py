@@ -9,9 +9,9 @@ plans, using every row (no sampling, no id subsets):
   rating = max(ceil(quantity / 10)) on a 1-5 scale, ts = latest order time;
 * log lines: one Common Log Format line per event; status follows the event
   type, corrupted records are events whose payload key is 97 or more;
-* edges: a directed part -> supplier -> customer -> part graph with string
-  node ids ('p1', 's7', 'c42'), each edge taken from one row (line item or
-  line item joined with its order), so no derivation pairs rows of a group;
+* edges: edge-list lines of a directed graph over parts, suppliers, customers, orders,
+  nations and regions with string node ids ('p1', 's7', 'c42'), each edge taken from one
+  row (or a line item joined with its order), so no derivation pairs rows of a group;
 * words per document: the cleaned, stop-word-free tokens of each document.
 """
 
@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkmill.session import checkpoint_dir
+from sparkmill.sources.files import parse_edge_lines
 
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations"]
@@ -30,28 +30,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-# Inputs up to this many rows may be re-spread over all cores before
-# CPU-heavy per-row work (regex cleaning, log parsing).
-SPREAD_MAX_ROWS = 5_000_000
-
-
-def spread(df: DataFrame, max_rows: int = SPREAD_MAX_ROWS) -> DataFrame:
-    """Round-robin a *small* input over ``spark.sql.shuffle.partitions`` tasks.
-
-    A file written as one parquet row group is read by one task, which then
-    runs all per-row regex work alone.  Large inputs arrive in many row groups
-    and are left untouched (re-shuffling them would only add I/O); for small
-    ones (row count from parquet footers) the extra shuffle is negligible."""
-    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    if parts <= 1 or df.count() > max_rows:
-        return df
-    # Materialised (reliable checkpoint): Catalyst pushes filters through a
-    # plain repartition, which would pull the regex work back into the single
-    # scan task; a checkpointed table is a leaf it cannot push below.
-    checkpoint_dir(df.sparkSession)
-    return df.repartition(parts).checkpoint(eager=True)
-
-
 def ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(user bigint, item bigint, rating double, ts bigint), one row per pair."""
     li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_quantity")
@@ -77,7 +55,7 @@ STATUS_BY_TYPE = {"click": 200, "purchase": 200, "view": 304, "signup": 302, "er
 
 def log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(event_id bigint, raw string): one access-log line per event."""
-    ev = spread(table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value", "props"))
+    ev = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value", "props")
     status = F.coalesce(*[F.when(F.col("event_type") == k, F.lit(v)) for k, v in STATUS_BY_TYPE.items()],
                         F.lit(500))
     key = F.get_json_object("props", "$.k").cast("int")
@@ -92,19 +70,33 @@ def log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ev.select("event_id", F.when(key >= 97, corrupt).otherwise(line).alias("raw"))
 
 
-def graph_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Distinct (src string, dst string) edges of the part/supplier/customer graph."""
+def graph_edge_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(value string): edge-list lines ``src<tab>dst`` of the graph, one per row that
+    holds the edge, and comment lines.
+
+    part -> supplier -> customer -> part, order -> customer (orders have no in-links),
+    customer -> nation -> region (nations are hubs by in-degree, regions have no out-links)."""
     li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey")
     od = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    cu, na = table(spark, sf_dir, "customer"), table(spark, sf_dir, "nation")
     lo = li.join(od, li.l_orderkey == od.o_orderkey)
-    p2s = li.select(F.concat(F.lit("p"), F.col("l_partkey").cast("string")).alias("src"),
-                    F.concat(F.lit("s"), F.col("l_suppkey").cast("string")).alias("dst"))
-    s2c = lo.select(F.concat(F.lit("s"), F.col("l_suppkey").cast("string")).alias("src"),
-                    F.concat(F.lit("c"), F.col("o_custkey").cast("string")).alias("dst"))
-    c2p = lo.select(F.concat(F.lit("c"), F.col("o_custkey").cast("string")).alias("src"),
-                    F.concat(F.lit("p"), F.col("l_partkey").cast("string")).alias("dst"))
-    return p2s.unionByName(s2c).unionByName(c2p).distinct()
+
+    def lines(df: DataFrame, a: str, src: str, b: str, dst: str) -> DataFrame:
+        return df.select(F.concat(F.lit(a), F.col(src).cast("string"), F.lit(f"\t{b}"), F.col(dst).cast("string")).alias("value"))
+
+    comments = table(spark, sf_dir, "region").select(F.concat(F.lit("# region "), F.col("r_regionkey").cast("string"), F.lit(" x")).alias("value"))
+    parts = [lines(li, "p", "l_partkey", "s", "l_suppkey"), lines(lo, "s", "l_suppkey", "c", "o_custkey"),
+             lines(lo, "c", "o_custkey", "p", "l_partkey"), lines(od, "o", "o_orderkey", "c", "o_custkey"),
+             lines(cu, "c", "c_custkey", "n", "c_nationkey"), lines(na, "n", "n_nationkey", "r", "n_regionkey")]
+    for p in parts:
+        comments = comments.unionByName(p)
+    return comments
+
+
+def graph_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distinct (src string, dst string) edges, parsed from the lines."""
+    return parse_edge_lines(graph_edge_lines(spark, sf_dir))
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spread(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return table(spark, sf_dir, "documents").select("doc_id", "text")

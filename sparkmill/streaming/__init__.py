@@ -40,15 +40,3 @@ def streaming_endpoint_status_counts(records: DataFrame) -> DataFrame:
     """Running request counts per (endpoint, response_code) for valid lines."""
     return (records.filter("is_valid").groupBy("endpoint", "response_code")
             .agg(F.count(F.lit(1)).alias("n")))
-
-
-def streaming_daily_hosts(records: DataFrame, watermark: str = "1 day") -> DataFrame:
-    """Distinct hosts per calendar day of request time, as a windowed stream
-    aggregate with a watermark so finished days are emitted and their state
-    dropped.  Streaming has no exact distinct aggregate, so this uses
-    ``approx_count_distinct`` (HyperLogLog++); the batch report is exact."""
-    ts = F.col("date_time").cast("timestamp")
-    return (records.filter("is_valid").withColumn("_ts", ts)
-            .withWatermark("_ts", watermark)
-            .groupBy(F.window("_ts", "1 day").alias("day"))
-            .agg(F.approx_count_distinct("host").alias("n_hosts")))

@@ -90,12 +90,3 @@ def test_global_row_number_is_a_dense_sorted_numbering(spark, rows, parts):
     got = sorted((r.rn, r.ts, r.user, r.item) for r in out)
     assert got == [(i + 1, *t) for i, t in enumerate(sorted(rows))]
     assert all(r.total == len(rows) for r in out)
-
-
-def test_spread_keeps_rows(spark):
-    from sparkmill.sources.tables import spread
-
-    df = spark.range(1000).selectExpr("id", "cast(id % 7 as string) AS s")
-    out = spread(df)
-    assert out.rdd.getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions"))
-    assert sorted(map(tuple, out.collect())) == sorted(map(tuple, df.collect()))

@@ -35,22 +35,3 @@ def test_streaming_log_counts(spark, tmp_dir):
     finally:
         q.stop()
     assert got == [("/a HTTP/1.0", 404, 2)]
-
-
-def test_streaming_daily_hosts(spark, tmp_dir):
-    src = os.path.join(tmp_dir, "logs2")
-    os.makedirs(src)
-    with open(os.path.join(src, "a.log"), "w") as f:
-        f.write('h1 - - [01/Jul/1995:00:00:01 -0400] "GET /a HTTP/1.0" 200 1\n'
-                'h2 - - [01/Jul/1995:10:00:01 -0400] "GET /a HTTP/1.0" 200 1\n'
-                'h1 - - [01/Jul/1995:11:00:01 -0400] "GET /b HTTP/1.0" 200 1\n'
-                'h3 - - [04/Jul/1995:00:00:01 -0400] "GET /a HTTP/1.0" 200 1\n')
-    agg = streaming.streaming_daily_hosts(streaming.streaming_log_records(streaming.stream_lines(spark, src)))
-    q = (agg.writeStream.outputMode("update").format("memory").queryName("daily_test")
-         .option("checkpointLocation", os.path.join(tmp_dir, "ck3")).start())
-    try:
-        q.processAllAvailable()
-        got = sorted((r.day.start.day, r.n_hosts) for r in spark.sql("SELECT * FROM daily_test").collect())
-    finally:
-        q.stop()
-    assert got == [(1, 2), (4, 1)]

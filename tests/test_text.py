@@ -66,10 +66,27 @@ def test_clean_text_equals_single_class_regex(spark):
     assert all(r.a == r.b for r in rows)
 
 
-def test_stop_word_list_is_bounded(spark):
-    import pytest
-
-    from sparkmill.functions.text import MAX_STOP_WORDS, remove_stop_words
-
-    with pytest.raises(ValueError):
-        remove_stop_words(F.array(F.lit("a")), [str(i) for i in range(MAX_STOP_WORDS + 1)])
+def test_stop_words_by_join_equal_the_list(spark, tmp_dir):
+    from sparkmill.operators import text
+    from sparkmill.sources import files
+
+    docs = [(1, "The cat and the hat!"), (2, None), (3, ""), (4, "the the"), (4, "other words"), (None, "a null id"), (1, "The cat and the hat!")]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    words = ["the", "and", "a"] + [f"w{i}" for i in range(3000)]
+    with open(f"{tmp_dir}/stop.txt", "w") as f:
+        f.write("\n".join(words) + "\n\n the \n")
+    table = files.stop_words(spark, f"{tmp_dir}/stop.txt")
+    assert files.read_stop_words(spark, f"{tmp_dir}/stop.txt") == sorted(words)
+    by_list = text.clean_documents(df, words).collect()
+    by_join = text.clean_documents_by_join(df, table).collect()
+    assert sorted(map(str, map(tuple, by_join))) == sorted(map(str, map(tuple, by_list)))
+
+
+def test_stop_words_come_from_the_package(monkeypatch):
+    import pyspark
+
+    from sparkmill.sources import stopwords
+
+    monkeypatch.setattr(pyspark, "__file__", "/nowhere/pyspark/__init__.py")
+    stopwords.spark_stop_words.cache_clear()
+    assert len(stopwords.spark_stop_words("english")) == 181

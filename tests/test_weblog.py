@@ -68,3 +68,11 @@ def test_struct_form_equals_projection(spark):
     a = sorted(repr(tuple(r)) for r in df.select(parse_log_line("raw").alias("p"), "raw").select("p.*", "raw").collect())
     b = sorted(repr(tuple(r)) for r in parse_log_lines(df, "raw").collect())
     assert a == b
+
+
+def test_line_terminators_inside_a_line(spark):
+    """Only LF ends a line: CR, U+0085 and U+2028 may stand in the endpoint."""
+    lines = [f'h - - [01/Jul/1995:00:00:01 -0400] "GET /a{c}b HTTP/1.0" 200 5' for c in ("\r", "\u0085", "\u2028", "\u2029", "x")]
+    df = spark.createDataFrame([(x,) for x in lines], "raw string")
+    rows = parse_log_lines(df, "raw").collect()
+    assert all(r.is_valid for r in rows) and {r.endpoint[2] for r in rows} == {"\r", "\u0085", "\u2028", "\u2029", "x"}

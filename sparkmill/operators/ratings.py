@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from sparkmill.functions.metrics import squared_error
 from sparkmill.operators.ordering import global_row_number
+from sparkmill.operators.skew import balanced_join
 
 
 def item_stats(ratings: DataFrame) -> DataFrame:
@@ -51,11 +52,13 @@ def item_means(ratings: DataFrame) -> DataFrame:
 
 def hash_split(ratings: DataFrame, weights=(8, 1, 1), names=("train", "valid", "test"),
                seed: int = 0) -> DataFrame:
-    """Reproducible random split: bucket = xxhash64(seed, user, item) mod sum(weights).
+    """Reproducible random split: the first 32 bits of md5("seed,user,item") modulo sum(weights).
 
-    Unlike ``randomSplit`` the outcome does not depend on the partitioning."""
+    Unlike ``randomSplit`` the outcome does not depend on the partitioning, and any engine with
+    md5 can recompute it."""
     total = sum(weights)
-    bucket = F.pmod(F.xxhash64(F.lit(seed), "user", "item"), F.lit(total))
+    digest = F.md5(F.concat_ws(",", F.lit(str(seed)), F.col("user").cast("string"), F.col("item").cast("string")))
+    bucket = F.pmod(F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint"), F.lit(total))
     expr, upper = None, 0
     for w, name in zip(weights, names):
         upper += w
@@ -96,10 +99,10 @@ def time_split(ratings: DataFrame, n_test: int | None = 100_000, n_valid: int |
 
 
 def sort_by_time(ratings: DataFrame, newest_first: bool = False) -> DataFrame:
-    """Ratings in time order, ties by (user, item): a range-partitioned global
-    sort (``orderBy``), not a single-partition one."""
+    """Ratings in time order, ties by (user, item), with their place in that order from 1
+    (``position``): a range-partitioned sort, not a single-partition one."""
     ts = F.col("ts").desc() if newest_first else F.col("ts").asc()
-    return ratings.orderBy(ts, F.col("user").asc(), F.col("item").asc())
+    return global_row_number(ratings, [ts, F.col("user").asc(), F.col("item").asc()], name="position")
 
 
 def split_counts(split_df: DataFrame) -> DataFrame:
@@ -115,12 +118,23 @@ def rmse(predictions: DataFrame, actual: DataFrame, pred_col: str = "prediction"
                       F.count(F.lit(1)).alias("n"))
 
 
-def baseline_predict(train: DataFrame, pairs: DataFrame) -> DataFrame:
+def rmse_by_split(predictions: DataFrame, actual: DataFrame, names: tuple[str, ...]) -> DataFrame:
+    """(split, rmse, n) for each of ``names``; both sides have a ``split`` column."""
+    spark = actual.sparkSession
+    joined = predictions.select("split", "user", "item", "prediction").join(
+        actual.select("split", "user", "item", "rating"), ["split", "user", "item"])
+    scored = joined.groupBy("split").agg(F.sqrt(F.avg(squared_error(F.col("prediction"), F.col("rating")))).alias("rmse"),
+                                         F.count(F.lit(1)).alias("n"))
+    wanted = spark.createDataFrame([(x,) for x in names], "split string")
+    return wanted.join(scored, "split", "left").select("split", "rmse", F.coalesce("n", F.lit(0).cast("bigint")).alias("n"))
+
+
+def baseline_predict(train: DataFrame, pairs: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
     """Bias baseline ``user_mean + item_mean - global_mean`` for (user, item) pairs;
-    a missing user or item mean falls back to the global mean."""
+    a missing user or item mean falls back to the global mean.  Columns ``by`` of pairs are kept."""
     mu = global_mean(train)
     um = train.groupBy("user").agg(F.avg("rating").alias("_um"))
     im = train.groupBy("item").agg(F.avg("rating").alias("_im"))
-    p = pairs.select("user", "item").join(um, "user", "left").join(im, "item", "left")
+    p = balanced_join(balanced_join(pairs.select("user", "item", *by), um, ["user"], "left"), im, ["item"], "left")
     pred = F.coalesce("_um", mu) + F.coalesce("_im", mu) - mu
-    return p.select("user", "item", pred.alias("prediction"))
+    return p.select("user", "item", *by, pred.alias("prediction"))

@@ -11,8 +11,8 @@ from pyspark.sql import functions as F
 
 from sparkmill.functions.metrics import cosine
 from sparkmill.operators.ordering import top_n_per_group
-from sparkmill.operators.ratings import baseline_predict, rmse
-from sparkmill.operators.skew import DEFAULT_BLOCK_SIZE, pairs_within_groups, salted_join
+from sparkmill.operators.ratings import baseline_predict, rmse_by_split
+from sparkmill.operators.skew import DEFAULT_BLOCK_SIZE, balanced_join, pairs_within_groups, salted_join
 from sparkmill.session import checkpoint_dir
 
 
@@ -22,22 +22,29 @@ def norms(ratings: DataFrame, key: str) -> DataFrame:
 
 
 def cosine_similarity(ratings: DataFrame, key: str = "item", over: str = "user",
-                      block_size: int = DEFAULT_BLOCK_SIZE) -> DataFrame:
+                      block_size: int = DEFAULT_BLOCK_SIZE, targets: DataFrame | None = None) -> DataFrame:
     """(a, b, dot, n_common, sim) for every pair of ``key`` values co-rated by
     at least one ``over`` value, a < b.  sim = dot / (norm_a * norm_b) with
-    norms over all ratings of each key; 0.0 when a norm is 0.
+    norms over all ratings of each key; 0.0 when a norm is 0.  With ``targets`` (a
+    table of distinct ``key`` values) only pairs that hold one of them are formed.
 
     Plan: the per-key norm is attached to each rating first (a shuffle of the
-    ratings, not of the much larger pair table); pairs are formed per
+    ratings, not of the much larger pair table; AQE splits a key with many ratings); pairs are formed per
     ``over`` group by the salted self-join of ``pairs_within_groups`` (hot
     groups are split into bucket pairs) and summed with partial aggregation
     right after the join.  The similarity is computed straight out of that
     aggregate, so the result stays hash-partitioned on (a, b) and a later
     join on the canonical pair key does not move it."""
     a, b = f"{key}_1", f"{key}_2"
-    rated = ratings.select(over, key, "rating").join(norms(ratings, key), key)
-    pairs = pairs_within_groups(rated, [over], key, carry=["rating", "norm"],
+    per_key = norms(ratings, key)
+    if targets is not None:
+        per_key = per_key.join(targets.select(key, F.lit(True).alias("_t")), key, "left")
+    else:
+        per_key = per_key.withColumn("_t", F.lit(True))
+    rated = balanced_join(ratings.select(over, key, "rating"), per_key, [key])
+    pairs = pairs_within_groups(rated, [over], key, carry=["rating", "norm", "_t"],
                                 block_size=block_size, keep_group=False)
+    pairs = pairs.filter(F.coalesce("_t_1", "_t_2", F.lit(False)))
     dots = pairs.groupBy(a, b).agg(F.sum(F.col("rating_1") * F.col("rating_2")).alias("dot"),
                                    F.count(F.lit(1)).alias("n_common"),
                                    F.max("norm_1").alias("_n1"), F.max("norm_2").alias("_n2"))
@@ -47,8 +54,8 @@ def cosine_similarity(ratings: DataFrame, key: str = "item", over: str = "user",
 def symmetric(sims: DataFrame, key: str = "item") -> DataFrame:
     """Both orientations of a canonical (a < b) similarity table: (key, other, sim)."""
     a, b = f"{key}_1", f"{key}_2"
-    return (sims.select(F.col(a).alias(key), F.col(b).alias("other"), "sim")
-            .unionByName(sims.select(F.col(b).alias(key), F.col(a).alias("other"), "sim")))
+    ways = [F.struct(F.col(x).alias(key), F.col(y).alias("other"), "sim") for x, y in ((a, b), (b, a))]
+    return sims.select(F.explode(F.array(*ways)).alias("_w")).select("_w.*")
 
 
 def nearest_neighbors(sims: DataFrame, n: int = 10, key: str = "item", digits: int = 9) -> DataFrame:
@@ -62,39 +69,51 @@ def nearest_neighbors(sims: DataFrame, n: int = 10, key: str = "item", digits: i
 def _weighted(cand: DataFrame, sims: DataFrame, key: str, group: list[str]) -> DataFrame:
     """Join candidate (target, other) rows with the canonical similarity table
     on (least, greatest) and form sum(sim * rating) / sum(sim) per group.
-    Only the candidate side is shuffled; the similarity table keeps the hash
-    partitioning of its aggregate."""
+    A pair wanted by very many candidates is split (``balanced_join``)."""
     a, b = f"{key}_1", f"{key}_2"
     keyed = cand.select(*group, "rating", F.least("target", "other").alias(a),
                         F.greatest("target", "other").alias(b))
-    scored = keyed.join(sims.select(a, b, "sim"), [a, b])
+    scored = balanced_join(keyed, sims.select(a, b, "sim"), [a, b])
     agg = scored.groupBy(*group).agg(F.sum("sim").alias("_s"),
                                      F.sum(F.col("sim") * F.col("rating")).alias("_sr"))
     return agg.filter(F.col("_s") != 0).withColumn("prediction", F.col("_sr") / F.col("_s"))
 
 
-def item_based_predict(train: DataFrame, pairs: DataFrame, sims: DataFrame,
-                       block_size: int = DEFAULT_BLOCK_SIZE) -> DataFrame:
+def item_based_predict(train: DataFrame, pairs: DataFrame, sims: DataFrame | None = None,
+                       block_size: int = DEFAULT_BLOCK_SIZE, by: tuple[str, ...] = ()) -> DataFrame:
     """pred(u, i) = sum_j s(i, j) r(u, j) / sum_j s(i, j) over the items j the
     user rated in ``train``; no row when no such j is similar to i (or the
-    similarity sum is 0).  Work starts from the wanted pairs; a user with many
-    ratings has them split into buckets (``salted_join``)."""
-    want = pairs.select("user", F.col("item").alias("target")).distinct()
+    similarity sum is 0).  Without ``sims`` only similarities of wanted items are
+    formed.  A user with many ratings or many wanted items has them split into buckets
+    (``salted_join``).  Columns ``by`` of pairs are kept."""
+    want = pairs.select("user", F.col("item").alias("target"), *by).distinct()
+    if sims is None:
+        sims = cosine_similarity(train, "item", "user", block_size, pairs.select("item").distinct())
     rated = train.select("user", F.col("item").alias("other"), "rating")
     cand = salted_join(rated, want, ["user"], "other", block_size)
-    out = _weighted(cand, sims, "item", ["user", "target"])
-    return out.select("user", F.col("target").alias("item"), "prediction")
+    out = _weighted(cand, sims, "item", ["user", "target", *by])
+    return out.select("user", F.col("target").alias("item"), *by, "prediction")
 
 
-def user_based_predict(train: DataFrame, pairs: DataFrame, sims: DataFrame,
-                       block_size: int = DEFAULT_BLOCK_SIZE) -> DataFrame:
+def user_based_predict(train: DataFrame, pairs: DataFrame, sims: DataFrame | None = None,
+                       block_size: int = DEFAULT_BLOCK_SIZE, by: tuple[str, ...] = ()) -> DataFrame:
     """pred(u, i) = sum_v s(u, v) r(v, i) / sum_v s(u, v) over the users v who
-    rated i in ``train`` (an item with many raters is split into buckets)."""
-    want = pairs.select(F.col("user").alias("target"), "item").distinct()
+    rated i in ``train`` (an item with many raters or many wanted users is split into
+    buckets).  Without ``sims`` only similarities of wanted users are formed."""
+    want = pairs.select(F.col("user").alias("target"), "item", *by).distinct()
+    if sims is None:
+        sims = cosine_similarity(train, "user", "item", block_size, pairs.select("user").distinct())
     rated = train.select(F.col("user").alias("other"), "item", "rating")
     cand = salted_join(rated, want, ["item"], "other", block_size)
-    out = _weighted(cand, sims, "user", ["target", "item"])
-    return out.select(F.col("target").alias("user"), "item", "prediction")
+    out = _weighted(cand, sims, "user", ["target", "item", *by])
+    return out.select(F.col("target").alias("user"), "item", *by, "prediction")
+
+
+def _int_id(name: str):
+    """ALS takes 32-bit ids; a larger one fails instead of wrapping round to another."""
+    c = F.col(name)
+    fits = c.isNull() | c.between(-(1 << 31), (1 << 31) - 1)
+    return F.when(fits, c).otherwise(F.raise_error(F.lit(f"{name} does not fit into 32 bits")).cast("bigint")).cast("int").alias(name)
 
 
 def als_fit(train: DataFrame, rank: int = 8, max_iter: int = 5, reg: float = 0.1, seed: int = 5,
@@ -112,16 +131,15 @@ def als_fit(train: DataFrame, rank: int = 8, max_iter: int = 5, reg: float = 0.1
     als = ALS(rank=rank, maxIter=max_iter, regParam=reg, seed=seed, userCol="user", itemCol="item",
               ratingCol="rating", coldStartStrategy="drop", numUserBlocks=blocks,
               numItemBlocks=blocks, checkpointInterval=checkpoint_interval)
-    data = train.select(F.col("user").cast("int").alias("user"), F.col("item").cast("int").alias("item"),
-                        "rating")
+    data = train.select(_int_id("user"), _int_id("item"), "rating")
     return als.fit(data)
 
 
-def als_predict(model, pairs: DataFrame) -> DataFrame:
+def als_predict(model, pairs: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
     """Predictions for (user, item) pairs; unknown users or items give no row."""
-    data = pairs.select(F.col("user").cast("int").alias("user"), F.col("item").cast("int").alias("item"))
+    data = pairs.select(_int_id("user"), _int_id("item"), *by)
     return model.transform(data).select(F.col("user").cast("bigint").alias("user"),
-                                        F.col("item").cast("bigint").alias("item"),
+                                        F.col("item").cast("bigint").alias("item"), *by,
                                         F.col("prediction").cast("double").alias("prediction"))
 
 
@@ -130,16 +148,21 @@ def als_rank_search(train: DataFrame, valid: DataFrame, ranks: Sequence[int] = (
     """Fit one model per rank; train and validation RMSE per rank (scored in
     one pass over both splits); returns (table, best_rank) with the lowest
     validation RMSE.  The training split is cached across the fits."""
+    table, best, _ = _rank_search(train, valid, ranks, max_iter, reg, seed)
+    return table, best
+
+
+def _rank_search(train: DataFrame, valid: DataFrame, ranks: Sequence[int], max_iter: int = 5, reg: float = 0.1, seed: int = 5):
+    """(table, best rank, the model fitted with it)."""
     spark = train.sparkSession
     train = train.select("user", "item", "rating").persist(StorageLevel.MEMORY_AND_DISK)
     both = (train.withColumn("split", F.lit("train"))
             .unionByName(valid.select("user", "item", "rating").withColumn("split", F.lit("valid"))))
-    rows = []
+    rows, models = [], {}
     try:
         for r in ranks:
-            model = als_fit(train, r, max_iter, reg, seed)
-            scored = model.transform(both.select(F.col("user").cast("int").alias("user"),
-                                                 F.col("item").cast("int").alias("item"), "rating", "split"))
+            model = models[int(r)] = als_fit(train, r, max_iter, reg, seed)
+            scored = model.transform(both.select(_int_id("user"), _int_id("item"), "rating", "split"))
             res = {x["split"]: x["rmse"] for x in scored.groupBy("split").agg(
                 F.sqrt(F.avg(F.pow(F.col("prediction") - F.col("rating"), 2))).alias("rmse")).collect()}
             rows.append((int(r), res.get("train"), res.get("valid")))
@@ -149,30 +172,24 @@ def als_rank_search(train: DataFrame, valid: DataFrame, ranks: Sequence[int] = (
     best = min(valid_rows, key=lambda x: x[2])[0] if valid_rows else int(ranks[0])
     table = spark.createDataFrame([(r, t, v, r == best) for r, t, v in rows],
                                   "rank int, train_rmse double, valid_rmse double, is_best boolean")
-    return table, best
+    return table, best, models[best]
 
 
 def method_comparison(train: DataFrame, valid: DataFrame, test: DataFrame,
                       ranks: Sequence[int] = (4, 8, 12), block_size: int = DEFAULT_BLOCK_SIZE) -> DataFrame:
     """(method, split, rmse, n) for ALS (best rank by validation), the bias
     baseline, item-based and user-based CF on one split."""
-    spark = train.sparkSession
-    _, best = als_rank_search(train, valid, ranks)
-    model = als_fit(train, best)
-    item_sims = cosine_similarity(train, "item", "user", block_size)
-    user_sims = cosine_similarity(train, "user", "item", block_size)
-    parts = []
-    for split_name, data in (("valid", valid), ("test", test)):
-        preds = {
-            "als": als_predict(model, data),
-            "baseline": baseline_predict(train, data),
-            "item_cf": item_based_predict(train, data, item_sims),
-            "user_cf": user_based_predict(train, data, user_sims),
-        }
-        for method, p in preds.items():
-            parts.append(rmse(p, data).select(F.lit(method).alias("method"), F.lit(split_name).alias("split"),
-                                               "rmse", "n"))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
+    _, _, model = _rank_search(train, valid, ranks)
+    both = valid.withColumn("split", F.lit("valid")).unionByName(test.withColumn("split", F.lit("test")))
+    by = ("split",)
+    preds = {
+        "als": als_predict(model, both, by),
+        "baseline": baseline_predict(train, both, by),
+        "item_cf": item_based_predict(train, both, None, block_size, by),
+        "user_cf": user_based_predict(train, both, None, block_size, by),
+    }
+    out = None
+    for method, p in preds.items():
+        part = rmse_by_split(p, both, ("valid", "test")).select(F.lit(method).alias("method"), "split", "rmse", "n")
+        out = part if out is None else out.unionByName(part)
     return out

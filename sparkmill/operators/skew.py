@@ -15,32 +15,20 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 DEFAULT_BLOCK_SIZE = 2000
-# A hot-key table is broadcast only when it has at most this many rows.
-MAX_BROADCAST_ROWS = 200_000
 
 
-def checked_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> tuple[DataFrame, bool]:
-    """Materialise ``df`` on reliable storage, count it, and return it with a
-    broadcast hint only when it has at most ``max_rows`` rows.
+def balanced_join(df: DataFrame, per_key: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """Join rows with a table of one row per key, whatever share of ``df`` one key holds.
 
-    Used for derived tables (candidate sets) whose size is data-dependent:
-    the count is the size check, the checkpoint keeps the table from being
-    recomputed by the count, the broadcast and any retry."""
+    The per-key table is usually an aggregate, which leaves it hash-partitioned, and AQE
+    only splits a skewed partition when *both* sides of the join come straight from a
+    shuffle.  Written to the checkpoint folder it is a plain table again: Spark broadcasts
+    it if its size in bytes allows, or shuffles both sides and splits the hot key's rows.
+    No size is tested here."""
     from sparkmill.session import checkpoint_dir
 
     checkpoint_dir(df.sparkSession)
-    df = df.checkpoint(eager=True)
-    if df.count() <= max_rows:
-        return F.broadcast(df), True
-    return df, False
-
-
-def join_hot_keys(df: DataFrame, hot: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Left-join a (usually tiny) per-key table; broadcast only when its size is checked.
-
-    Beyond the bound it is a shuffle join, and AQE splits skewed partitions of ``df``."""
-    hot_side, _ = checked_broadcast(hot)
-    return df.join(hot_side, list(keys), "left")
+    return df.join(per_key.checkpoint(eager=True), list(keys), how)
 
 
 def with_bucket_count(df: DataFrame, group_cols: Sequence[str], block_size: int,
@@ -50,7 +38,7 @@ def with_bucket_count(df: DataFrame, group_cols: Sequence[str], block_size: int,
     hot = (df.groupBy(*group_cols).agg(F.count(F.lit(1)).alias("_n"))
              .filter(F.col("_n") > block_size)
              .select(*group_cols, F.ceil(F.col("_n") / block_size).cast("int").alias(name)))
-    joined = join_hot_keys(df, hot, group_cols)
+    joined = balanced_join(df, hot, group_cols, "left")
     return joined.withColumn(name, F.coalesce(F.col(name), F.lit(1)))
 
 
@@ -94,24 +82,33 @@ def pairs_within_groups(df: DataFrame, group_cols: Sequence[str], item_col: str,
     return joined.select(*out)
 
 
-def salted_join(split_side: DataFrame, other: DataFrame, keys: Sequence[str], salt_by: str,
-                block_size: int = DEFAULT_BLOCK_SIZE) -> DataFrame:
-    """Inner equi-join that stays balanced when a key is hot on both sides.
+def salted_join(left: DataFrame, right: DataFrame, keys: Sequence[str], salt_by: str,
+                block_size: int = DEFAULT_BLOCK_SIZE, right_salt_by: str | None = None) -> DataFrame:
+    """Inner equi-join that stays balanced when a key is hot on either side or on both.
+
+    A key of more than ``block_size`` rows on a side is cut there into
+    ceil(n / block_size) buckets by hash of that side's salt column, and its rows on the
+    other side are copied once per bucket.  A join key (key, left bucket, right bucket) then
+    holds at most about ``block_size`` rows of each side; keys that are ordinary on both sides
+    are not copied.  ``right_salt_by`` defaults to all columns of ``right``.
+    The result equals ``left.join(right, keys)``."""
+    from sparkmill.session import checkpoint_dir
 
-    Keys with more than ``block_size`` rows on ``split_side`` are cut into
-    ceil(n / block_size) buckets by hash of ``salt_by``; the matching rows of
-    ``other`` are copied once per bucket.  Each join key then holds at most
-    about ``block_size`` rows of the split side, and ordinary keys are not
-    copied at all.  The result equals ``split_side.join(other, keys)``."""
     keys = list(keys)
-    hot = (split_side.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-           .filter(F.col("_n") > block_size)
-           .select(*keys, F.ceil(F.col("_n") / block_size).cast("int").alias("_nb")))
-    hot_side, _ = checked_broadcast(hot)
-    left = (split_side.join(hot_side, keys, "left")
-            .withColumn("_salt", F.pmod(F.xxhash64(F.col(salt_by)), F.coalesce(F.col("_nb"), F.lit(1))).cast("int"))
-            .drop("_nb"))
-    right = (other.join(hot_side, keys, "left")
-             .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_nb"), F.lit(1)) - 1)))
-             .drop("_nb"))
-    return left.join(right, keys + ["_salt"]).drop("_salt")
+    checkpoint_dir(left.sparkSession)
+
+    def sizes(df: DataFrame, name: str) -> DataFrame:
+        return df.groupBy(*keys).agg(F.ceil(F.count(F.lit(1)) / block_size).cast("int").alias(name)).filter(F.col(name) > 1)
+
+    hot = sizes(left, "_ln").join(sizes(right, "_rn"), keys, "full").checkpoint(eager=True)
+    ones = {n: F.coalesce(n, F.lit(1)) for n in ("_ln", "_rn")}
+    right_salt = [right_salt_by] if right_salt_by else right.columns
+
+    def bucket(columns: list, n: str):
+        return F.pmod(F.xxhash64(*columns), ones[n]).cast("int")
+
+    a = (left.join(hot, keys, "left").withColumn("_lb", bucket([salt_by], "_ln"))
+         .withColumn("_rb", F.explode(F.sequence(F.lit(0), ones["_rn"] - 1))).drop("_ln", "_rn"))
+    b = (right.join(hot, keys, "left").withColumn("_rb", bucket(right_salt, "_rn"))
+         .withColumn("_lb", F.explode(F.sequence(F.lit(0), ones["_ln"] - 1))).drop("_ln", "_rn"))
+    return a.join(b, keys + ["_lb", "_rb"]).drop("_lb", "_rb")

@@ -8,6 +8,8 @@ unrolled CTEs where Spark loops.
 
 from __future__ import annotations
 
+import warnings
+
 from sparkmill.functions.weblog import LOG_PATTERN, MONTHS
 from sparkmill.plans import queries as Q
 from sparkmill.sources.stopwords import spark_stop_words
@@ -38,9 +40,10 @@ def _word_count(expr: str) -> str:
             f"GROUP BY word")
 
 
-STOP = _list(spark_stop_words("english"))
-CLEAN_DOCS = (f"SELECT doc_id, array_to_string(list_filter(regexp_split_to_array(lower({_clean_expr('text')}), "
-              f"'\\W+'), lambda t: t <> '' AND NOT list_contains({STOP}, t)), ' ') AS text FROM documents")
+def _clean_docs() -> str:
+    stop = _list(spark_stop_words("english"))
+    return (f"SELECT doc_id, array_to_string(list_filter(regexp_split_to_array(lower({_clean_expr('text')}), "
+            f"'\\W+'), lambda t: t <> '' AND NOT list_contains({stop}, t)), ' ') AS text FROM documents")
 
 # ------------------------------------------------------------------ web log
 _status = " ".join(f"WHEN {_lit(k)} THEN {v}" for k, v in STATUS_BY_TYPE.items())
@@ -135,6 +138,18 @@ def _rmse(pred: str, actual: str) -> str:
             f"FROM {pred} p JOIN {actual} a ON p.\"user\" = a.\"user\" AND p.item = a.item")
 
 
+HASH_SPLIT = ("CASE WHEN CAST('0x' || substr(md5('0,' || \"user\" || ',' || item), 1, 8) AS BIGINT) % 10 < 8 THEN 'train' "
+              "WHEN CAST('0x' || substr(md5('0,' || \"user\" || ',' || item), 1, 8) AS BIGINT) % 10 < 9 THEN 'valid' "
+              "ELSE 'test' END")
+
+
+def _baseline(target: str, name: str) -> str:
+    return f"""
+{name} AS (SELECT t."user", t.item, coalesce(um.um, mu.mu) + coalesce(im.im, mu.mu) - mu.mu AS prediction
+         FROM {target} t CROSS JOIN mu LEFT JOIN um ON um."user" = t."user" LEFT JOIN im ON im.item = t.item)
+"""
+
+
 BASELINE = """,
 mu AS (SELECT avg(rating) AS mu FROM train),
 um AS (SELECT "user", avg(rating) AS um FROM train GROUP BY 1),
@@ -149,7 +164,10 @@ lo AS (SELECT l.l_partkey, l.l_suppkey, o.o_custkey FROM lineitem l JOIN orders
 edges AS (SELECT DISTINCT src, dst FROM (
     SELECT 'p' || CAST(l_partkey AS VARCHAR) AS src, 's' || CAST(l_suppkey AS VARCHAR) AS dst FROM lineitem
     UNION ALL SELECT 's' || CAST(l_suppkey AS VARCHAR), 'c' || CAST(o_custkey AS VARCHAR) FROM lo
-    UNION ALL SELECT 'c' || CAST(o_custkey AS VARCHAR), 'p' || CAST(l_partkey AS VARCHAR) FROM lo)),
+    UNION ALL SELECT 'c' || CAST(o_custkey AS VARCHAR), 'p' || CAST(l_partkey AS VARCHAR) FROM lo
+    UNION ALL SELECT 'o' || CAST(o_orderkey AS VARCHAR), 'c' || CAST(o_custkey AS VARCHAR) FROM orders
+    UNION ALL SELECT 'c' || CAST(c_custkey AS VARCHAR), 'n' || CAST(c_nationkey AS VARCHAR) FROM customer
+    UNION ALL SELECT 'n' || CAST(n_nationkey AS VARCHAR), 'r' || CAST(n_regionkey AS VARCHAR) FROM nation)),
 degs AS (SELECT node, CAST(sum(o) AS BIGINT) AS out_degree, CAST(sum(i) AS BIGINT) AS in_degree FROM (
     SELECT src AS node, 1 AS o, 0 AS i FROM edges UNION ALL SELECT dst, 0, 1 FROM edges) GROUP BY node)
 """
@@ -169,8 +187,9 @@ PR = _pagerank(Q.PAGERANK_ROUNDS)
 FINAL = f"r{Q.PAGERANK_ROUNDS}"
 
 # ------------------------------------------------------------------ word sets
-WORDSETS = f"""
-clean AS ({CLEAN_DOCS}),
+def _wordsets() -> str:
+    return f"""
+clean AS ({_clean_docs()}),
 thr AS (SELECT CAST(floor(CAST({Q.SUPPORT_FRACTION} AS DOUBLE) * count(*)) AS BIGINT) AS t FROM documents),
 dw AS (SELECT DISTINCT doc_id AS doc, word FROM (SELECT doc_id, unnest(string_split(text, ' ')) AS word FROM clean)
        WHERE word <> ''),
@@ -189,7 +208,8 @@ l4 AS (SELECT o.w1, o.w2, o.w3, d.word AS w4, count(*) AS support
 """
 
 
-def oracle_sql() -> dict[str, str]:
+def _texts() -> dict:
+    """SQL, or a function that builds it, per query."""
     sql = {
         "word_count_raw": _word_count("text"),
         "word_count_lower": _word_count("lower(text)"),
@@ -199,7 +219,7 @@ def oracle_sql() -> dict[str, str]:
             f"WHERE n >= (SELECT min(n) FROM (SELECT n FROM c ORDER BY n DESC LIMIT {Q.TOP_WORDS_TIES}))"),
         "word_count_clean_top20": (
             f"{_word_count(_clean_expr('text'))} ORDER BY n DESC, word LIMIT {Q.TOP_WORDS}"),
-        "clean_documents": CLEAN_DOCS,
+        "clean_documents": _clean_docs,
         "log_records": _with_log("SELECT * FROM recs"),
         "log_parse_stats": _with_log(
             "SELECT count(*) AS n_read, count(*) FILTER (WHERE is_valid) AS n_parsed, "
@@ -234,6 +254,9 @@ def oracle_sql() -> dict[str, str]:
                        "FROM ratings GROUP BY 1"),
         "item_means": (f"WITH {RATINGS} SELECT item, round(avg(rating), 6) AS item_mean, count(*) AS n_ratings "
                        "FROM ratings GROUP BY 1"),
+        "random_split": f"WITH {RATINGS} SELECT \"user\", item, {HASH_SPLIT} AS split FROM ratings",
+        "random_split_counts": (f"WITH {RATINGS} SELECT {HASH_SPLIT} AS split, count(*) AS n FROM ratings "
+                                "GROUP BY 1"),
         "time_split": f"WITH {SPLIT} SELECT \"user\", item, rating, ts, split FROM split",
         "time_split_counts": f"WITH {SPLIT} SELECT split, count(*) AS n FROM split GROUP BY split",
         "baseline_predict": (f"WITH {SPLIT}{BASELINE} SELECT \"user\", item, round(prediction, 6) AS prediction "
@@ -259,7 +282,8 @@ def oracle_sql() -> dict[str, str]:
             "ORDER BY round(sim, 9) DESC, other) AS rank FROM usim_both) "
             f"SELECT \"user\", other, round(sim, 6) AS sim, CAST(rank AS INTEGER) AS rank FROM ranked "
             f"WHERE rank <= {Q.NEIGHBORS}"),
-        "ratings_by_time": f"WITH {RATINGS} SELECT * FROM ratings",
+        "ratings_by_time": (f"WITH {RATINGS} SELECT *, row_number() OVER (ORDER BY ts, \"user\", item) AS position "
+                            "FROM ratings"),
         "item_cf_predict": (
             f"WITH {SPLIT}, {_sims('train', 'item', 'user', 'isim')}, {_item_cf('test', 'ip')} "
             "SELECT \"user\", item, round(prediction, 6) AS prediction FROM ip"),
@@ -275,10 +299,24 @@ def oracle_sql() -> dict[str, str]:
             f"UNION ALL SELECT 'user_cf', 'valid', * FROM ({_rmse('upv', 'valid')}) "
             f"UNION ALL SELECT 'item_cf', 'test', * FROM ({_rmse('ipt', 'test')}) "
             f"UNION ALL SELECT 'user_cf', 'test', * FROM ({_rmse('upt', 'test')})"),
+        "als_scored_pairs": (
+            f"WITH {SPLIT} SELECT \"user\", item FROM test WHERE \"user\" IN (SELECT \"user\" FROM train) "
+            "AND item IN (SELECT item FROM train)"),
+        "method_comparison_checked": (
+            f"WITH {SPLIT}{BASELINE}, {_baseline('valid', 'basev')}, {_sims('train', 'item', 'user', 'isim')}, "
+            f"{_sims('train', 'user', 'item', 'usim')}, "
+            f"{_item_cf('valid', 'ipv')}, {_item_cf('test', 'ipt')}, {_user_cf('valid', 'upv')}, "
+            f"{_user_cf('test', 'upt')} "
+            + " UNION ALL ".join(
+                f"SELECT '{m}' AS method, '{t}' AS split, n, rmse FROM ({_rmse(p, t)})"
+                for m, t, p in (("item_cf", "valid", "ipv"), ("user_cf", "valid", "upv"), ("item_cf", "test", "ipt"),
+                                ("user_cf", "test", "upt"), ("baseline", "valid", "basev"), ("baseline", "test", "base")))
+            + "".join(f" UNION ALL SELECT 'als', '{t}', count(*), NULL FROM {t} WHERE \"user\" IN (SELECT \"user\" FROM train) "
+                      "AND item IN (SELECT item FROM train)" for t in ("valid", "test"))),
         "graph_edges": f"WITH {EDGES} SELECT src, dst FROM edges",
         "edge_degrees": f"WITH {EDGES} SELECT node, out_degree, in_degree FROM degs",
-        "adjacency": (f"WITH {EDGES} SELECT src, CAST(0 AS INTEGER) AS page, CAST(count(*) AS INTEGER) AS n_dst, "
-                      "array_to_string(list_sort(list(dst)), ' ') AS dsts FROM edges GROUP BY src"),
+        "adjacency": (f"WITH {EDGES} SELECT src, row_number() OVER (PARTITION BY src ORDER BY dst) AS position, dst "
+                      "FROM edges"),
         "pagerank_ranks": f"WITH {PR} SELECT node, round(rank, 6) AS rank FROM {FINAL}",
         "pagerank_top20": (f"WITH {PR} SELECT node, round(rank, 6) AS rank FROM {FINAL} "
                            f"ORDER BY round(rank, 9) DESC, node LIMIT {Q.TOP_NODES}"),
@@ -290,21 +328,32 @@ def oracle_sql() -> dict[str, str]:
             "SELECT t.node, round(t.rank, 6) AS rank, coalesce(d.out_degree, 0) AS out_degree, "
             "coalesce(d.in_degree, 0) AS in_degree, round(nb.s / nb.c, 6) AS avg_neighbor_rank "
             "FROM top t LEFT JOIN degs d ON d.node = t.node LEFT JOIN nb ON nb.node = t.node"),
-        "frequent_words": (
-            f"WITH {WORDSETS} SELECT word, count(*) AS n FROM (SELECT unnest(string_split(text, ' ')) AS word "
+        "frequent_words": lambda: (
+            f"WITH {_wordsets()} SELECT word, count(*) AS n FROM (SELECT unnest(string_split(text, ' ')) AS word "
             "FROM clean) WHERE word <> '' GROUP BY word HAVING count(*) > (SELECT t FROM thr)"),
-        "frequent_pairs": f"WITH {WORDSETS} SELECT w1, w2, support FROM l2",
-        "frequent_triples": f"WITH {WORDSETS} SELECT w1, w2, w3, support FROM l3",
-        "quad_candidates": (
-            f"WITH {WORDSETS} SELECT count(*) AS n_candidates FROM l3 x JOIN l3 y "
+        "frequent_pairs": lambda: f"WITH {_wordsets()} SELECT w1, w2, support FROM l2",
+        "frequent_triples": lambda: f"WITH {_wordsets()} SELECT w1, w2, w3, support FROM l3",
+        "quad_candidates": lambda: (
+            f"WITH {_wordsets()} SELECT count(*) AS n_candidates FROM l3 x JOIN l3 y "
             "ON x.w1 = y.w1 AND x.w2 = y.w2 AND x.w3 < y.w3 "
             "WHERE EXISTS (SELECT 1 FROM l3 z WHERE z.w1 = x.w2 AND z.w2 = x.w3 AND z.w3 = y.w3)"),
-        "frequent_quads": f"WITH {WORDSETS} SELECT w1, w2, w3, w4, support FROM l4",
-        "frequent_quads_top10": (f"WITH {WORDSETS} SELECT w1, w2, w3, w4, support FROM l4 "
+        "frequent_quads": lambda: f"WITH {_wordsets()} SELECT w1, w2, w3, w4, support FROM l4",
+        "frequent_quads_top10": lambda: (f"WITH {_wordsets()} SELECT w1, w2, w3, w4, support FROM l4 "
                                  f"ORDER BY support DESC, w1, w2, w3, w4 LIMIT {Q.TOP_SETS}"),
-        "frequent_sets_fpgrowth": (
-            f"WITH {WORDSETS} SELECT w1 || ' ' || w2 AS items, CAST(2 AS INTEGER) AS n_words, support FROM l2 "
+        "frequent_sets_fpgrowth": lambda: (
+            f"WITH {_wordsets()} SELECT w1 || ' ' || w2 AS items, CAST(2 AS INTEGER) AS n_words, support FROM l2 "
             "UNION ALL SELECT w1 || ' ' || w2 || ' ' || w3, CAST(3 AS INTEGER), support FROM l3 "
             "UNION ALL SELECT w1 || ' ' || w2 || ' ' || w3 || ' ' || w4, CAST(4 AS INTEGER), support FROM l4"),
     }
     return sql
+
+
+def oracle_sql() -> dict[str, str]:
+    """SQL per query, each text built by itself: a fault costs its own query only."""
+    out = {}
+    for name, text in _texts().items():
+        try:
+            out[name] = text() if callable(text) else text
+        except Exception as e:  # noqa: BLE001
+            warnings.warn(f"no SQL for {name}: {e}", stacklevel=2)
+    return out

@@ -144,6 +144,10 @@ def item_means(spark, d):
     return rt.item_means(_ratings(spark, d)).select("item", r6("item_mean").alias("item_mean"), "n_ratings")
 
 
+def random_split(spark, d):
+    return rt.hash_split(_ratings(spark, d)).select("user", "item", "split")
+
+
 def random_split_counts(spark, d):
     return rt.split_counts(rt.hash_split(_ratings(spark, d)))
 
@@ -214,31 +218,25 @@ def ratings_by_time(spark, d):
 
 def item_cf_predict(spark, d):
     train, _, test = _splits(spark, d)
-    sims = rc.cosine_similarity(train, "item", "user")
-    p = rc.item_based_predict(train, test, sims)
+    p = rc.item_based_predict(train, test)
     return p.select("user", "item", r6("prediction").alias("prediction"))
 
 
 def user_cf_predict(spark, d):
     train, _, test = _splits(spark, d)
-    sims = rc.cosine_similarity(train, "user", "item")
-    p = rc.user_based_predict(train, test, sims)
+    p = rc.user_based_predict(train, test)
     return p.select("user", "item", r6("prediction").alias("prediction"))
 
 
 def cf_rmse(spark, d):
-    train, valid, test = _splits(spark, d)
-    isim = rc.cosine_similarity(train, "item", "user")
-    usim = rc.cosine_similarity(train, "user", "item")
-    parts = []
-    for split_name, data in (("valid", valid), ("test", test)):
-        for method, p in (("item_cf", rc.item_based_predict(train, data, isim)),
-                          ("user_cf", rc.user_based_predict(train, data, usim))):
-            parts.append(rt.rmse(p, data).select(F.lit(method).alias("method"), F.lit(split_name).alias("split"),
-                                                  r6("rmse").alias("rmse"), "n"))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
+    checkpoint_dir(spark)
+    split = _time_split(spark, d).checkpoint(eager=True)  # read by every branch below
+    train, both = split.filter("split = 'train'").drop("split"), split.filter("split <> 'train'")
+    out = None
+    for method, predict in (("item_cf", rc.item_based_predict), ("user_cf", rc.user_based_predict)):
+        p = predict(train, both, by=("split",))
+        part = rt.rmse_by_split(p, both, ("valid", "test")).select(F.lit(method).alias("method"), "split", r6("rmse").alias("rmse"), "n")
+        out = part if out is None else out.unionByName(part)
     return out
 
 
@@ -254,11 +252,23 @@ def als_rank_search(spark, d):
     return table
 
 
+def als_scored_pairs(spark, d):
+    """Which test pairs ALS scores: those whose user and item are both in the training split."""
+    train, _, test = _splits(spark, d)
+    return rc.als_predict(rc.als_fit(train, rank=4, max_iter=1), test).select("user", "item")
+
+
 def method_comparison(spark, d):
     train, valid, test = _splits(spark, d)
     return rc.method_comparison(train, valid, test, ALS_RANKS)
 
 
+def method_comparison_checked(spark, d):
+    """The comparison with what any engine can recompute: all counts, and every rmse but that of ALS."""
+    out = method_comparison(spark, d)
+    return out.select("method", "split", "n", F.when(F.col("method") != "als", r6("rmse")).alias("rmse"))
+
+
 # ---------------------------------------------------------------- graph
 
 def graph_edges(spark, d):
@@ -270,8 +280,7 @@ def edge_degrees(spark, d):
 
 
 def adjacency(spark, d):
-    adj = graph.adjacency(tables.graph_edges(spark, d))
-    return adj.select("src", "page", F.size("dsts").alias("n_dst"), F.array_join("dsts", " ").alias("dsts"))
+    return graph.adjacency(tables.graph_edges(spark, d))
 
 
 def _ranks(spark, d):
@@ -307,9 +316,11 @@ def min_support(spark, d) -> int:
     return int(SUPPORT_FRACTION * n_docs)
 
 
-def _mined(spark, d):
-    clean = _clean(spark, d)
-    return itemsets.mine(text.document_words(clean), min_support(spark, d))
+def _mined(spark, d, level):
+    m = itemsets.mine(text.document_words(_clean(spark, d)), min_support(spark, d))
+    out = getattr(m, level)
+    m.release()
+    return out
 
 
 def frequent_words(spark, d):
@@ -317,23 +328,23 @@ def frequent_words(spark, d):
 
 
 def frequent_pairs(spark, d):
-    return _mined(spark, d).pairs
+    return _mined(spark, d, "pairs")
 
 
 def frequent_triples(spark, d):
-    return _mined(spark, d).triples
+    return _mined(spark, d, "triples")
 
 
 def quad_candidates(spark, d):
-    return _mined(spark, d).quad_candidates.agg(F.count(F.lit(1)).alias("n_candidates"))
+    return _mined(spark, d, "quad_candidates").agg(F.count(F.lit(1)).alias("n_candidates"))
 
 
 def frequent_quads(spark, d):
-    return _mined(spark, d).quads
+    return _mined(spark, d, "quads")
 
 
 def frequent_quads_top10(spark, d):
-    return itemsets.top_sets(_mined(spark, d).quads, TOP_SETS)
+    return itemsets.top_sets(_mined(spark, d, "quads"), TOP_SETS)
 
 
 def frequent_sets_fpgrowth(spark, d):
@@ -364,6 +375,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         ("global_mean", global_mean),
         ("user_means", user_means),
         ("item_means", item_means),
+        ("random_split", random_split),
         ("random_split_counts", random_split_counts),
         ("time_split", time_split),
         ("time_split_counts", time_split_counts),
@@ -381,7 +393,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         ("cf_rmse", cf_rmse),
         ("als_predict", als_predict),
         ("als_rank_search", als_rank_search),
+        ("als_scored_pairs", als_scored_pairs),
         ("method_comparison", method_comparison),
+        ("method_comparison_checked", method_comparison_checked),
         ("graph_edges", graph_edges),
         ("edge_degrees", edge_degrees),
         ("adjacency", adjacency),

@@ -46,13 +46,13 @@ def test_node_report(edges):
     assert list(rep) == ["C", "B", "A", "E"] or set(rep) == {"A", "B", "C", "E"}
 
 
-@pytest.mark.parametrize("page", [10_000, 1])
-def test_adjacency(edges, page):
-    rows = graph.adjacency(edges, page).collect()
+@pytest.mark.parametrize("parts", [1, 7])
+def test_adjacency(spark, edges, parts):
+    """One shape at every size: a hub's list is cut over tasks and numbered through."""
+    hub = edges.unionByName(spark.createDataFrame([("H", f"n{i:03d}") for i in range(300)] + [("H", "n000")], "src string, dst string"))
+    rows = sorted((r.src, r.position, r.dst) for r in graph.adjacency(hub, parts).collect())
     lists = {}
-    for r in rows:
-        lists.setdefault(r.src, []).extend(r.dsts)
-        assert len(r.dsts) >= 1
-    assert {k: sorted(v) for k, v in lists.items()} == {"A": ["B", "C"], "B": ["C"], "C": ["A", "E"], "D": ["C"]}
-    if page == 10_000:
-        assert all(r.page == 0 for r in rows)
+    for src, position, dst in rows:
+        lists.setdefault(src, []).append(dst)
+        assert position == len(lists[src])
+    assert lists == {"A": ["B", "C"], "B": ["C"], "C": ["A", "E"], "D": ["C"], "H": [f"n{i:03d}" for i in range(300)]}

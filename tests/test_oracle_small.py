@@ -6,6 +6,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from sparkmill.plans.oracle import oracle_sql
 from sparkmill.sources.tables import TABLES
 
 SF = "/root/testdata/sf0.001"
@@ -30,7 +31,7 @@ def _rows(cols, rows):
     return sorted(tuple(_norm(r[i]) for i in order) for r in rows)
 
 
-@pytest.mark.parametrize("name", sorted(E.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(oracle_sql()))
 def test_query_matches_sql(spark, con, name):
     df = E.queries()[name](spark, SF)
     got = _rows(df.columns, [tuple(r) for r in df.collect()])

@@ -1,8 +1,9 @@
 """Hot groups are split: bucket counts and bucket sizes stay near block_size."""
 
+import pytest
 from pyspark.sql import functions as F
 
-from sparkmill.operators.skew import pairs_within_groups, salted_join, with_bucket_count
+from sparkmill.operators.skew import balanced_join, pairs_within_groups, salted_join, with_bucket_count
 
 
 def _skewed(spark, hot_rows=3000, cold_groups=50, cold_rows=5):
@@ -35,3 +36,52 @@ def test_salted_join_hot_key(spark):
     out = salted_join(left, right, ["g"], "item", 50)
     assert out.count() == 500 * 2 + 5
     assert sorted(map(tuple, out.collect())) == sorted(map(tuple, left.join(right, "g").collect()))
+
+
+def _rows_per_task(df):
+    return [r["count"] for r in df.groupBy(F.spark_partition_id().alias("p")).count().collect()]
+
+
+@pytest.fixture()
+def eager_skew_split(spark):
+    """AQE thresholds so low that small test data is split; no broadcasts."""
+    conf = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "4k", "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "4k",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5", "spark.sql.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in before.items():
+        spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_balanced_join_splits_a_hot_key(spark, eager_skew_split):
+    """One key holds 80 % of the rows; the other side is an aggregate."""
+    rows = spark.range(0, 20000, 1, 16).select(F.when(F.col("id") % 5 > 0, 0).otherwise(F.col("id")).alias("k"), F.xxhash64("id").alias("v"))
+    per_key = rows.groupBy("k").agg(F.count(F.lit(1)).alias("n"))
+    out = balanced_join(rows, per_key, ["k"])
+    assert max(_rows_per_task(out)) < 0.5 * 20000
+    assert out.agg(F.sum("n")).first()[0] == rows.join(per_key, "k").agg(F.sum("n")).first()[0]
+
+
+@pytest.mark.parametrize("left_hot,right_hot", [(True, False), (False, True), (True, True)])
+def test_salted_join_splits_either_side(spark, left_hot, right_hot):
+    """Bounded rows per (key, bucket, bucket) whichever side is hot, and the plain join's answer."""
+    left = spark.range(1000).select(F.when(F.lit(left_hot) & (F.col("id") % 5 > 0), 7).otherwise(F.col("id")).alias("k"), F.col("id").alias("a"))
+    right = spark.range(1000).select(F.when(F.lit(right_hot) & (F.col("id") % 5 > 0), 7).otherwise(F.col("id")).alias("k"), (F.col("id") * 3).alias("b"))
+    out = salted_join(left, right, ["k"], "a", 50)
+    plain = left.join(right, "k")
+    total = lambda df: tuple(df.agg(F.count(F.lit(1)), F.sum(F.xxhash64("k", "a", "b").cast("decimal(38,0)"))).first())
+    assert total(out) == total(plain)
+
+
+def test_salted_join_bounds_a_key(spark):
+    """800 rows of one key on both sides, blocks of 50: no join key pairs more than about 2 x 50 rows a side."""
+    from sparkmill.operators import skew
+
+    side = spark.range(800).select(F.lit(1).alias("k"), F.col("id").alias("a"))
+    out = skew.salted_join(side, side.withColumnRenamed("a", "b"), ["k"], "a", 50)
+    cells = (out.select(F.pmod(F.xxhash64("a"), F.lit(16)).alias("x"), F.pmod(F.xxhash64("k", "b"), F.lit(16)).alias("y"))
+             .groupBy("x", "y").count().collect())
+    assert len(cells) == 256 and max(c["count"] for c in cells) <= 100 * 100 and sum(c["count"] for c in cells) == 640000

@@ -35,11 +35,7 @@ def op4_sampled_segmentation(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def segmentations(docs: DataFrame) -> DataFrame:
     """Sampled segmentations of every text, decoded again and compared with it."""
-    model = public_tokenizers.path("piece_bpe_32k.model")
-    crc = docs.select("doc_id", "text", F.crc32(F.coalesce("text", F.lit("")).cast("binary")).alias("crc"))
-    samples = segment.encode(crc, model, keep=("crc",))
-    out = segment.decode(samples, model, digest=True)
-    return out.withColumn("round_trip", F.col("text_crc32") == F.col("crc")).drop("text_crc32", "crc")
+    return segment.round_trips(docs, public_tokenizers.path("piece_bpe_32k.model"))
 
 
 def op5_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -33,15 +33,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sparkmill.llm import words as W
+from sparkmill.llm.store import small_batches
 
 SAMPLES = 2
 CHUNK_BYTES = 2 << 20
-KNOWN_EDGES = 4_000_000
+KNOWN_EDGES = 3_000_000
 _U64 = np.uint64
 _BASE = _U64(0xC2B2AE3D27D4EB4F)
 _CODE = W.mix(np.arange(256, dtype=np.uint64) + _U64(11))
 _MARK = "▁"
 _RETRIES = 20
+_SLOT_BITS = 20
 
 
 class Vocabulary:
@@ -79,32 +81,45 @@ class Vocabulary:
         self.flat = flat
         run = W._running(_CODE[flat], _BASE)
         h = W._between(run, self.first, self.first + self.size, _BASE)
-        self.by_length = {}
-        for n in np.unique(self.size[ids]):
-            own = ids[self.size[ids] == n]
-            order = np.argsort(h[own])
-            self.by_length[int(n)] = (h[own][order], own[order])
-
-        self.known, self.known_lattice = np.zeros(0, dtype=np.uint64), None
+        self.index(h, ids)
+        self.store = Store()
+
+    def index(self, h: np.ndarray, ids: np.ndarray) -> None:
+        """A table from the top bits of a piece's hash to its id; the few ids that share a slot are
+        looked up by search."""
+        self.lengths = np.unique(self.size[ids]).tolist()
+        self.hash = h
+        slot = (h[ids] >> _U64(64 - _SLOT_BITS)).astype(np.int64)
+        self.slots = np.full(1 << _SLOT_BITS, -1, dtype=np.int32)
+        self.slots[slot] = ids
+        crowded = ids[np.bincount(slot, minlength=1 << _SLOT_BITS)[slot] > 1]
+        self.crowded = crowded[np.argsort(h[crowded])]
+        self.slots[slot[np.isin(ids, crowded)]] = -2
+
+    def find(self, h: np.ndarray) -> np.ndarray:
+        """Ids of pieces by hash, -1 for none."""
+        out = self.slots[(h >> _U64(64 - _SLOT_BITS)).astype(np.int64)]
+        some = np.flatnonzero(out == -2)
+        if len(some):
+            at = np.minimum(np.searchsorted(self.hash[self.crowded], h[some]), len(self.crowded) - 1)
+            out[some] = self.crowded[at]
+        return np.where(self.hash[out] == h, out, -1)  # an empty slot compares with some piece of another slot
 
     def lattice(self, names: np.ndarray, data: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[Lattice, np.ndarray]:
         """(lattice, number in it of each of some distinct segments).  A worker process remembers the
         first segments it meets, up to ``KNOWN_EDGES`` edges; the others are built again."""
-        order = np.argsort(self.known)
-        at = np.searchsorted(self.known, names, sorter=order)
-        at[at == len(self.known)] = 0
+        known = self.store.names
+        order = np.argsort(known)
+        at = np.searchsorted(known, names, sorter=order)
+        at[at == len(known)] = 0
         number = order[at] if len(order) else at
-        new = np.flatnonzero(self.known[number] != names) if len(order) else np.arange(len(names))
+        new = np.flatnonzero(known[number] != names) if len(order) else np.arange(len(names))
         size = end[new] - start[new]
         edge = np.cumsum(size) - size
         flat = np.full(size.sum() + len(new), 32, dtype=np.uint8)
         flat[np.repeat(np.arange(len(new)) + 1, size) + np.arange(size.sum())] = data[np.repeat(start[new] - edge, size) + np.arange(size.sum())]
-        built = Lattice(self, flat, size + 1)
-        number[new] = len(self.known) + np.arange(len(new))
-        both = built if self.known_lattice is None else self.known_lattice.joined(built)
-        if len(both.piece) <= KNOWN_EDGES:
-            self.known, self.known_lattice = np.concatenate([self.known, names[new]]), both
-        return both, number
+        number[new] = len(known) + np.arange(len(new))
+        return self.store.with_new(Lattice(self, flat, size + 1), names[new]), number
 
     @classmethod
     def of(cls, path: str) -> Vocabulary:
@@ -113,6 +128,35 @@ class Vocabulary:
         return cls._loaded[path]
 
 
+class Store:
+    """Lattices kept one behind another in arrays that have room to spare."""
+
+    KINDS = {"target": np.int32, "piece": np.int32, "log_q": np.float64, "upto": np.float32, "first_edge": np.int32, "is_end": np.bool_, "base": np.int64, "ways": np.float64}
+
+    def __init__(self):
+        self.room = {k: np.zeros(0, dtype=t) for k, t in self.KINDS.items()}
+        self.names = np.zeros(0, dtype=np.uint64)
+        self.edges = self.nodes = 0
+
+    def with_new(self, new: Lattice, names: np.ndarray) -> Lattice:
+        """What is kept, then ``new``; it is kept too while no more than KNOWN_EDGES are."""
+        edges, nodes, segments = self.edges, self.nodes, len(self.names)
+        starts = {"first_edge": nodes, "is_end": nodes, "base": segments, "ways": segments}
+        out = object.__new__(Lattice)
+        for k in self.KINDS:
+            part, at = getattr(new, k), starts.get(k, edges)
+            shift = {"target": nodes, "first_edge": edges, "base": nodes}.get(k, 0)
+            if at + len(part) > len(self.room[k]):
+                grown = np.zeros(at + len(part) + len(part) // 4, dtype=self.KINDS[k])
+                grown[:at] = self.room[k][:at]
+                self.room[k] = grown
+            self.room[k][at:at + len(part)] = part + np.int32(shift) if shift else part
+            setattr(out, k, self.room[k][:at + len(part)])
+        if edges + len(new.piece) <= KNOWN_EDGES:
+            self.edges, self.nodes, self.names = edges + len(new.piece), nodes + len(new.is_end), np.concatenate([self.names, names])
+        return out
+
+
 class Lattice:
     """Lattices of many segments.  Node numbers go by bytes left to the segment's end, then by
     segment, so that the backward pass runs over slices.  The edges of a node stand together,
@@ -140,19 +184,16 @@ class Lattice:
         run = W._running(_CODE[flat], _BASE)
         some = np.flatnonzero(lead[spot]).astype(np.int32)
         source, length, piece = [], [], []
-        for n in sorted(vocabulary.by_length):
+        for n in vocabulary.lengths:
             some = some[left[some] >= n]
-            hashes, ids = vocabulary.by_length[n]
             at = spot[some]
-            h = W._between(run, at, at + n, _BASE)
-            k = np.searchsorted(hashes, h)
-            k[k == len(hashes)] = 0
-            ok = np.flatnonzero(hashes[k] == h)
+            found = vocabulary.find(W._between(run, at, at + n, _BASE))
+            ok = np.flatnonzero((found >= 0) & (vocabulary.size[found] == n))
             own = char[at[ok]]
             known[own[width[own] == n]] = True
             source.append(some[ok] + np.int32(segments))
             length.append(np.full(len(ok), n, dtype=np.int16))
-            piece.append(ids[k[ok]].astype(np.int32))
+            piece.append(found[ok])
         spelled = np.flatnonzero(~known[char[spot]]) if len(flat) else np.zeros(0, int)
         source.insert(0, (spelled + segments).astype(np.int32))
         length.insert(0, np.ones(len(spelled), dtype=np.int16))
@@ -192,17 +233,6 @@ class Lattice:
         self.ways = ways[self.base]
         self.is_end = np.arange(nodes) < segments
 
-    def joined(self, other: Lattice) -> Lattice:
-        """The segments of self, then those of other."""
-        out = object.__new__(Lattice)
-        nodes, edges = len(self.is_end), len(self.piece)
-        out.first_edge = np.concatenate([self.first_edge[:-1], other.first_edge + np.int32(edges)])
-        out.target = np.concatenate([self.target, other.target + np.int32(nodes)])
-        out.base = np.concatenate([self.base, other.base + nodes])
-        for name in ("piece", "log_q", "upto", "ways", "is_end"):
-            setattr(out, name, np.concatenate([getattr(self, name), getattr(other, name)]))
-        return out
-
     def draw(self, segment: np.ndarray, key: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """One segmentation for each entry: (edges in order, where each entry's begin, log
         probability, a hash of the segmentation)."""
@@ -441,6 +471,7 @@ def encode(docs: DataFrame, model: str, k: int = SAMPLES, seed: int = 0, id_col:
            keep: tuple[str, ...] = ()) -> DataFrame:
     """Up to k rows per document, in the order drawn: the columns ``keep`` of docs, then (doc_id, sample from 1,
     n_pieces, log_prob, perturbed, log_inclusion, ids as little-endian 32-bit numbers)."""
+    small_batches(docs.sparkSession)
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), *[F.col(c).alias("k_" + c) for c in keep])
     kept = "".join(f"`{c}` {docs.schema[c].dataType.simpleString()}, " for c in keep)
     return texts.mapInArrow(_encode(model, k, seed, keep), kept + _ROW)
@@ -453,19 +484,35 @@ def decode_ids(vocabulary: Vocabulary, ids: np.ndarray) -> bytes:
     return vocabulary.flat[at].tobytes()[1:]
 
 
-def decode(samples: DataFrame, model: str, digest: bool = False) -> DataFrame:
-    """``samples`` with their text, or with its crc32 only, instead of the ids; ids_crc32 is of the ids."""
-    own = [f for f in samples.schema.fields if f.name != "ids"]
-    kind = "text_crc32 long" if digest else "text string"
-
+def _decode(model: str, own: list[str], digest: bool):
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary = Vocabulary.of(model)
         for batch in batches:
             raw = [x.as_buffer() for x in batch.column("ids")]
-            texts = [decode_ids(vocabulary, np.frombuffer(x, dtype="<u4").astype(np.int64)) for x in raw]
+            texts = [decode_ids(vocabulary, np.frombuffer(x, dtype="<u4")) for x in raw]
             out = pa.array([zlib.crc32(t) for t in texts], pa.int64()) if digest else pa.array([t.decode("utf-8") for t in texts], pa.string())
-            yield pa.RecordBatch.from_arrays([*(batch.column(f.name) for f in own), pa.array([zlib.crc32(x) for x in raw], pa.int64()), out],
-                                             names=[*(f.name for f in own), "ids_crc32", kind.split()[0]])
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in own), pa.array([zlib.crc32(x) for x in raw], pa.int64()), out],
+                                             names=[*own, "ids_crc32", "text_crc32" if digest else "text"])
 
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in own) + f", ids_crc32 long, {kind}"
-    return samples.mapInArrow(rows, schema)
+    return rows
+
+
+def decode(samples: DataFrame, model: str) -> DataFrame:
+    """``samples`` with ``ids_crc32``, of the ids, and ``text``, what they spell, instead of the ids."""
+    own = [f for f in samples.schema.fields if f.name != "ids"]
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in own) + ", ids_crc32 long, text string"
+    return samples.mapInArrow(_decode(model, [f.name for f in own], False), schema)
+
+
+def round_trips(docs: DataFrame, model: str, k: int = SAMPLES, seed: int = 0, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The samples of ``encode``, each decoded again in the same task: ``ids_crc32`` is of its ids,
+    ``round_trip`` says whether they spell the text."""
+    encode_rows = _encode(model, k, seed, ("crc",))
+    fields = [x.split() for x in ("crc long, " + _ROW).split(", ") if not x.startswith("ids ")]
+    decode_rows = _decode(model, [f[0] for f in fields], True)
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    small_batches(docs.sparkSession)
+    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("text"), F.crc32(text.cast("binary")).alias("k_crc"))
+    schema = ", ".join(" ".join(f) for f in fields) + ", ids_crc32 long, text_crc32 long"
+    out = texts.mapInArrow(lambda batches: decode_rows(encode_rows(batches)), schema)
+    return out.withColumn("round_trip", F.col("text_crc32") == F.col("crc")).drop("text_crc32", "crc")

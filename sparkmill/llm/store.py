@@ -21,3 +21,15 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     path = folder(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def small_batches(spark: SparkSession, rows: int = 1000) -> None:
+    """Whole texts go to Python in batches of at most ``rows`` rows from now on in this session:
+    Spark bounds a batch by rows, not bytes, and its default of 10,000 long texts is too much
+    for a small executor.  A smaller setting of the session's own stays."""
+    now = int(spark.conf.get(BATCH))
+    if now <= 0 or now > rows:
+        spark.conf.set(BATCH, str(rows))

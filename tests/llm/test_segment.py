@@ -25,12 +25,8 @@ class Toy(segment.Vocabulary):
         self.first = np.cumsum(self.size) - self.size
         run = W._running(segment._CODE[self.flat], segment._BASE)
         h = W._between(run, self.first, self.first + self.size, segment._BASE)
-        self.by_length = {}
-        for n in (1, 2, 3):
-            own = np.flatnonzero(self.size == n)
-            order = np.argsort(h[own])
-            self.by_length[n] = (h[own][order], own[order])
-        self.known, self.known_lattice = np.zeros(0, dtype=np.uint64), None
+        self.index(h, np.arange(len(pieces)))
+        self.store = segment.Store()
 
 
 def ways(toy, text):
@@ -103,7 +99,15 @@ def test_round_trip_and_seeding(spark):
 
 
 def test_empty_table(spark):
-    assert segment.decode(segment.encode(docs(spark, []), MODEL), MODEL, digest=True).count() == 0
+    assert segment.decode(segment.encode(docs(spark, []), MODEL), MODEL).count() == 0
+    assert segment.round_trips(docs(spark, []), MODEL).count() == 0
+
+
+def test_round_trips_equal_encode_then_decode(spark):
+    frame = docs(spark, [(i, t) for i, t in enumerate(TEXTS)] + [(50, None)])
+    both = segment.decode(segment.encode(frame, MODEL), MODEL).drop("text").collect()
+    got = segment.round_trips(frame, MODEL)
+    assert sorted(map(tuple, got.drop("round_trip").collect())) == sorted(map(tuple, both)) and got.filter("not round_trip").count() == 0
 
 
 def test_remembered_lattices_do_not_change_draws(monkeypatch):

@@ -39,7 +39,8 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     only = [q for q in os.environ.get("BENCH_QUERIES", "").split(",") if q]
-    extra = {"spark.checkpoint.dir": tempfile.mkdtemp(prefix="sparkmill-bench-ckpt-")}
+    extra = {"spark.checkpoint.dir": tempfile.mkdtemp(prefix="sparkmill-bench-ckpt-"),
+             "spark.driver.memory": os.environ.get("BENCH_MEMORY", "12g")}
     if os.environ.get("BENCH_EVENT_LOG"):  # optional: stage timings for analysis
         extra.update({"spark.eventLog.enabled": "true", "spark.eventLog.dir": os.environ["BENCH_EVENT_LOG"]})
     parts = int(os.environ.get("BENCH_PARTITIONS", str(cpus)))  # one shuffle partition per core at this size

@@ -12,7 +12,8 @@ CHECKPOINT_CONF = "spark.checkpoint.dir"
 
 def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
                   app_name: str = "sparkmill", extra: dict | None = None) -> SparkSession:
-    """Session used by tests and the bench.  On a cluster, pass your own session instead."""
+    """Session used by tests and the bench; memory and the like are the caller's (``extra``).
+    On a cluster, pass your own session instead."""
     builder = (
         SparkSession.builder.master(master)
         .appName(app_name)
@@ -23,7 +24,6 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
-        .config("spark.driver.memory", "16g")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         # Delete checkpoint files once their DataFrames are garbage-collected.
         .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")

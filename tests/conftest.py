@@ -12,7 +12,7 @@ def spark():
     from sparkmill.session import build_session
 
     s = build_session("local[4]", 4, "sparkmill-tests",
-                      {"spark.checkpoint.dir": tempfile.mkdtemp(prefix="sparkmill-test-ckpt-")})
+                      {"spark.checkpoint.dir": tempfile.mkdtemp(prefix="sparkmill-test-ckpt-"), "spark.driver.memory": "6g"})
     from sparkmill.session import checkpoint_dir
 
     checkpoint_dir(s)

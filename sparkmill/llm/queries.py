@@ -7,12 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-import public_tokenizers
 from sparkmill.llm import decontam, jaccard, quality, secrets, segment, substring, tokenfile, topk, toxicity, warc
 from sparkmill.llm.store import folder, stored
 from sparkmill.sources.tables import table
 
 
+def _tokenizer(name: str) -> str:
+    """Place of one of the public tokenizers' files."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
@@ -35,7 +41,7 @@ def op4_sampled_segmentation(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def segmentations(docs: DataFrame) -> DataFrame:
     """Sampled segmentations of every text, decoded again and compared with it."""
-    return segment.round_trips(docs, public_tokenizers.path("piece_bpe_32k.model"))
+    return segment.round_trips(docs, _tokenizer("piece_bpe_32k.model"))
 
 
 def op5_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -50,7 +56,7 @@ def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = folder(spark, "tokens")
-    tokenfile.write_tokens(table(spark, sf_dir, "documents"), path, public_tokenizers.path("word_bpe_49k.json"))
+    tokenfile.write_tokens(table(spark, sf_dir, "documents"), path, _tokenizer("word_bpe_49k.json"))
     return tokenfile.read_tokens(spark, path)
 
 

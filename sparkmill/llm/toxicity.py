@@ -53,55 +53,65 @@ def _windows(w: W.Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return w.start[head], w.end[np.append(head[1:], len(stretch)) - 1] if len(head) else head, w.doc[head]
 
 
-def _spread(w: W.Words, n: int, grams: int = 8, hashes: int = 4) -> np.ndarray:
-    """Mask of texts that share none of a few min-hashes of word grams with an earlier text."""
-    at, h = w.windows(grams)
-    keep, seen = np.ones(n, dtype=bool), [set() for _ in range(hashes)]
-    least = np.full((hashes, n), np.iinfo(np.uint64).max, dtype=np.uint64)
-    for j in range(hashes):
-        np.minimum.at(least[j], w.doc[at], W.mix(h + np.uint64(j)))
-    for d in range(n):
-        mine = [int(least[j, d]) for j in range(hashes)]
-        if mine[0] != np.iinfo(np.uint64).max:
+def _words(array: pa.Array, grams: int = 8, hashes: int = 4) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(word hash, text) of the distinct words of each text, and min-hashes of its word grams."""
+    pairs, least = [np.zeros((2, 0), dtype=np.uint64)], np.full((hashes, len(array)), np.iinfo(np.uint64).max, dtype=np.uint64)
+    for row, data, offsets in W.chunks(array):
+        w = W.split(data, offsets, _KIND)
+        at, h = w.windows(grams)
+        for j in range(hashes):
+            np.minimum.at(least[j], w.doc[at] + row, W.mix(h + np.uint64(j)))
+        order = np.lexsort((w.hash, w.doc))
+        h, d = w.hash[order], w.doc[order]
+        new = np.concatenate([[True], (h[1:] != h[:-1]) | (d[1:] != d[:-1])]) if len(h) else np.zeros(0, dtype=bool)
+        pairs.append(np.stack([h[new], (d[new] + row).astype(np.uint64)]))
+    word, doc = np.concatenate(pairs, axis=1)
+    return word, doc.astype(np.int64), least
+
+
+def _apart(least: np.ndarray) -> np.ndarray:
+    """Mask of texts that share none of their min-hashes with an earlier text."""
+    none = np.iinfo(np.uint64).max
+    keep, seen = np.ones(least.shape[1], dtype=bool), [set() for _ in least]
+    for d, mine in enumerate(least.T.tolist()):
+        if mine[0] != none:
             keep[d] = not any(m in s for m, s in zip(mine, seen, strict=True))
             for m, s in zip(mine, seen, strict=True):
                 s.add(m)
     return keep
 
 
-def _document_counts(w: W.Words, keep: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    own = keep[w.doc]
-    pairs = np.unique(np.stack([w.hash[own], w.doc[own].astype(np.uint64)]), axis=1)
-    return np.unique(pairs[0], return_counts=True)
-
-
 def _toxic_strings(toxic: pa.Array, ordinary: pa.Array) -> bytes:
-    """The marked words of toxic texts, the commonest last."""
-    (td, to), (od, oo) = W.texts(toxic), W.texts(ordinary)
-    wt, wo = W.split(td, to, _KIND), W.split(od, oo, _KIND)
-    keep_t, keep_o = _spread(wt, len(toxic)), _spread(wo, len(ordinary))
-    (names, n_toxic), (others, n_other) = _document_counts(wt, keep_t), _document_counts(wo, keep_o)
+    """The marked words of toxic texts, the commonest last; near copies count once."""
+    word_t, doc_t, least_t = _words(toxic)
+    word_o, doc_o, least_o = _words(ordinary)
+    keep_t, keep_o = _apart(least_t), _apart(least_o)
+    (names, n_toxic), (others, n_other) = (np.unique(w[k[d]], return_counts=True) for w, d, k in ((word_t, doc_t, keep_t), (word_o, doc_o, keep_o)))
     at = np.searchsorted(others, names)
     at[at == len(others)] = 0
     other = np.where(others[at] == names, n_other[at], 0) if len(others) else np.zeros(len(names))
     odds = np.log((n_toxic + .5) / max(1, keep_t.sum())) - np.log((other + .5) / max(1, keep_o.sum()))
     marked = np.flatnonzero((odds >= LEAST_LOG_ODDS) & (n_toxic >= max(LEAST_DOCS, LEAST_SHARE * keep_t.sum())))
     marked = marked[np.argsort(-n_toxic[marked], kind="stable")][:MOST_STRINGS]
-    hashes, first = np.unique(wt.hash, return_index=True)
-    low = _lower(td)
+    counts = dict(zip(names[marked].tolist(), n_toxic[marked].tolist(), strict=True))
     found: dict[bytes, int] = {}
-    for k, i in zip(marked, first[np.searchsorted(hashes, names[marked])], strict=True):
-        string = low[wt.start[i]:wt.end[i]].strip(b".,;:!?")
-        found[string] = found.get(string, 0) + int(n_toxic[k])
+    for _, data, offsets in W.chunks(toxic):
+        w, low = W.split(data, offsets, _KIND), _lower(data)
+        for i in np.flatnonzero(np.isin(w.hash, names[marked])):
+            times = counts.pop(int(w.hash[i]), 0)  # each word once
+            if times:
+                string = low[w.start[i]:w.end[i]].strip(b".,;:!?")
+                found[string] = found.get(string, 0) + times
     return b" ".join(x for x, _ in sorted(found.items(), key=lambda x: (x[1], x[0])))
 
 
 def _ordinary_content(ordinary: pa.Array) -> bytes:
-    data, offsets = W.texts(ordinary)
-    start, end, _ = _windows(W.split(data, offsets, _KIND))
-    low = _lower(data)
-    pick = np.random.default_rng(0).permutation(len(start))[:ORDINARY_WINDOWS]
-    samples = [b" " + low[a:b] + b" " for a, b in zip(start[pick], end[pick], strict=True)]
+    windows: list[bytes] = []
+    for _, data, offsets in W.chunks(ordinary):
+        start, end, _ = _windows(W.split(data, offsets, _KIND))
+        low = _lower(data)
+        windows += [b" " + low[a:b] + b" " for a, b in zip(start, end, strict=True)]
+    samples = [windows[i] for i in np.random.default_rng(0).permutation(len(windows))[:ORDINARY_WINDOWS]]
     try:
         trained = zs.train_dictionary(DICTIONARY, samples, level=LEVEL).as_bytes()
     except zs.ZstdError:  # too few samples to train on: the samples themselves

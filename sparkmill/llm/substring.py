@@ -9,9 +9,10 @@ gram extended to the right, or to the left near the window's end), and so on
 until the full window is compared or no candidate survives.  Counts cover all
 texts; each level shuffles only what survived the level before.
 
-Hot keys: copies within one Arrow batch are settled in that batch, which
-sends one row for each distinct hash, so that a passage of a third of all
-rows puts a row per batch, not per copy, into its task.
+Hot keys: copies that a task meets within ``SETTLED`` words are settled there, and
+one row is sent for each distinct hash, so that a passage of a third of all rows puts
+a few rows per task, not one per copy, into the task of its key.  Texts are shuffled
+only where a gram survived the first level.
 
 Defined cases: a null or empty text has no words and keeps none; fewer words
 than a window: nothing is removed; repeated rows (same id, same text) are
@@ -28,9 +29,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sparkmill.llm import slots
 from sparkmill.llm import words as W
+from sparkmill.llm.store import small_batches, stored
 
 _KIND = W.non_space(lower=False)
+SETTLED = 6_000_000
 _ROWS = "key long, doc_id long, text_hash long, pos int, length int, n int"
 
 
@@ -91,31 +95,37 @@ def _candidates(parts: np.ndarray, hashes: np.ndarray, ids, text_hash, first_wor
 
 
 def _judge(window: int, at: int):
-    """mapInArrow function: the candidates of level ``at`` in each text."""
+    """mapInArrow function: the candidates of level ``at`` in each text.  Copies are settled within
+    ``SETTLED`` words of a task, however Arrow cuts its batches."""
     lengths = levels(window)
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found, heads, ids, hashes, words, docs = [], [], [], [], 0, 0
+
+        def settled() -> Iterator[pa.RecordBatch]:
+            if found:
+                parts, h, doc = (np.concatenate(x) for x in zip(*found, strict=True))
+                out = _candidates(parts, h, pa.concat_arrays(ids), pa.concat_arrays(hashes), np.concatenate(heads), doc)
+                if out is not None:
+                    yield out
+
         for batch in batches:
-            texts = batch.column("text")
-            found = []  # (part, hash, row) of the whole batch, to settle copies in it
-            heads, base = [], 0
-            for row, data, offsets in W.chunks(texts):
-                w = W.split(data, offsets, _KIND)
+            for row, data, offsets in W.chunks(batch.column("text")):
+                w, n = W.split(data, offsets, _KIND), len(offsets) - 1
                 start, anchor = _anchors(w, window, lengths[0])
                 if at:  # of the level before, only windows whose part is repeated go on
-                    part = _parts(start, anchor, window, lengths[0], lengths[at - 1])
-                    alive = _alive(batch, row, len(offsets) - 1, w, len(w.hash))
-                    keep = alive[part]
+                    keep = _alive(batch, row, n, w, len(w.hash))[_parts(start, anchor, window, lengths[0], lengths[at - 1])]
                     start, anchor = start[keep], anchor[keep]
                 part = np.unique(_parts(start, anchor, window, lengths[0], lengths[at]))
-                found.append((part + base, w.window_hash(part, np.full(len(part), lengths[at])), w.doc[part] + row))
-                heads.append(w.first[:-1] + base)
-                base += len(w.hash)
-            if found:
-                parts, hashes, doc = (np.concatenate(x) for x in zip(*found, strict=True))
-                out = _candidates(parts, hashes, batch.column("doc_id"), batch.column("text_hash"), np.concatenate(heads), doc)
-                if out is not None:
-                    yield out
+                found.append((part + words, w.window_hash(part, np.full(len(part), lengths[at])), w.doc[part] + docs))
+                heads.append(w.first[:-1] + words)
+                ids.append(batch.column("doc_id").slice(row, n))
+                hashes.append(batch.column("text_hash").slice(row, n))
+                words, docs = words + len(w.hash), docs + n
+                if words >= SETTLED:
+                    yield from settled()
+                    found, heads, ids, hashes, words, docs = [], [], [], [], 0, 0
+        yield from settled()
 
     return rows
 
@@ -176,6 +186,14 @@ def _joined(texts: DataFrame, survivors: DataFrame, how: str) -> DataFrame:
             .select("doc_id", "text_hash", "text", "runs"))
 
 
+_RUNS = pa.list_(pa.struct([("pos", pa.int32()), ("length", pa.int32())]))
+
+
+def _without_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        yield batch.append_column("runs", pa.nulls(batch.num_rows, _RUNS))
+
+
 def _cut(window: int):
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -222,11 +240,17 @@ def drop_repeated_passages(docs: DataFrame, window: int = 35, id_col: str = "doc
 
     A word goes if a window of ``window`` words over it also starts anywhere
     else, in this text or another; all occurrences go."""
+    small_batches(docs.sparkSession)
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text_col).alias("text_hash"),
                         F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    survivors = None
-    for at in range(len(levels(window))):
-        source = texts if survivors is None else _joined(texts, survivors, "inner")
-        survivors = _survivors(source.mapInArrow(_judge(window, at), _ROWS))
-    return _joined(texts, survivors, "left").mapInArrow(
-        _cut(window), "doc_id long, n_words long, n_removed long, kept_sha256 string, kept_text string")
+    row = F.xxhash64("doc_id", "text_hash").alias("row_key")
+    survivors = stored(_survivors(texts.mapInArrow(_judge(window, 0), _ROWS)), "grams")
+    found = docs.sparkSession.sparkContext.broadcast(slots.members(survivors.select(row)))
+    keyed = texts.withColumn("row_key", row)
+    some = keyed.mapInArrow(slots.keep(found, "row_key"), keyed.schema).drop("row_key")  # only these texts are shuffled
+    for at in range(1, len(levels(window))):
+        survivors = _survivors(_joined(some, survivors, "inner").mapInArrow(_judge(window, at), _ROWS))
+    others, cut = slots.keep(found, "row_key", others=True), _cut(window)
+    schema = "doc_id long, n_words long, n_removed long, kept_sha256 string, kept_text string"
+    whole = keyed.mapInArrow(lambda batches: cut(_without_runs(others(batches))), schema)
+    return _joined(some, survivors, "left").mapInArrow(cut, schema).unionByName(whole)

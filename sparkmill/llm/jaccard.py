@@ -17,8 +17,8 @@ and the partners that an inverted list is expected to bring.
 
 Lists with two classes or more are scanned in blocks.  A parity map of 512 bits per
 class bounds the difference of two sets from below, which rules out most pairs.
-Round one takes, for each class, its few nearest partners in a block, verifies them
-against the whole sets and joins what links into components.  Round two takes every pair,
+Round one takes, for each class of a block, the nearest one before it, verifies these pairs
+against the whole texts and joins what links into components.  Round two takes every pair,
 over all blocks of a list, whose classes still lie in different components and that the
 maps cannot rule out.  Pairs within a component are never listed, and none is lost.
 
@@ -34,23 +34,22 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sparkmill.llm import slots
 from sparkmill.llm import words as W
 from sparkmill.llm.components import components
-from sparkmill.llm.store import stored
+from sparkmill.llm.store import small_batches, stored
 
 _KIND = W.non_space(lower=True)
-_MAP_BITS = 9
-_ORDER_BITS, _SLICE_BITS = 22, 12
+_MAP_BITS, _WIDE_BITS = 9, 13
 _OFTEN = 4
+_COUNTED = 1 << 22
 BLOCK = 2048
 SMALL = 16
-NEAREST = 4
 _PARTNER_COST = 8.0
 _U64 = np.uint64
-_TEXT = ["doc_id", "text_hash", "text"]
 
 
 def need(n: np.ndarray, percent: int) -> np.ndarray:
@@ -82,20 +81,27 @@ def _classes(sizes: np.ndarray, first: np.ndarray, h: np.ndarray) -> np.ndarray:
     return W.mix(W.mix(a[first[1:]] - a[first[:-1]]) ^ (b[first[1:]] - b[first[:-1]]) ^ sizes.astype(_U64)).view(np.int64)
 
 
-def _maps(sizes: np.ndarray, h: np.ndarray) -> np.ndarray:
-    """Parity map per set: each shingle flips one of 512 bits."""
-    bit = (W.mix(h ^ _U64(3)) >> _U64(64 - _MAP_BITS)).astype(np.int64) + np.repeat(np.arange(len(sizes)), sizes) * (1 << _MAP_BITS)
+def _maps(sizes: np.ndarray, h: np.ndarray, bits: int = _MAP_BITS) -> np.ndarray:
+    """Parity map per set: each shingle flips one of 2**bits bits."""
+    bit = (W.mix(h ^ _U64(3)) >> _U64(64 - bits)).astype(np.int64) + np.repeat(np.arange(len(sizes)), sizes) * (1 << bits)
     spots, times = np.unique(bit, return_counts=True)
-    out = np.zeros(len(sizes) << _MAP_BITS, dtype=np.uint8)
+    out = np.zeros(len(sizes) << bits, dtype=np.uint8)
     out[spots] = times & 1
     return np.packbits(out.reshape(len(sizes), -1), axis=1)
 
 
 def _summaries(shingle: int):
-    """Rows of two kinds: a text's set in brief, and shingles that recur in a batch with their counts."""
+    """Rows of two kinds: a text's set in brief, and shingles that recur within ``_COUNTED`` of a task, with their counts."""
+    def recur(held: list[np.ndarray]) -> pa.RecordBatch:
+        h, times = np.unique(np.concatenate([np.zeros(0, _U64), *held]), return_counts=True)
+        h, times = h[times > 1], times[times > 1]
+        none = pa.array([None] * len(h), pa.int64())
+        return pa.RecordBatch.from_arrays([none, none, none, pa.array(h.view(np.int64)), pa.array([None] * len(h), pa.binary()), pa.array(times)],
+                                          names=["doc_id", "text_hash", "n", "name", "map", "recurs"])
+
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
         for batch in batches:
-            recurring = []
             for row, sizes, first, h in _sets(batch.column("text"), shingle):
                 n = len(sizes)
                 maps = _maps(sizes, h)
@@ -103,33 +109,22 @@ def _summaries(shingle: int):
                     [batch.column("doc_id").slice(row, n), batch.column("text_hash").slice(row, n), pa.array(sizes.astype(np.int64)),
                      pa.array(_classes(sizes, first, h)), pa.array([x.tobytes() for x in maps], pa.binary()), pa.array([None] * n, pa.int64())],
                     names=["doc_id", "text_hash", "n", "name", "map", "recurs"])
-                recurring.append(h)
-            h, times = np.unique(np.concatenate([np.zeros(0, _U64), *recurring]), return_counts=True)
-            h, times = h[times > 1], times[times > 1]
-            none = pa.array([None] * len(h), pa.int64())
-            yield pa.RecordBatch.from_arrays([none, none, none, pa.array(h.view(np.int64)), pa.array([None] * len(h), pa.binary()), pa.array(times)],
-                                             names=["doc_id", "text_hash", "n", "name", "map", "recurs"])
+                held.append(h)
+                size += len(h)
+                if size >= _COUNTED:
+                    yield recur(held)
+                    held, size = [], 0
+        yield recur(held)
 
     return rows
 
 
 # ------------------------------------------------------------------------ order and boundary
 def _order(recurring: DataFrame) -> np.ndarray:
-    """By the top bits of a shingle: log2 of the largest count there, from ``_OFTEN`` on.  2**22 bytes,
-    gathered as slices."""
+    """By the top bits of a shingle: log2 of the largest count there, from ``_OFTEN`` on."""
     counts = recurring.groupBy("name").agg(F.sum("recurs").alias("times")).filter(F.col("times") >= _OFTEN)
-    slot = F.shiftrightunsigned("name", 64 - _ORDER_BITS)
-    top = counts.groupBy(slot.alias("slot")).agg(F.max(F.floor(F.log2("times"))).cast("int").alias("rank"))
-
-    def pack(group: pd.DataFrame) -> pd.DataFrame:  # at most 2**12 rows
-        part = np.zeros(1 << _SLICE_BITS, dtype=np.uint8)
-        part[group["slot"].to_numpy(dtype=np.int64) & ((1 << _SLICE_BITS) - 1)] = np.minimum(group["rank"].to_numpy(dtype=np.int64), 63)
-        return pd.DataFrame({"slice": [int(group["slot"].iloc[0]) >> _SLICE_BITS], "ranks": [part.tobytes()]})
-
-    out = np.zeros((1 << (_ORDER_BITS - _SLICE_BITS), 1 << _SLICE_BITS), dtype=np.uint8)
-    for r in top.groupBy(F.shiftright("slot", _SLICE_BITS).alias("at")).applyInPandas(pack, "slice long, ranks binary").collect():
-        out[r["slice"]] = np.frombuffer(r["ranks"], dtype=np.uint8)
-    return out.reshape(-1)
+    slot = F.shiftrightunsigned("name", 64 - slots.BITS)
+    return slots.table(counts.groupBy(slot.alias("slot")).agg(F.least(F.max(F.floor(F.log2("times"))), F.lit(63)).cast("int").alias("value")))
 
 
 def choose_boundary(sizes: pd.DataFrame, meeting: float, percent: int) -> int:
@@ -152,8 +147,10 @@ def choose_boundary(sizes: pd.DataFrame, meeting: float, percent: int) -> int:
 # ------------------------------------------------------------------------ postings
 def _postings(shingle: int, percent: int, order: np.ndarray, boundary: int, largest: int):
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()  # copies met lately post once
         for batch in batches:
-            seen: set[int] = set()
+            if len(seen) > 100_000:
+                seen.clear()
             for _, sizes, first, h in _sets(batch.column("text"), shingle):
                 names = _classes(sizes, first, h)
                 fresh = np.zeros(len(sizes), dtype=bool)
@@ -162,7 +159,7 @@ def _postings(shingle: int, percent: int, order: np.ndarray, boundary: int, larg
                         seen.add(int(names[d]))
                         fresh[d] = True
                 doc = np.repeat(np.arange(len(sizes)), sizes)
-                rank = order[(h >> _U64(64 - _ORDER_BITS)).astype(np.int64)].astype(_U64)
+                rank = order[(h >> _U64(64 - slots.BITS)).astype(np.int64)].astype(_U64)
                 place = np.lexsort(((rank << _U64(58)) | (W.mix(h) >> _U64(6)), doc))
                 h = h[place]
                 prefix = sizes - need(sizes, percent) + 1
@@ -186,10 +183,15 @@ def _postings(shingle: int, percent: int, order: np.ndarray, boundary: int, larg
 
 
 def _shared(percent: int):
-    """Of rows sorted by (key, n, name): one per (key, name) that another name of its key fits in size.
-    In order of size a class fits some other if it fits a neighbour."""
+    """Of rows sorted by (key, n, name): one per (key, name) that another name of its key fits in size,
+    with the number of its block in the key's list.  In order of size a class fits some other if it
+    fits a neighbour."""
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = None  # the last row: (key, n, name), and the row if it is not out yet
+        held = None  # the last row: (key, n, name), its place in the list, and the row if it is not out yet
+
+        def out(batch: pa.RecordBatch, place: np.ndarray) -> pa.RecordBatch:
+            return batch.append_column("block", pa.array(place // BLOCK))
+
         for batch in batches:
             key, n, name = (batch.column(c).to_numpy() for c in ("key", "n", "name"))
             if not len(key):
@@ -199,14 +201,19 @@ def _shared(percent: int):
             if not len(at):
                 continue
             k, size = key[at], n[at]
+            head = np.flatnonzero(np.concatenate([[True], k[1:] != k[:-1]]))
+            place = np.arange(len(at)) - np.repeat(head, np.diff(np.append(head, len(at))))
+            same_key = held is not None and k[0] == held[0][0]
+            if same_key:
+                place[k == k[0]] += held[1] + 1
             fits = (k[1:] == k[:-1]) & (100 * size[:-1] >= percent * size[1:])
-            with_held = held is not None and k[0] == held[0][0] and 100 * held[0][1] >= percent * size[0]
-            if with_held and held[1] is not None:
-                yield held[1]
-            out = np.concatenate([[with_held], fits]) | np.concatenate([fits, [False]])
-            if out.any():
-                yield batch.take(pa.array(at[out]))
-            held = ((k[-1], size[-1], name[at[-1]]), None if out[-1] else batch.slice(int(at[-1]), 1))
+            with_held = same_key and 100 * held[0][1] >= percent * size[0]
+            if with_held and held[2] is not None:
+                yield out(held[2], np.array([held[1]]))
+            take = np.concatenate([[with_held], fits]) | np.concatenate([fits, [False]])
+            if take.any():
+                yield out(batch.take(pa.array(at[take])), place[take])
+            held = ((k[-1], size[-1], name[at[-1]]), int(place[-1]), None if take[-1] else batch.slice(int(at[-1]), 1))
 
     return rows
 
@@ -222,7 +229,7 @@ def _compatible(n, maps, comp, a: np.ndarray, b: np.ndarray, percent: int) -> np
     return np.where(ok, differ, -1)
 
 
-def _block_pairs(group: pd.DataFrame, percent: int, nearest: int | None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def _block_pairs(group: pd.DataFrame, percent: int, nearest: bool) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     n, comp, side = (group[c].to_numpy() for c in ("n", "comp", "side"))
     maps = np.frombuffer(b"".join(group["map"]), dtype=_U64).reshape(len(group), -1)
     rows = np.arange(len(group))
@@ -232,22 +239,24 @@ def _block_pairs(group: pd.DataFrame, percent: int, nearest: int | None) -> Iter
         bound[a[:, None] >= rows[None, :]] = -1  # each pair once
         if (side != side[0]).any():  # two blocks: pairs between them only
             bound[side[a][:, None] == side[None, :]] = -1
-        if nearest is None:
-            i, j = np.nonzero(bound >= 0)
-        else:
+        if nearest:
             far = np.where(bound >= 0, bound, 1 << 40)
-            close = np.argsort(far, axis=1, kind="stable")[:, :nearest]
-            i, k = np.nonzero(np.take_along_axis(bound, close, axis=1) >= 0)
-            j = close[i, k]
+            j = np.argmin(far, axis=1)
+            i = np.flatnonzero(far[np.arange(len(a)), j] < 1 << 40)
+            j = j[i]
+        else:
+            i, j = np.nonzero(bound >= 0)
         yield a[i], j
 
 
-def _near_pairs(frame: pd.DataFrame, group: np.ndarray, rows: np.ndarray, percent: int) -> Iterator[np.ndarray]:
-    """All pairs that may link in groups of at most SMALL rows, for all groups at once."""
+def _near_pairs(frame: pd.DataFrame, group: np.ndarray, rows: np.ndarray, percent: int, nearest: bool) -> Iterator[np.ndarray]:
+    """Pairs that may link in groups of at most SMALL rows, for all groups at once: every pair, or
+    of each row the nearest row before it."""
     n, comp, side, names = (frame[c].to_numpy() for c in ("n", "comp", "side", "name"))
     maps = np.frombuffer(b"".join(frame["map"]), dtype=_U64).reshape(len(frame), -1)
     two_sides = np.zeros(len(group), dtype=bool)
     two_sides[group[1:][(group[1:] == group[:-1]) & (side[1:] != side[:-1])]] = True
+    least, partner = np.full(len(group), np.iinfo(np.int64).max), np.full(len(group), -1)
     for step in range(1, SMALL):
         a = rows[rows + step < len(group)]
         a = a[group[a] == group[a + step]]
@@ -257,10 +266,18 @@ def _near_pairs(frame: pd.DataFrame, group: np.ndarray, rows: np.ndarray, percen
         a, b = a[ok], b[ok]
         differ = np.bitwise_count(maps[a] ^ maps[b]).sum(axis=1, dtype=np.int64)
         ok = (100 + percent) * differ <= (100 - percent) * (n[a] + n[b])
-        yield np.stack([np.minimum(names[a[ok]], names[b[ok]]), np.maximum(names[a[ok]], names[b[ok]])], axis=1)
+        if nearest:
+            ok &= differ < least[b]
+            least[b[ok]], partner[b[ok]] = differ[ok], a[ok]
+        else:
+            yield np.stack([np.minimum(names[a[ok]], names[b[ok]]), np.maximum(names[a[ok]], names[b[ok]])], axis=1)
+    if nearest:
+        b = np.flatnonzero(partner >= 0)
+        a = partner[b]
+        yield np.stack([np.minimum(names[a], names[b]), np.maximum(names[a], names[b])], axis=1)
 
 
-def _candidates(percent: int, nearest: int | None):
+def _candidates(percent: int, nearest: bool):
     """Rows sorted by (key, part): the pairs of each block that may link.  A block has
     2 * BLOCK rows at most; the last one of a batch waits for the next."""
     def found(frame: pd.DataFrame) -> Iterator[pa.RecordBatch]:
@@ -269,7 +286,7 @@ def _candidates(percent: int, nearest: int | None):
         key, part = frame["key"].to_numpy(), frame["part"].to_numpy()
         group = np.cumsum(np.concatenate([[0], (key[1:] != key[:-1]) | (part[1:] != part[:-1])]))
         size = np.bincount(group)
-        out = list(_near_pairs(frame, group, np.flatnonzero(size[group] <= SMALL), percent))
+        out = list(_near_pairs(frame, group, np.flatnonzero(size[group] <= SMALL), percent, nearest))
         for g in np.flatnonzero(size > SMALL):
             block = frame.iloc[np.searchsorted(group, g):np.searchsorted(group, g, side="right")]
             names = block["name"].to_numpy()
@@ -294,7 +311,7 @@ def _candidates(percent: int, nearest: int | None):
     return rows
 
 
-def _pairs(lists: DataFrame, maps: DataFrame, percent: int, nearest: int | None) -> DataFrame:
+def _pairs(lists: DataFrame, maps: DataFrame, percent: int, nearest: bool) -> DataFrame:
     """Distinct (u, v) of rows (key, part, side, name, n, comp)."""
     rows = lists.join(maps, "name").select("key", "part", "side", "name", "n", "map", "comp").repartition("key", "part").sortWithinPartitions("key", "part", "n", "name")
     return rows.mapInArrow(_candidates(percent, nearest), "u long, v long").distinct()
@@ -302,42 +319,69 @@ def _pairs(lists: DataFrame, maps: DataFrame, percent: int, nearest: int | None)
 
 # ------------------------------------------------------------------------ verification
 def _whole(shingle: int):
+    """(name, n, wide, text), once per task for repeated rows of one text; wide: a parity map of 8192 bits."""
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set[int] = set()  # repeated rows of one text, within a task
+        seen: set[int] = set()
         for batch in batches:
-            for _, sizes, first, h in _sets(batch.column("text"), shingle):
+            texts = batch.column("text")
+            for row, sizes, first, h in _sets(texts, shingle):
                 names = _classes(sizes, first, h)
                 own = [d for d in range(len(sizes)) if int(names[d]) not in seen and not seen.add(int(names[d]))]
-                yield pa.RecordBatch.from_arrays([pa.array(names[own]), pa.array([h[first[d]:first[d + 1]].tobytes() for d in own], pa.binary())],
-                                                 names=["name", "shingles"])
+                wide = [_maps(sizes[d:d + 1], h[first[d]:first[d + 1]], _WIDE_BITS).tobytes() for d in own]
+                yield pa.RecordBatch.from_arrays([pa.array(names[own]), pa.array(sizes[own].astype(np.int64)), pa.array(wide, pa.binary()),
+                                                  texts.slice(row, len(sizes)).take(pa.array(own, pa.int64()))], names=["name", "n", "wide", "text"])
 
     return rows
 
 
-def _linked(percent: int):
+def _close(percent: int):
+    """Pairs that the wide maps cannot rule out."""
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ok = []
-            for a, b in zip(batch.column("a"), batch.column("b"), strict=True):
-                x, y = np.frombuffer(a.as_buffer(), dtype=_U64), np.frombuffer(b.as_buffer(), dtype=_U64)
-                at = np.searchsorted(x, y)
-                at[at == len(x)] = 0
-                both = int((x[at] == y).sum())
-                ok.append(100 * both >= percent * (len(x) + len(y) - both))
-            yield batch.select(["u", "v"]).filter(pa.array(ok, pa.bool_()))
+            a, b = (np.frombuffer(b"".join(batch.column(c).to_pylist()), dtype=_U64).reshape(batch.num_rows, -1) for c in ("a", "b"))
+            total = batch.column("m").to_numpy() + batch.column("n").to_numpy()
+            differ = np.bitwise_count(a ^ b).sum(axis=1, dtype=np.int64)
+            yield batch.select(["u", "v"]).filter(pa.array((100 + percent) * differ <= (100 - percent) * total))
+
+    return rows
+
+
+def _linked(percent: int, shingle: int):
+    """Pairs of texts whose whole sets link.  Texts are shipped, not sets: they are smaller."""
+    def shingles(texts: pa.Array) -> list[np.ndarray]:
+        return [h[first[d]:first[d + 1]] for _, sizes, first, h in _sets(texts, shingle) for d in range(len(sizes))]
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for at in range(0, whole.num_rows, 256):
+                batch, ok = whole.slice(at, 256), []
+                for x, y in zip(shingles(batch.column("a")), shingles(batch.column("b")), strict=True):
+                    k = np.searchsorted(x, y)
+                    k[k == len(x)] = 0
+                    both = int((x[k] == y).sum())
+                    ok.append(100 * both >= percent * (len(x) + len(y) - both))
+                yield batch.select(["u", "v"]).filter(pa.array(ok, pa.bool_()))
 
     return rows
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    a, b = sets.select(F.col("name").alias("u"), F.col("shingles").alias("a")), sets.select(F.col("name").alias("v"), F.col("shingles").alias("b"))
-    return stored(pairs.join(a, "u").join(b, "v").select("u", "v", "a", "b").mapInArrow(_linked(percent), "u long, v long").distinct(), "links")
+def _verified(pairs: DataFrame, whole: DataFrame, percent: int, shingle: int) -> DataFrame:
+    """The pairs that link: wide maps are compared first, then the whole texts of what is left."""
+    pairs = stored(pairs, "pairs")
+    both = lambda p: p.select(F.explode(F.array("u", "v")).alias("name"))
+    own = slots.likely(whole.select("name", "n", "wide"), "name", slots.members(both(pairs)))
+    a, b = own.toDF("u", "m", "a"), own.toDF("v", "n", "b")
+    close = stored(pairs.join(a, "u").join(b, "v").select("u", "v", "m", "n", "a", "b").mapInArrow(_close(percent), "u long, v long"), "close")
+    own = slots.likely(whole.select("name", "text"), "name", slots.members(both(close)))
+    a, b = own.toDF("u", "a"), own.toDF("v", "b")
+    return stored(close.join(a, "u").join(b, "v").select("u", "v", "a", "b").mapInArrow(_linked(percent, shingle), "u long, v long").distinct(), "links")
 
 
 # ------------------------------------------------------------------------ the join
 def link(docs: DataFrame, shingle: int = 4, percent: int = 85, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, text_hash, n_shingles, component_id, root) of every row; texts whose sets have a Jaccard
     similarity of ``percent`` or more, directly or through others, share a component.  ``root`` names it (null for an empty set)."""
+    small_batches(docs.sparkSession)
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text_col).alias("text_hash"),
                         F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     brief = stored(texts.mapInArrow(_summaries(shingle), "doc_id long, text_hash long, n long, name long, map binary, recurs long"), "sets")
@@ -350,16 +394,17 @@ def link(docs: DataFrame, shingle: int = 4, percent: int = 85, id_col: str = "do
     boundary = choose_boundary(sizes, min(1.0, again / max(total, 1.0)), percent)
 
     posted = texts.mapInArrow(_postings(shingle, percent, _order(recurring), boundary, int(sizes["n"].max()) if len(sizes) else 0), "key long, name long, n long")
-    shared = posted.repartition("key").sortWithinPartitions("key", "n", "name").mapInArrow(_shared(percent), "key long, name long, n long")
-    place = F.row_number().over(Window.partitionBy("key").orderBy("n", "name")) - 1
-    lists, maps = stored(shared.withColumn("block", F.floor(place / BLOCK)), "lists"), classes.select("name", "map")
-    wanted = (lists.select("name").distinct().join(classes, "name")
-              .select(F.col("rep.doc_id").alias("r_id"), F.col("rep.text_hash").alias("r_hash")))
-    whole = stored(texts.join(wanted, texts.doc_id.eqNullSafe(F.col("r_id")) & (texts.text_hash == F.col("r_hash"))).select("text")
-                   .mapInArrow(_whole(shingle), "name long, shingles binary"), "shingles")
+    shared = posted.repartition("key").sortWithinPartitions("key", "n", "name").mapInArrow(_shared(percent), "key long, name long, n long, block long")
+    lists, maps = stored(shared, "lists"), classes.select("name", "map")
+    key = F.xxhash64("doc_id", "text_hash").alias("row_key")
+    wanted = lists.select("name").distinct().join(classes, "name").select(F.xxhash64("rep.doc_id", "rep.text_hash").alias("row_key"))
+    key = F.xxhash64("doc_id", "text_hash").alias("row_key")
+    likely, sets_of = slots.keep(docs.sparkSession.sparkContext.broadcast(slots.members(wanted)), "row_key"), _whole(shingle)
+    # a text that is there by chance is never asked for, so no exact join follows
+    whole = stored(texts.select(key, "text").mapInArrow(lambda batches: sets_of(likely(batches)), "name long, n long, wide binary, text string"), "listed-texts")
 
     one = lists.select("key", F.col("block").alias("part"), F.lit(0).alias("side"), "name", "n", F.col("name").alias("comp"))
-    near = _verified(_pairs(one, maps, percent, NEAREST), whole, percent)
+    near = _verified(_pairs(one, maps, percent, True), whole, percent, shingle)
 
     roots = components(near).select(F.col("node").alias("name"), "root")
     lists = lists.join(roots, "name", "left").withColumn("comp", F.coalesce("root", "name")).drop("root")
@@ -368,7 +413,7 @@ def link(docs: DataFrame, shingle: int = 4, percent: int = 85, id_col: str = "do
     other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("last")))
     two = (lists.join(open_lists, "key").withColumn("other", other)
            .withColumn("part", F.least("block", "other") * (F.col("last") + 1) + F.greatest("block", "other")).withColumn("side", F.col("block")))
-    far = _verified(_pairs(two, maps, percent, None), whole, percent)
+    far = _verified(_pairs(two, maps, percent, False), whole, percent, shingle)
 
     roots = components(near.unionByName(far)).select(F.col("node").alias("name"), "root")
     classes = classes.select("name", "first_id").join(roots, "name", "left").withColumn("root", F.coalesce("root", "name"))

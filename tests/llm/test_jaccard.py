@@ -96,3 +96,24 @@ def test_maps_bound_differences():
     maps = jaccard._maps(np.array([len(a), len(b)]), np.concatenate([a, b])).view(np.uint64)
     bound = int(np.bitwise_count(maps[0] ^ maps[1]).sum())
     assert 0 < bound <= len(set(a.tolist()) ^ set(b.tolist()))
+
+
+def test_shared_lists_over_batches(monkeypatch):
+    """Rows of a key that fit in size, once each, with their block, however Arrow cuts the batches."""
+    import pyarrow as pa
+
+    monkeypatch.setattr(jaccard, "BLOCK", 2)
+    rng = np.random.default_rng(3)
+    for _ in range(200):
+        rows = sorted({(int(k), int(n), int(n) * 10 + int(x)) for k, n, x in zip(rng.integers(0, 4, 25), rng.choice([10, 11, 30, 31, 90], 25), rng.integers(0, 3, 25))})
+        rows = sorted(rows + rows[::3])
+        batch = pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows)], names=["key", "n", "name"]).select(["key", "name", "n"])
+        cuts = sorted(set(rng.integers(0, len(rows) + 1, 5).tolist()) | {0, len(rows)})
+        got = [r for b in jaccard._shared(85)(iter([batch.slice(a, b - a) for a, b in zip(cuts, cuts[1:])])) for r in b.to_pylist()]
+        expected = []
+        for k in {r[0] for r in rows}:
+            own = sorted({(n, x) for kk, n, x in rows if kk == k})
+            for i, (n, x) in enumerate(own):
+                if any(j != i and 100 * min(n, m) >= 85 * max(n, m) for j, (m, _) in enumerate(own)):
+                    expected.append((k, x, n, i // 2))
+        assert sorted((r["key"], r["name"], r["n"], r["block"]) for r in got) == sorted(expected)

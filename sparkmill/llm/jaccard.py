@@ -396,7 +396,6 @@ def link(docs: DataFrame, shingle: int = 4, percent: int = 85, id_col: str = "do
     posted = texts.mapInArrow(_postings(shingle, percent, _order(recurring), boundary, int(sizes["n"].max()) if len(sizes) else 0), "key long, name long, n long")
     shared = posted.repartition("key").sortWithinPartitions("key", "n", "name").mapInArrow(_shared(percent), "key long, name long, n long, block long")
     lists, maps = stored(shared, "lists"), classes.select("name", "map")
-    key = F.xxhash64("doc_id", "text_hash").alias("row_key")
     wanted = lists.select("name").distinct().join(classes, "name").select(F.xxhash64("rep.doc_id", "rep.text_hash").alias("row_key"))
     key = F.xxhash64("doc_id", "text_hash").alias("row_key")
     likely, sets_of = slots.keep(docs.sparkSession.sparkContext.broadcast(slots.members(wanted)), "row_key"), _whole(shingle)

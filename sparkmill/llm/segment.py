@@ -33,11 +33,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sparkmill.llm import words as W
-from sparkmill.llm.store import small_batches
+from sparkmill.llm.store import give_back, small_batches
 
 SAMPLES = 2
-CHUNK_BYTES = 2 << 20
-KNOWN_EDGES = 3_000_000
+CHUNK_BYTES = 1 << 20
+KNOWN_EDGES = 2_000_000
 _U64 = np.uint64
 _BASE = _U64(0xC2B2AE3D27D4EB4F)
 _CODE = W.mix(np.arange(256, dtype=np.uint64) + _U64(11))
@@ -447,6 +447,7 @@ _ROW = "doc_id long, sample int, n_pieces long, log_prob double, perturbed doubl
 
 def _encode(model: str, k: int, seed: int, keep: tuple[str, ...]):
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        give_back()
         vocabulary = Vocabulary.of(model)
         for batch in batches:
             keys = batch.column("doc_id").fill_null(0).to_numpy().view(np.uint64)

@@ -5,8 +5,11 @@ readable after the loss of any executor."""
 
 from __future__ import annotations
 
+import ctypes
+import ctypes.util
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 from sparkmill.session import checkpoint_dir
@@ -33,3 +36,13 @@ def small_batches(spark: SparkSession, rows: int = 1000) -> None:
     now = int(spark.conf.get(BATCH))
     if now <= 0 or now > rows:
         spark.conf.set(BATCH, str(rows))
+
+
+def give_back() -> None:
+    """Return memory that this worker process freed after earlier tasks but still holds: Spark uses
+    Python workers again, and what they keep adds to the executor's share."""
+    pa.default_memory_pool().release_unused()
+    libc = ctypes.util.find_library("c")
+    trim = getattr(ctypes.CDLL(libc), "malloc_trim", None) if libc else None
+    if trim:
+        trim(0)

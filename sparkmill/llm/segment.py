@@ -36,8 +36,8 @@ from sparkmill.llm import words as W
 from sparkmill.llm.store import give_back, small_batches
 
 SAMPLES = 2
-CHUNK_BYTES = 1 << 20
-KNOWN_EDGES = 2_000_000
+CHUNK_BYTES = 1 << 18
+KNOWN_EDGES = 1_500_000
 _U64 = np.uint64
 _BASE = _U64(0xC2B2AE3D27D4EB4F)
 _CODE = W.mix(np.arange(256, dtype=np.uint64) + _U64(11))

@@ -236,8 +236,12 @@ class Lattice:
     def draw(self, segment: np.ndarray, key: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """One segmentation for each entry: (edges in order, where each entry's begin, log
         probability, a hash of the segmentation)."""
-        n = len(segment)
-        node, who = self.base[segment], np.arange(n)
+        return self.draw_from(self.base[segment], key)
+
+    def draw_from(self, start: np.ndarray, key: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """``draw`` from a node on, for each entry."""
+        n, who = len(start), np.flatnonzero(~self.is_end[start])
+        node = start[who]
         taken = []
         while len(who):
             u = _uniform(W.mix(key[who] + _U64(len(taken))))
@@ -259,17 +263,43 @@ class Lattice:
         hashes = np.concatenate([np.zeros(1, _U64), np.cumsum(W.mix(edges.astype(np.uint64)), dtype=_U64)])
         return edges, first, sums[first[1:]] - sums[first[:-1]], hashes[first[1:]] - hashes[first[:-1]]
 
-    def all_ways(self, segment: int) -> list[tuple[float, list[int]]]:
-        """(log probability, edges) of every segmentation of a segment of few."""
-        out, open_ = [], [(int(self.base[segment]), 0.0, [])]
-        while open_:
-            node, log_p, edges = open_.pop()
-            if self.is_end[node]:
-                out.append((log_p, edges))
-                continue
-            for e in range(self.first_edge[node], self.first_edge[node + 1]):
-                open_.append((int(self.target[e]), log_p + float(self.log_q[e]), edges + [e]))
-        return out
+    def draw_other(self, segment: np.ndarray, bars: list[list[np.ndarray]], key: np.ndarray) -> list[tuple[float, np.ndarray]]:
+        """(log probability, edges) for each entry: a segmentation drawn from those that are not among its
+        ``bars``, of which there must be some.  Every one of them leaves the tree of the barred ones at one node by
+        one edge; the edges that leave it are weighed, one is drawn, and the rest of the way is drawn freely."""
+        entry = np.repeat(np.arange(len(bars)), [len(b) for b in bars])
+        paths = [p for b in bars for p in b]
+        size = np.array([len(p) for p in paths])
+        edge = np.concatenate(paths)
+        log_before = np.concatenate([np.cumsum(self.log_q[p]) - self.log_q[p] for p in paths])
+        owner, first = np.repeat(entry, size), np.cumsum(size) - size
+        mixed = W.mix(edge.astype(np.uint64))
+        run = np.cumsum(mixed, dtype=_U64) - mixed
+        prefix = W.mix(owner.astype(np.uint64)) + run - np.repeat(run[first], size)
+        node = np.empty(len(edge), dtype=np.int64)
+        node[1:] = self.target[edge[:-1]]
+        node[first] = self.base[segment[entry]]
+        _, tree, same = np.unique(prefix, return_index=True, return_inverse=True)
+        inside = np.unique(same * len(self.target) + edge)
+        place = np.argsort(tree)  # the tree's nodes by entry, barred path and place in it
+        at = tree[place]
+        begin = self.first_edge[node[at]].astype(np.int64)
+        count = self.first_edge[node[at] + 1] - begin
+        which = np.repeat(np.arange(len(at)), count)
+        leaving = np.arange(count.sum()) + np.repeat(begin - (np.cumsum(count) - count), count)
+        out = ~np.isin(place[which] * len(self.target) + leaving, inside)
+        which, leaving = at[which[out]], leaving[out]
+        whose = owner[which]
+        head = np.searchsorted(whose, np.arange(len(bars)))
+        draws = W.mix(key[whose] + (np.arange(len(whose)) - head[whose]).astype(np.uint64))
+        value = log_before[which] + self.log_q[leaving] - np.log(-np.log(_uniform(draws)))
+        hit = np.flatnonzero(value == np.maximum.reduceat(value, head)[whose])
+        hit = hit[np.unique(whose[hit], return_index=True)[1]]
+        edges, cut, log_p, _ = self.draw_from(self.target[leaving[hit]], W.mix(key + _U64(1)))
+        log_p += log_before[which[hit]] + self.log_q[leaving[hit]]
+        path_first = np.repeat(first, size)[which[hit]]
+        return [(log_p[i], np.concatenate([edge[path_first[i]:which[hit[i]]], leaving[hit[i]:hit[i] + 1], edges[cut[i]:cut[i + 1]]]))
+                for i in range(len(bars))]
 
 
 def _uniform(h: np.ndarray) -> np.ndarray:
@@ -395,17 +425,16 @@ class _Chunk:
             for i, s in enumerate(at):
                 runs[3][int(s)] = edges[first[i]:first[i + 1]]
             todo = todo[self._is_barred(at, barred[todo], r, hashes)]
-        for i in todo:  # nearly all the weight is barred: choose among what is left
-            s = int(seg[i])
-            bars = {int(hashes[j, s]) for j in range(r) if barred[i] >> j & 1}
-            left = [(p, e, h) for p, e in self._ways(s) for h in [int(np.sum(W.mix(np.array(e, dtype=np.uint64)), dtype=_U64))] if h not in bars]
-            share = np.cumsum(np.exp(np.array([p for p, _, _ in left]) - max(p for p, _, _ in left)))
-            u = float(_uniform(W.mix(self.key(r, seg[i:i + 1]) + _U64(5000)))[0])
-            p, e, h = left[int(np.searchsorted(share, u * share[-1]))]
-            log_q[r, s], hashes[r, s], runs[3][s] = p, _U64(h), np.array(e, dtype=np.int64)
-
-    def _ways(self, s: int) -> list:
-        return self.lattice.all_ways(int(self.which[s]))
+        if len(todo):  # nearly all the weight is barred: draw among what is left
+            at = seg[todo]
+            bars = [[self._edges(j, int(s)) for j in range(r) if barred[i] >> j & 1] for i, s in zip(todo, at)]
+            for s, (p, e) in zip(at, lat.draw_other(self.which[at], bars, W.mix(self.key(r, at) + _U64(5000)))):
+                log_q[r, s], hashes[r, s], runs[3][int(s)] = p, np.sum(W.mix(e.astype(np.uint64)), dtype=_U64), e
+
+    def _edges(self, r: int, s: int) -> np.ndarray:
+        """The segmentation of a segment in a run."""
+        edges, first, where, redrawn = self.runs[r]
+        return redrawn[s] if s in redrawn else edges[first[where[s]]:first[where[s] + 1]]
 
     def _is_barred(self, seg, barred, r, hashes) -> np.ndarray:
         same = np.zeros(len(seg), dtype=bool)

@@ -117,3 +117,30 @@ def test_remembered_lattices_do_not_change_draws(monkeypatch):
     assert sampled(fresh, texts, 3) == first
     monkeypatch.setattr(segment, "KNOWN_EDGES", 0)
     assert sampled(segment.Vocabulary(MODEL), texts, 3) == first
+
+
+def test_law_when_nothing_is_redrawn(monkeypatch):
+    monkeypatch.setattr(segment, "_RETRIES", 0)
+    test_sampling_without_replacement_has_the_right_law()
+    test_fewer_segmentations_than_samples()
+    toy, text, n = Toy(), "aaab", 20000
+    p = ways(toy, text)
+    triples = collections.Counter(tuple(x[0] for x in d) for d in sampled(toy, [text] * n, 3))
+    for a, b, c in itertools.permutations(p, 3):
+        expected = p[a] * p[b] / (1 - p[a]) * p[c] / (1 - p[a] - p[b])
+        assert abs(triples[a, b, c] / n - expected) < 5 * math.sqrt(expected / n) + 1e-3
+
+
+def test_one_segmentation_holds_nearly_all_weight():
+    vocabulary, n = segment.Vocabulary(MODEL), 2000
+    for text in ("https://en.wikipedia.org/wiki/Category", "org.springframework.context.annotation.Configuration", "function(configuration,Application)",
+                 "https://en.wikipedia.org/wiki/Category" * 20):
+        drawn = sampled(vocabulary, [text] * n, 3)
+        for d in drawn:
+            assert len({x[0] for x in d}) == 3 and all(segment.decode_ids(vocabulary, np.array(x[0])) == text.encode() for x in d)
+            assert d[0][2] >= d[1][2] >= d[2][2]
+        log_p = {x[0]: x[1] for d in drawn for x in d}
+        best, times = collections.Counter(d[0][0] for d in drawn).most_common(1)[0]
+        for ids, seen in collections.Counter(d[1][0] for d in drawn if d[0][0] == best).most_common(5):
+            expected = math.exp(log_p[ids]) / -math.expm1(log_p[best])
+            assert abs(seen / times - expected) < 5 * math.sqrt(expected / times) + 1e-3

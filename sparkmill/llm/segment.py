@@ -1,9 +1,9 @@
 """Sampled SentencePiece segmentations without replacement, and decoding.
 
-A text is cut before each space; a segment is a space (the model's word mark, also put
-before the text) and what follows.  No piece crosses into a segment, so the lattice
-of a text is the chain of its segments' lattices.  Pieces weigh 1 / (rank + 2) by the model's
-own order, characters without a piece fall back to byte pieces; nothing is trained here.
+A text is cut before each run of spaces; a segment is a run (of the model's word marks, one of
+which is also put before the text) and what follows.  No piece holds a mark behind another
+character, so none crosses into a segment, and the lattice of a text is the chain of its segments' lattices.  Pieces weigh 1 / (rank + 2) by the model's
+own order (those that it gives no rank, runs of marks, come last), characters without a piece fall back to byte pieces; nothing is trained here.
 A backward pass over each distinct segment gives every edge its conditional probability.
 
 Gumbel top-k by best-first search: a partial segmentation carries the largest perturbed
@@ -67,10 +67,12 @@ class Vocabulary:
                 self.pieces.append(b"")
             else:
                 self.pieces.append(piece.replace(_MARK, " ").encode())
-                if _MARK not in piece[1:] and model.get_score(i) > -1e8:
+                if _MARK not in piece.lstrip(_MARK):
                     usable.append((i, -model.get_score(i)))
         weight = np.zeros(len(self.pieces))
         ids, ranks = np.array([u[0] for u in usable]), np.array([u[1] for u in usable])
+        unranked = ranks >= 1e8  # runs of marks have no rank of their own in the shipped model: they come last
+        ranks[unranked] = ranks[~unranked].max() + 1 + np.arange(unranked.sum())
         weight[ids] = 1 / (ranks - ranks.min() + 2)
         weight[self.byte_id[self.byte_id >= 0]] = weight[ids].min() / 10
         with np.errstate(divide="ignore"):
@@ -319,7 +321,10 @@ class _Chunk:
     def __init__(self, vocabulary: Vocabulary, data: np.ndarray, offsets: np.ndarray, seeds: np.ndarray):
         n = len(offsets) - 1
         full = np.diff(offsets) > 0
-        spaces = np.flatnonzero(data == 32)
+        inside = np.ones(len(data) + 1, dtype=bool)  # not at a text's begin: the space put there is the run's first
+        inside[offsets] = False
+        space = data == 32
+        spaces = np.flatnonzero(space & inside[:-1] & ~np.concatenate([[False], space[:-1]])) if len(data) else np.zeros(0, np.int64)
         start = np.sort(np.concatenate([offsets[:-1][full], spaces + 1]), kind="stable")
         doc = np.concatenate([np.flatnonzero(full), np.searchsorted(offsets, spaces, side="right") - 1])
         doc = np.sort(doc, kind="stable")

@@ -144,3 +144,44 @@ def test_one_segmentation_holds_nearly_all_weight():
         for ids, seen in collections.Counter(d[1][0] for d in drawn if d[0][0] == best).most_common(5):
             expected = math.exp(log_p[ids]) / -math.expm1(log_p[best])
             assert abs(seen / times - expected) < 5 * math.sqrt(expected / times) + 1e-3
+
+
+class Spaced(Toy):
+    """Pieces of several spaces, with and without letters behind them."""
+
+    def __init__(self):
+        super().__init__()
+        pieces = [b" ", b"a", b"b", b"  ", b"   ", b"  a", b" b"]
+        self.pieces, self.flat = pieces, np.frombuffer(b"".join(pieces), dtype=np.uint8)
+        self.size = np.array([len(p) for p in pieces])
+        self.first = np.cumsum(self.size) - self.size
+        run = W._running(segment._CODE[self.flat], segment._BASE)
+        self.index(W._between(run, self.first, self.first + self.size, segment._BASE), np.arange(len(pieces)))
+
+
+def test_runs_of_spaces_keep_all_their_pieces():
+    toy = Spaced()
+
+    def every(rest, ids=(), log_p=0.0):
+        if not rest:
+            yield ids, math.exp(log_p)
+        for i, piece in enumerate(toy.pieces):
+            if rest.startswith(piece):
+                yield from every(rest[len(piece):], ids + (i,), log_p + toy.log_weight[i])
+
+    for text in ("a  b", "  a", " ", "   ", "b   a ", "b    ", "a b   ab"):
+        p = dict(every(b" " + text.encode()))
+        total = sum(p.values())
+        drawn = sampled(toy, [text] * 20 + ["", "a", text], 60)
+        for d in drawn[:20] + drawn[-1:]:
+            assert {x[0] for x in d} == set(p) and len(d) == len(p) < 60
+            assert all(abs(x[1] - math.log(p[x[0]] / total)) < 1e-9 for x in d)
+
+
+def test_shipped_pieces_of_spaces_are_drawn():
+    vocabulary = segment.Vocabulary(MODEL)
+    runs = {i for i, p in enumerate(vocabulary.pieces) if len(p) > 1 and not p.strip(b" ")}
+    text = "x" + " " * 16 + "y\n    z"
+    drawn = sampled(vocabulary, [text] * 200, 2)
+    assert len(runs) == 14 and {i for d in drawn for x in d for i in x[0]} & runs
+    assert all(segment.decode_ids(vocabulary, np.array(x[0])) == text.encode() for d in drawn for x in d)

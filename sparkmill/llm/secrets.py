@@ -58,6 +58,9 @@ CLASSES = (CharacterClass("entropy_hex", "[0-9a-fA-F]", _DIGITS + "abcdefABCDEF"
 #: marks, UUIDs, and documentation's examples.
 ALLOWED = (r"[A-Za-z]+", r"[0-9]+", r"([A-Za-z]+|[0-9]+)([+/_=-]+([A-Za-z]+|[0-9]+))*[+/_=-]*", r"[+/_=-]+",
            r"[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}", r".*EXAMPLE(KEY)?")
+#: The joined words for Java, whose stack grows with each turn of a group that may give back; what these
+#: repeats match can be split in one way only, so nothing is lost when they keep it.
+_JAVA = {ALLOWED[2]: r"(?:[A-Za-z]++|[0-9]++)(?:[+/_=-]++(?:[A-Za-z]++|[0-9]++))*+[+/_=-]*+"}
 
 
 def _matches(text: Column, pattern: str, likely: Column) -> Column:
@@ -123,7 +126,7 @@ def scan(docs: DataFrame, classes: tuple[CharacterClass, ...] = CLASSES, allowed
     for k, c in enumerate(classes):
         run = f"{c.pattern}{{{c.window},}}"
         name = f"secret_candidates_{k}"
-        allow = "^(" + "|".join(allowed) + ")$"
+        allow = "^(" + "|".join(_JAVA.get(a, a) for a in allowed) + ")$"
         out = out.withColumn(name, F.filter(_matches(text, run, text.rlike(f"{c.pattern}{{{c.window}}}")), lambda m: ~m["found"].rlike(allow)))
         extra.append(_entropy(F.col(name), 3 + k, c))
     spans = F.array_sort(F.concat("secret_base", *extra))

@@ -95,3 +95,18 @@ def test_limits_are_exact():
     c = secrets.CLASSES[0]
     assert c.terms[1] == 0 and c.terms[2] == 2 << 20
     assert F.lit(c.most) is not None and c.most == math.floor((math.log2(20) - 3.0) * 20 * (1 << 20))
+
+
+def test_candidate_of_a_megabyte(spark):
+    long = [("word_" * 200_000, ""), ("12/abc+" * 150_000 + "==", ""), ("a-" * 500_000 + "EXAMPLEKEY", ""), ("token=" + "word_" * 200_000, "assign:0:1000006")]
+    got = dict(secrets.report(docs(spark, [(i, t) for i, (t, _) in enumerate(long)])).select("doc_id", "spans").collect())
+    assert got == {i: spans for i, (_, spans) in enumerate(long)}
+
+
+def test_allowed_words_read_alike_in_java_and_python(spark):
+    rng = random.Random(5)
+    texts = ["".join(rng.choice(("ab", "B", "12", "7", "+", "/", "_", "=", "-")) for _ in range(rng.randrange(1, 9))) for _ in range(3000)]
+    java = "^(" + "|".join(secrets._JAVA.get(a, a) for a in secrets.ALLOWED) + ")$"
+    rows = spark.createDataFrame([(t,) for t in texts], "t string").select("t", F.col("t").rlike(java).alias("ok")).collect()
+    expected = [re.fullmatch("|".join(f"(?:{a})" for a in secrets.ALLOWED), t) is not None for t in texts]
+    assert [r["ok"] for r in rows] == expected and 0 < sum(expected) < len(texts)

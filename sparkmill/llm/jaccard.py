@@ -10,7 +10,7 @@ more often the later (the order may be any; counts only make it cheap).
 
 * Small sets (n up to the boundary) post every two-subset of their longer prefix.
 * Large sets, and the small ones that a large one can link with, post their prefix
-  to the inverted lists.
+  to the inverted lists; so do sets that need share only one shingle, at 50 percent and less.
 
 The boundary is chosen by cost from the histogram of set sizes: postings of either kind,
 and the partners that an inverted list is expected to bring.
@@ -164,12 +164,14 @@ def _postings(shingle: int, percent: int, order: np.ndarray, boundary: int, larg
                 h = h[place]
                 prefix = sizes - need(sizes, percent) + 1
                 small, listed = fresh & (sizes <= boundary) & (sizes > 1), fresh & (100 * sizes >= percent * (boundary + 1)) & (largest > boundary)
+                if need(2, percent) < 2:  # sets of different sizes may link by one shingle
+                    listed |= fresh & (need(sizes, percent) < 2) & (sizes > 0)
                 at = np.arange(len(h)) - first[doc]
                 one = np.flatnonzero(listed[doc] & (at < prefix[doc]))
                 keys, owner = [W.mix(h[one] ^ _U64(5))], [doc[one]]
                 # each member of the longer prefix with every later one
                 lead = np.flatnonzero(small[doc] & (at < prefix[doc]))
-                later = prefix[doc[lead]] - at[lead]
+                later = np.minimum(prefix, sizes - 1)[doc[lead]] - at[lead]
                 a = np.repeat(lead, later)
                 b = a + 1 + np.arange(len(a)) - np.repeat(np.cumsum(later) - later, later)
                 low, high = np.minimum(h[a], h[b]), np.maximum(h[a], h[b])
@@ -381,6 +383,8 @@ def _verified(pairs: DataFrame, whole: DataFrame, percent: int, shingle: int) ->
 def link(docs: DataFrame, shingle: int = 4, percent: int = 85, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, text_hash, n_shingles, component_id, root) of every row; texts whose sets have a Jaccard
     similarity of ``percent`` or more, directly or through others, share a component.  ``root`` names it (null for an empty set)."""
+    if not 1 <= percent <= 100:
+        raise ValueError(f"percent must be from 1 to 100, not {percent}")
     small_batches(docs.sparkSession)
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text_col).alias("text_hash"),
                         F.coalesce(F.col(text_col), F.lit("")).alias("text"))

@@ -117,3 +117,19 @@ def test_shared_lists_over_batches(monkeypatch):
                 if any(j != i and 100 * min(n, m) >= 85 * max(n, m) for j, (m, _) in enumerate(own)):
                     expected.append((k, x, n, i // 2))
         assert sorted((r["key"], r["name"], r["n"], r["block"]) for r in got) == sorted(expected)
+
+
+@pytest.mark.parametrize("percent,boundary", [(50, 1000), (30, 1000), (30, 2), (50, 0)])
+def test_low_percent_matches_brute_force(spark, monkeypatch, percent, boundary):
+    rng = random.Random(percent)
+    rows = [(i, " ".join(f"g{i % 30}x{rng.randrange(4)}" for _ in range(rng.randrange(1, 9)))) for i in range(90)]
+    rows += [(100, "p"), (101, "p q"), (102, "q r s"), (103, "t u"), (104, "u v"), (105, "t u v w x y z"), (106, None), (107, "")]
+    monkeypatch.setattr(jaccard, "choose_boundary", lambda *_: boundary)
+    got = jaccard.link(docs(spark, rows).repartition(3), 1, percent)
+    assert sorted([(r["doc_id"], r["n_shingles"], r["component_id"]) for r in got.collect()], key=str) == brute(rows, 1, percent)
+
+
+def test_percent_out_of_range_is_refused(spark):
+    for percent in (0, 101):
+        with pytest.raises(ValueError):
+            jaccard.link(docs(spark, []), 4, percent)

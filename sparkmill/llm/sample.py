@@ -25,7 +25,8 @@ def labelled(labels: DataFrame, label: str, id_col: str = "doc_id") -> DataFrame
 def training_texts(docs: DataFrame, labels: DataFrame, label: str, per_class: tuple[int, int], id_col: str = "doc_id",
                    text_col: str = "text", most_bytes: int = MOST_BYTES) -> tuple[pa.Table, tuple[int, int]]:
     """((label, text) of at most ``per_class[c]`` documents of each class, in a
-    pseudo-random order; how many ids each class has).  The ids are chosen by hash."""
+    pseudo-random order; how many ids each class has).  The ids are chosen by hash, and of rows of one id
+    the text of the least hash, however often it is repeated."""
     ids = labelled(labels, label, id_col)
     counts = {r["label"]: r["count"] for r in ids.groupBy("label").count().collect()}
     order = F.xxhash64("id", F.lit(7))
@@ -34,6 +35,7 @@ def training_texts(docs: DataFrame, labels: DataFrame, label: str, per_class: tu
         part = ids.filter(F.col("label") == c).orderBy(order, "id").limit(per_class[c])
         chosen = part if chosen is None else chosen.unionByName(part)
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).filter(F.octet_length("text") <= most_bytes)
-    table = texts.join(F.broadcast(chosen), "id").select("label", "text", order.alias("o"), "id").toArrow()  # at most sum(per_class) ids
+    one = (texts.join(F.broadcast(chosen), "id").groupBy("id", "label").agg(F.min(F.struct(F.xxhash64("text"), "text")).alias("row")))
+    table = one.select("label", F.col("row.text").alias("text"), order.alias("o"), "id").toArrow()  # at most sum(per_class) rows
     table = table.sort_by([("o", "ascending"), ("id", "ascending"), ("text", "ascending")]).select(["label", "text"])
     return table, (counts.get(0, 0), counts.get(1, 0))

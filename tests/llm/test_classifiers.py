@@ -92,3 +92,12 @@ def test_folded_table_equals_the_network():
     model = quality.Model(table, 0.25)
     expected = [1 / (1 + np.exp(-(float((table[b] * w).sum()) + 0.25))) for b, w in features]
     assert np.allclose(model.score(array), expected, atol=1e-5)
+
+
+def test_sample_holds_one_row_of_an_id(spark):
+    """A repeated id, a third of all rows, comes to the driver once, with the same text in any order."""
+    rows = [(1, f"text {i % 3}", "x", 1, None) for i in range(300)] + [(i, f"own {i}", "x", 1, None) for i in range(2, 602)]
+    labels = spark.createDataFrame([(i, 1, int(i % 2)) for i in range(1, 602)], "doc_id long, quality int, toxic int")
+    tables = [sample.training_texts(spark.createDataFrame(r, DOC_SCHEMA).repartition(n), labels, "toxic", (1000, 1000))[0].to_pylist() for r, n in ((rows, 2), (rows[::-1], 5))]
+    assert tables[0] == tables[1] and sum(r["text"].startswith("text") for r in tables[0]) == (not held(1))
+    assert len(tables[0]) == sum(not held(i) for i in range(1, 602))

@@ -7,7 +7,9 @@ ordinary texts.  The toxic one holds the strings that toxic texts are marked by:
 far likelier in toxic documents, the commonest last, before the same ordinary content;
 ordinary windows then compress alike under both, and what is left of the difference
 is due to toxic strings.  (zstandard's own trainer left half of those strings out.)
-Near copies in the sample count once.
+Near copies in the sample count once.  Two more bounds: the ordinary dictionary is trained on at most
+``ORDINARY_WINDOWS`` windows drawn from the sample, and the toxic one keeps at most ``MOST_STRINGS``
+words, each in ``LEAST_DOCS`` texts and ``LEAST_SHARE`` of the toxic half; rarer ones are not learned.
 
 Every text is cut into windows of whole words of about ``WINDOW`` bytes.  The
 distance of a window is its compressed length under the ordinary dictionary less that

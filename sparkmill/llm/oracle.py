@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from sparkmill.llm import secrets
+from sparkmill.llm import licenses, secrets
 
 SPACE_WORDS = r"regexp_extract_all({}, '[^\x20\x09-\x0D]+')"
 
@@ -121,6 +121,47 @@ SELECT doc_id, len(words) AS n_words, coalesce(len(gone), 0) AS n_removed,
 FROM w LEFT JOIN hit USING (doc_id)
 """
 
+OP11 = """
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, length(coalesce(text, '')) AS n, sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), 'null')) AS h FROM documents),
+g AS (SELECT *, CAST('0x' || substr(h, 1, 8) AS BIGINT) % (n + 1) AS u, CAST('0x' || substr(h, 9, 8) AS BIGINT) % (n + 1) AS v,
+             CAST('0x' || substr(h, 17, 8) AS BIGINT) % 100 AS p, CAST('0x' || substr(h, 25, 8) AS BIGINT) % 100 AS q FROM d),
+f AS (SELECT *, CASE WHEN n = 0 OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR p >= 90 THEN 'plain'
+                     WHEN q < 20 THEN 'spm' ELSE 'psm' END AS form, least(u, v) AS a, greatest(u, v) AS b FROM g),
+x AS (SELECT *, substr(t, 1, a) AS pre, substr(t, a + 1, b - a) AS mid, substr(t, b + 1) AS suf FROM f)
+SELECT doc_id, CAST(n AS BIGINT) AS n, form, CASE WHEN form <> 'plain' THEN a END AS prefix_chars, CASE WHEN form <> 'plain' THEN b - a END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || pre || '<S>' || suf || '<M>' || mid
+              ELSE '<S>' || suf || '<P>' || pre || '<M>' || mid END) AS output_sha256, sha256(t) AS restored_sha256
+FROM x
+"""
+
+
+def _spelling(parts: tuple) -> str:
+    """A template as a pattern over words that are each followed by one space."""
+    return "".join(f"{p} " if isinstance(p, str) else f"(?:[^ ]+ ){{{p.least},{p.most}}}" if isinstance(p, licenses.Replaceable)
+                   else f"(?:{_spelling(p.parts)})?" for p in parts)
+
+
+def _op12() -> str:
+    bases = " UNION ALL ".join(
+        f"SELECT doc_id, '{label}' AS label, s - 1 AS place FROM (SELECT doc_id, words, unnest(range(1, len(words) - {k - 2})) AS s FROM w WHERE len(words) >= {k}) "
+        f"WHERE array_to_string(words[s:s + {k - 1}], ' ') = '{phrase}'" for phrase, label in licenses.PHRASES for k in [len(phrase.split())])
+    own = " UNION ALL ".join(f"SELECT doc_id, '{label}' AS label, {f"'{family}'" if family else 'NULL'} AS family FROM j "
+                             f"WHERE regexp_matches(t, ' {_spelling(licenses.parse(text))}')" for label, family, text in licenses.TEMPLATES)
+    return f"""
+WITH w AS (SELECT doc_id, {ALNUM_WORDS.format(FOLD.format("text"))} AS words FROM documents),
+j AS (SELECT doc_id, ' ' || array_to_string(words, ' ') || ' ' AS t FROM w),
+base AS ({bases}),
+own AS ({own}),
+b AS (SELECT doc_id, count(*) AS n_base, min(place) AS first_word, max(place) AS last_word, string_agg(DISTINCT label, ',' ORDER BY label) AS base_labels FROM base GROUP BY doc_id),
+proved AS (SELECT DISTINCT doc_id, label FROM own UNION SELECT o.doc_id, o.family FROM own o JOIN base s ON s.doc_id = o.doc_id AND s.label = o.family),
+every AS (SELECT doc_id, label, max(good) AS good FROM (SELECT doc_id, label, 1 AS good FROM proved UNION ALL SELECT doc_id, label, 0 FROM base) GROUP BY doc_id, label),
+l AS (SELECT doc_id, string_agg(label, ',' ORDER BY label) AS labels, (sum(good) + 0.5::DOUBLE * (count(*) - sum(good))) / count(*) AS score FROM every GROUP BY doc_id)
+SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, coalesce(n_base, 0) AS n_base, first_word, last_word, coalesce(base_labels, '') AS base_labels,
+       coalesce(labels, '') AS labels, coalesce(score, 0.0::DOUBLE) AS score
+FROM w LEFT JOIN b USING (doc_id) LEFT JOIN l USING (doc_id)
+"""
+
+
 ORACLE = {
     "op2_warc_transactions": OP2,
     "op3_ngram_jaccard": OP3,
@@ -128,4 +169,6 @@ ORACLE = {
     "op6_decontamination": OP6,
     "op8_secret_scan": OP8,
     "op10_substring_dedup": OP10,
+    "op11_fill_in_middle": OP11,
+    "op12_license_scan": _op12(),
 }

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkmill.llm import decontam, jaccard, quality, secrets, segment, substring, tokenfile, topk, toxicity, warc
+from sparkmill.llm import decontam, infill, jaccard, licenses, quality, secrets, segment, substring, tokenfile, topk, toxicity, warc
 from sparkmill.llm.store import folder, stored
 from sparkmill.sources.tables import table
 
@@ -74,6 +74,14 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.drop("kept_text")
 
 
+def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return infill.report(table(spark, sf_dir, "documents"))
+
+
+def op12_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents")).drop("spans")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_warc_transactions": op2_warc_transactions,
@@ -85,4 +93,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_secret_scan": op8_secret_scan,
     "op9_quality": op9_quality,
     "op10_substring_dedup": op10_substring_dedup,
+    "op11_fill_in_middle": op11_fill_in_middle,
+    "op12_license_scan": op12_license_scan,
 }

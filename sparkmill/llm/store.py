@@ -7,6 +7,7 @@ from __future__ import annotations
 
 import ctypes
 import ctypes.util
+import re
 import uuid
 
 import pyarrow as pa
@@ -38,6 +39,18 @@ def small_batches(spark: SparkSession, rows: int = 1000) -> None:
         spark.conf.set(BATCH, str(rows))
 
 
+BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def lean_batches(spark: SparkSession, most: int = 8 << 20) -> None:
+    """Rows go to Python in batches of at most ``most`` bytes (or one row) from now on in this session, so that a
+    batch of long texts is no larger than one of short ones.  A smaller setting of the session's own stays."""
+    size = re.fullmatch(r"(-?\d+)([kmg]?)b?", spark.conf.get(BATCH_BYTES, "64m").lower())
+    now = int(size[1]) << {"": 0, "k": 10, "m": 20, "g": 30}[size[2]] if size else 0
+    if now <= 0 or now > most:
+        spark.conf.set(BATCH_BYTES, str(most))
+
+
 def give_back() -> None:
     """Return memory that this worker process freed but still holds, now and from now on: Spark uses
     Python workers again, and what they keep adds to the executor's share.  Arrays from 256 KB on go

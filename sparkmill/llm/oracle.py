@@ -141,12 +141,20 @@ def _spelling(parts: tuple) -> str:
                    else f"(?:{_spelling(p.parts)})?" for p in parts)
 
 
+def _fixed(parts: tuple) -> str:
+    """The longest run of mandatory words: every spelling holds it."""
+    runs = [[]]
+    for p in parts:
+        runs = [*runs[:-1], runs[-1] + [p]] if isinstance(p, str) else [*runs, []]
+    return " ".join(max(runs, key=len))
+
+
 def _op12() -> str:
     bases = " UNION ALL ".join(
         f"SELECT doc_id, '{label}' AS label, s - 1 AS place FROM (SELECT doc_id, words, unnest(range(1, len(words) - {k - 2})) AS s FROM w WHERE len(words) >= {k}) "
         f"WHERE array_to_string(words[s:s + {k - 1}], ' ') = '{phrase}'" for phrase, label in licenses.PHRASES for k in [len(phrase.split())])
     own = " UNION ALL ".join(f"SELECT doc_id, '{label}' AS label, {f"'{family}'" if family else 'NULL'} AS family FROM j "
-                             f"WHERE regexp_matches(t, ' {_spelling(licenses.parse(text))}')" for label, family, text in licenses.TEMPLATES)
+                             f"WHERE contains(t, ' {_fixed(licenses.parse(text))} ') AND regexp_matches(t, ' {_spelling(licenses.parse(text))}')" for label, family, text in licenses.TEMPLATES)
     return f"""
 WITH w AS (SELECT doc_id, {ALNUM_WORDS.format(FOLD.format("text"))} AS words FROM documents),
 j AS (SELECT doc_id, ' ' || array_to_string(words, ' ') || ' ' AS t FROM w),

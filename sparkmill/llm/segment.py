@@ -115,13 +115,15 @@ class Vocabulary:
         at = np.searchsorted(known, names, sorter=order)
         at[at == len(known)] = 0
         number = order[at] if len(order) else at
-        new = np.flatnonzero(known[number] != names) if len(order) else np.arange(len(names))
+        met = known[number] == names if len(order) else np.zeros(len(names), dtype=bool)
+        met[met] = self.store.same(number[met], data, start[met], end[met])
+        new = np.flatnonzero(~met)
         size = end[new] - start[new]
         edge = np.cumsum(size) - size
         flat = np.full(size.sum() + len(new), 32, dtype=np.uint8)
         flat[np.repeat(np.arange(len(new)) + 1, size) + np.arange(size.sum())] = data[np.repeat(start[new] - edge, size) + np.arange(size.sum())]
         number[new] = len(known) + np.arange(len(new))
-        return self.store.with_new(Lattice(self, flat, size + 1), names[new]), number
+        return self.store.with_new(Lattice(self, flat, size + 1), names[new], flat, size + 1), number
 
     @classmethod
     def of(cls, path: str) -> Vocabulary:
@@ -138,10 +140,15 @@ class Store:
     def __init__(self):
         self.room = {k: np.zeros(0, dtype=t) for k, t in self.KINDS.items()}
         self.names = np.zeros(0, dtype=np.uint64)
+        self.text, self.start = np.zeros(0, dtype=np.uint8), np.zeros(1, dtype=np.int64)  # the kept segments, a space before each
         self.edges = self.nodes = 0
 
-    def with_new(self, new: Lattice, names: np.ndarray) -> Lattice:
-        """What is kept, then ``new``; it is kept too while no more than KNOWN_EDGES are."""
+    def same(self, number: np.ndarray, data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """Whether the kept segments ``number`` are the bytes ``data[start:end]``."""
+        return W.same_spans(data, start, end, self.text, self.start[number] + 1, self.start[number + 1])
+
+    def with_new(self, new: Lattice, names: np.ndarray, flat: np.ndarray, size: np.ndarray) -> Lattice:
+        """What is kept, then ``new`` of the segments ``flat``; it is kept too while no more than KNOWN_EDGES are."""
         edges, nodes, segments = self.edges, self.nodes, len(self.names)
         starts = {"first_edge": nodes, "is_end": nodes, "base": segments, "ways": segments}
         out = object.__new__(Lattice)
@@ -156,6 +163,7 @@ class Store:
             setattr(out, k, self.room[k][:at + len(part)])
         if edges + len(new.piece) <= KNOWN_EDGES:
             self.edges, self.nodes, self.names = edges + len(new.piece), nodes + len(new.is_end), np.concatenate([self.names, names])
+            self.text, self.start = np.concatenate([self.text, flat]), np.concatenate([self.start, len(self.text) + np.cumsum(size)])
         return out
 
 
@@ -332,10 +340,9 @@ class _Chunk:
         end = np.empty(len(start), dtype=np.int64)
         end[:-1] = start[1:] - 1
         end[last] = offsets[doc[last] + 1]
-        run = W._running(_CODE[data], _BASE)
-        names = W.mix(W._between(run, start, end, _BASE) + W.mix((end - start).astype(np.uint64)))
-        names, first, which = np.unique(names, return_index=True, return_inverse=True)
-        self.lattice, number = vocabulary.lattice(names, data, start[first], end[first])
+        names = W.hash_spans(data, start, end)
+        first, which = W.distinct_spans(data, start, end, names)
+        self.lattice, number = vocabulary.lattice(names[first], data, start[first], end[first])
         self.which = number[which]
         self.n, self.doc, self.seeds = n, doc.astype(np.int32), seeds
         self.first = np.searchsorted(doc, np.arange(n + 1))

@@ -64,6 +64,7 @@ class WordIds:
         self.encode = getattr(self.tok, "encode_batch_fast", self.tok.encode_batch)
         self.mark = self.tok.encode(_MARK, add_special_tokens=False).ids
         self.hash, self.at, self.size, self.ids = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint32)
+        self.text, self.start, self.end = np.zeros(0, np.uint8), np.zeros(0, np.int64), np.zeros(0, np.int64)
 
     @classmethod
     def of(cls, path: str) -> WordIds:
@@ -89,23 +90,31 @@ class WordIds:
         cat = lambda x, kind: np.concatenate(x).astype(kind) if x else np.zeros(0, kind)
         return cat(sizes, np.int64), cat(flat, np.uint32)
 
-    def look_up(self, hashes: np.ndarray, text: bytes, start: np.ndarray, end: np.ndarray):
-        """(offsets, sizes, flat ids) for distinct words; sorted hashes."""
+    def look_up(self, hashes: np.ndarray, data: np.ndarray, start: np.ndarray, end: np.ndarray):
+        """(offsets, sizes, flat ids) for distinct words.  A remembered word is used only if its bytes are the same."""
         at = np.searchsorted(self.hash, hashes)
         at[at == len(self.hash)] = 0
-        known = self.hash[at] == hashes if len(self.hash) else np.zeros(len(hashes), dtype=bool)
+        met = self.hash[at] == hashes if len(self.hash) else np.zeros(len(hashes), dtype=bool)
+        known = met.copy()
+        known[met] = W.same_spans(data, start[met], end[met], self.text, self.start[at[met]], self.end[at[met]])
         new = np.flatnonzero(~known)
-        size_new, flat_new = self._encoded([text[s:e].decode("utf-8") for s, e in zip(start[new], end[new], strict=True)])
+        raw = [data[s:e].tobytes() for s, e in zip(start[new], end[new], strict=True)]
+        size_new, flat_new = self._encoded([x.decode("utf-8") for x in raw])
         off_new = np.cumsum(size_new) - size_new
         offset, size = np.empty(len(hashes), np.int64), np.empty(len(hashes), np.int64)
         offset[known], size[known] = self.at[at[known]], self.size[at[known]]
         offset[new], size[new] = off_new + len(self.ids), size_new
         flat = np.concatenate([self.ids, flat_new])
         if len(self.hash) + len(new) <= KNOWN_WORDS:
-            h = np.concatenate([self.hash, hashes[new]])
+            _, one = np.unique(hashes[new], return_index=True)  # of words of one hash the first is remembered
+            one = one[~met[new[one]]]
+            until = np.cumsum([0, *map(len, raw)]) + len(self.text)
+            h = np.concatenate([self.hash, hashes[new[one]]])
             order = np.argsort(h)
-            self.hash, self.ids = h[order], flat
-            self.at, self.size = np.concatenate([self.at, offset[new]])[order], np.concatenate([self.size, size_new])[order]
+            joined = lambda old, fresh: np.concatenate([old, fresh[one]])[order]
+            self.at, self.size = joined(self.at, offset[new]), joined(self.size, size_new)
+            self.start, self.end = joined(self.start, until[:-1]), joined(self.end, until[1:])
+            self.hash, self.ids, self.text = h[order], flat, np.concatenate([self.text, np.frombuffer(b"".join(raw), np.uint8)])
         return offset, size, flat
 
 
@@ -115,8 +124,8 @@ def encode_texts(array: pa.Array, path: str) -> tuple[np.ndarray, np.ndarray]:
     counts, flat = [np.zeros(1, np.int64)], []
     for _, data, offsets in W.chunks(array, 16 << 20):
         w = W.split(data, offsets, _KIND)
-        names, first, which = np.unique(w.hash, return_index=True, return_inverse=True)
-        at, size, ids = model.look_up(names, data.tobytes(), w.start[first], w.end[first])
+        first, which = W.distinct_spans(data, w.start, w.end, w.hash)
+        at, size, ids = model.look_up(w.hash[first], data, w.start[first], w.end[first])
         each = size[which]
         total = np.concatenate([[0], np.cumsum(each)])
         flat.append(ids[np.repeat(at[which] - total[:-1], each) + np.arange(total[-1])])

@@ -1,9 +1,10 @@
 """Words and word windows of Arrow text batches, vectorised with numpy.
 
 Texts are read as UTF-8 bytes straight from the Arrow buffers.  A word is a
-maximal run of bytes of a class; every word gets a 64-bit polynomial hash
-from one running sum over the bytes, every window of k words one from a
-running sum over the word hashes.  Null texts count as empty."""
+maximal run of bytes of a class; every word gets a 64-bit hash, mixed in
+blocks of eight bytes, every window of k words one from a running sum over the word
+hashes.  (A running sum over bytes would not do for words: modulo 2**64 long patterned words, such as a Thue-Morse
+word and its complement, have equal sums for any base.)  Null texts count as empty."""
 
 from __future__ import annotations
 
@@ -15,7 +16,7 @@ import pyarrow as pa
 
 CHUNK_BYTES = 1 << 20
 _M1, _M2, _M3 = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB))
-_BASE, _WINDOW_BASE = np.uint64(0xD6E8FEB86659FD93), np.uint64(0xA0761D6478BD642F)
+_WINDOW_BASE = np.uint64(0xA0761D6478BD642F)
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -56,20 +57,75 @@ def _between(run: np.ndarray, start: np.ndarray, end: np.ndarray, base: np.uint6
     return (run[end] - run[start]) * _tables(base, len(run))[1][start]
 
 
+def hash_spans(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """64-bit hashes of the byte runs ``data[start:end]``: blocks of eight bytes are mixed in one after another,
+    for all runs at once; a run's length is mixed in first."""
+    size = end - start
+    out = mix(size.astype(np.uint64) * _M3)
+    if not len(start):
+        return out
+    data = np.concatenate([data, np.zeros(8, dtype=np.uint8)])
+    eight = np.arange(8)
+    at, left, some = start.astype(np.int64), size, np.flatnonzero(size > 0)
+    at, left = at[some], left[some]
+    while len(some):
+        block = data[at[:, None] + eight].view("<u8")[:, 0]
+        spare = (8 - np.minimum(left, 8)).astype(np.uint64) * np.uint64(8)  # at most 56
+        out[some] = mix((out[some] ^ (block & (np.uint64(0xFFFFFFFFFFFFFFFF) >> spare))) * _M1)
+        more = left > 8
+        some, at, left = some[more], at[more] + 8, left[more] - 8
+    return out
+
+
+def same_spans(a: np.ndarray, a_start: np.ndarray, a_end: np.ndarray, b: np.ndarray, b_start: np.ndarray, b_end: np.ndarray) -> np.ndarray:
+    """Whether the byte runs ``a[a_start:a_end]`` and ``b[b_start:b_end]`` are equal, one by one."""
+    out = a_end - a_start == b_end - b_start
+    a, b = (np.concatenate([x, np.zeros(8, dtype=np.uint8)]) for x in (a, b))
+    eight = np.arange(8)
+    some = np.flatnonzero(out & (a_end > a_start))
+    x, y, left = a_start[some].astype(np.int64), b_start[some].astype(np.int64), (a_end - a_start)[some]
+    while len(some):
+        spare = (8 - np.minimum(left, 8)).astype(np.uint64) * np.uint64(8)
+        differ = a[x[:, None] + eight].view("<u8")[:, 0] ^ b[y[:, None] + eight].view("<u8")[:, 0]
+        equal = differ & (np.uint64(0xFFFFFFFFFFFFFFFF) >> spare) == 0
+        out[some[~equal]] = False
+        more = equal & (left > 8)
+        some, x, y, left = some[more], x[more] + 8, y[more] + 8, left[more] - 8
+    return out
+
+
+def distinct_spans(data: np.ndarray, start: np.ndarray, end: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(first place of each distinct byte run, number of each run's own): told apart by hash, then compared byte
+    by byte, so that runs of one hash that differ are kept apart."""
+    _, first, which = np.unique(hashes, return_index=True, return_inverse=True)
+    odd = np.flatnonzero(~same_spans(data, start, end, data, start[first][which], end[first][which]))
+    if len(odd):
+        extra: dict[bytes, int] = {}
+        more = []
+        for i in odd.tolist():
+            run = data[start[i]:end[i]].tobytes()
+            if run not in extra:
+                extra[run] = len(first) + len(more)
+                more.append(i)
+            which[i] = extra[run]
+        first = np.concatenate([first, np.array(more, dtype=first.dtype)])
+    return first, which
+
+
 @dataclass(frozen=True)
 class WordClass:
     """Which bytes belong to words, and whether A-Z count as a-z."""
 
     is_word: np.ndarray
     fold: np.ndarray
-    code: np.ndarray
+    lower: bool
 
     @staticmethod
     def of(is_word: np.ndarray, lower: bool) -> WordClass:
         fold = np.arange(256, dtype=np.uint8)
         if lower:
             fold[65:91] += 32
-        return WordClass(is_word[fold], fold, mix(np.arange(256, dtype=np.uint64) * np.uint64(0x51ED270B) + np.uint64(7))[fold])
+        return WordClass(is_word[fold], fold, lower)
 
 
 def non_space(lower: bool) -> WordClass:
@@ -158,8 +214,7 @@ def split(data: np.ndarray, offsets: np.ndarray, kind: WordClass) -> Words:
     tails = offsets[1:]
     after[tails[tails > 0] - 1] = False
     start, end = np.flatnonzero(inside & ~before), np.flatnonzero(inside & ~after) + 1
-    run = _running(kind.code[data], _BASE)
-    hashes = mix(_between(run, start, end, _BASE) + (end - start).astype(np.uint64) * _M1)
+    hashes = hash_spans(kind.fold[data] if kind.lower else data, start, end)
     first = np.searchsorted(start, offsets)
     doc = np.repeat(np.arange(len(offsets) - 1), np.diff(first))
     return Words(data, offsets, start, end, hashes, doc, first)

@@ -38,6 +38,6 @@ def test_stages_take_effect(spark, tmp_dir):
 
 def test_registration():
     names = set(entry.queries())
-    assert {f"op{n}" for n in range(1, 11)} == {x.split("_")[0] for x in names if x.startswith("op")}
+    assert {f"op{n}" for n in range(1, 14)} == {x.split("_")[0] for x in names if x.startswith("op")}
     assert "pipeline" in names and len(corpus_pipeline.STAGES) == 5
     assert set(entry.oracle_sql()) <= names

@@ -150,9 +150,11 @@ def _fixed(parts: tuple) -> str:
 
 
 def _op12() -> str:
-    bases = " UNION ALL ".join(
-        f"SELECT doc_id, '{label}' AS label, s - 1 AS place FROM (SELECT doc_id, words, unnest(range(1, len(words) - {k - 2})) AS s FROM w WHERE len(words) >= {k}) "
-        f"WHERE array_to_string(words[s:s + {k - 1}], ' ') = '{phrase}'" for phrase, label in licenses.PHRASES for k in [len(phrase.split())])
+    def places(phrase: str) -> str:
+        same = " AND ".join(f"words[s + {i}] = '{x}'" for i, x in enumerate(phrase.split()))
+        return f"list_filter(range(1, len(words) - {len(phrase.split()) - 2}), lambda s: {same})"
+
+    bases = " UNION ALL ".join(f"SELECT doc_id, '{label}' AS label, unnest({places(phrase)}) - 1 AS place FROM w" for phrase, label in licenses.PHRASES)
     own = " UNION ALL ".join(f"SELECT doc_id, '{label}' AS label, {f"'{family}'" if family else 'NULL'} AS family FROM j "
                              f"WHERE contains(t, ' {_fixed(licenses.parse(text))} ') AND regexp_matches(t, ' {_spelling(licenses.parse(text))}')" for label, family, text in licenses.TEMPLATES)
     return f"""
@@ -170,6 +172,28 @@ FROM w LEFT JOIN b USING (doc_id) LEFT JOIN l USING (doc_id)
 """
 
 
+OP13 = f"""
+WITH p AS (SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex({FOLD.format("text")}, '[.,;:!?\\x0A-\\x0D]')) AS piece FROM documents),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS words FROM p),
+u AS (SELECT lang, word, count(*) AS f FROM (SELECT lang, unnest(words) AS word FROM w) GROUP BY ALL),
+totals AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM u GROUP BY lang),
+two AS (SELECT lang, words[i] AS x, words[i + 1] AS y, count(*) AS a FROM (SELECT lang, words, unnest(range(1, len(words))) AS i FROM w WHERE len(words) > 1) GROUP BY ALL),
+three AS (SELECT lang, words[i] AS x, words[i + 1] AS y, words[i + 2] AS z, count(*) AS a
+          FROM (SELECT lang, words, unnest(range(1, len(words) - 1)) AS i FROM w WHERE len(words) > 2) GROUP BY ALL HAVING count(*) >= 10),
+c AS (SELECT t.lang, x || ' ' || y AS phrase, a, 1 AS k, l.f AS l, r.f AS r FROM two t JOIN u l ON l.lang = t.lang AND l.word = x JOIN u r ON r.lang = t.lang AND r.word = y
+      WHERE a >= 10 AND NOT EXISTS (SELECT 1 FROM three b WHERE b.lang = t.lang AND b.x = t.x AND b.y = t.y AND 100 * b.a >= 50 * t.a)
+        AND NOT EXISTS (SELECT 1 FROM three b WHERE b.lang = t.lang AND b.y = t.x AND b.z = t.y AND 100 * b.a >= 50 * t.a)
+      UNION ALL SELECT t.lang, t.x || ' ' || t.y || ' ' || z, t.a, 1, l.f, r.a FROM three t JOIN u l ON l.lang = t.lang AND l.word = t.x
+                       JOIN two r ON r.lang = t.lang AND r.x = t.y AND r.y = z
+      UNION ALL SELECT t.lang, t.x || ' ' || t.y || ' ' || z, t.a, 2, l.a, r.f FROM three t JOIN u r ON r.lang = t.lang AND r.word = z
+                       JOIN two l ON l.lang = t.lang AND l.x = t.x AND l.y = t.y),
+s AS (SELECT *, CAST(CAST(1000000 AS HUGEINT) * a * a // (CAST(l AS HUGEINT) * r) AS BIGINT) AS score FROM c),
+best AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+FROM best JOIN totals USING (lang) QUALIFY rank <= 2000
+"""
+
+
 ORACLE = {
     "op2_warc_transactions": OP2,
     "op3_ngram_jaccard": OP3,
@@ -179,4 +203,5 @@ ORACLE = {
     "op10_substring_dedup": OP10,
     "op11_fill_in_middle": OP11,
     "op12_license_scan": _op12(),
+    "op13_collocations": OP13,
 }

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkmill.llm import decontam, infill, jaccard, licenses, quality, secrets, segment, substring, tokenfile, topk, toxicity, warc
+from sparkmill.llm import collocations, decontam, infill, jaccard, licenses, quality, secrets, segment, substring, tokenfile, topk, toxicity, warc
 from sparkmill.llm.store import folder, stored
 from sparkmill.sources.tables import table
 
@@ -82,6 +82,10 @@ def op12_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents")).drop("spans")
 
 
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_warc_transactions": op2_warc_transactions,
@@ -95,4 +99,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_substring_dedup": op10_substring_dedup,
     "op11_fill_in_middle": op11_fill_in_middle,
     "op12_license_scan": op12_license_scan,
+    "op13_collocations": op13_collocations,
 }

@@ -29,8 +29,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sparkmill.llm import slots
 from sparkmill.llm import words as W
-from sparkmill.llm.store import stored
+from sparkmill.llm.store import fresh_name, give_back, lean_batches, stored
 
 _KIND = W.alphanumeric(lower=True)
 _BITS = 25
@@ -44,7 +45,7 @@ def _slot(terms: np.ndarray) -> np.ndarray:
 
 def _term_map(items: DataFrame) -> np.ndarray:
     """Bit map of the terms of all items, gathered as slots of a fixed range."""
-    def slots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def bytes_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for _, data, offsets in W.chunks(batch.column("text")):
                 slot = np.unique(_slot(W.split(data, offsets, _KIND).hash))
@@ -52,7 +53,7 @@ def _term_map(items: DataFrame) -> np.ndarray:
                 bits = np.bitwise_or.reduceat(1 << (slot & 7), first) if len(slot) else slot
                 yield pa.RecordBatch.from_arrays([pa.array(byte), pa.array(bits)], names=["byte", "bits"])
 
-    byte = items.mapInArrow(slots, "byte long, bits long").groupBy("byte").agg(F.bit_or("bits").alias("bits")).toPandas()
+    byte = items.mapInArrow(bytes_of, "byte long, bits long").groupBy("byte").agg(F.bit_or("bits").alias("bits")).toPandas()
     out = np.zeros(1 << (_BITS - 3), dtype=np.uint8)
     out[byte["byte"].to_numpy(dtype=np.int64)] = byte["bits"].to_numpy(dtype=np.uint8)
     return out
@@ -61,9 +62,11 @@ def _term_map(items: DataFrame) -> np.ndarray:
 def build_index(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 item_text_col: str = "text") -> DataFrame:
     """One row per document with the posting lists of the terms that ``items`` may hold."""
+    lean_batches(docs.sparkSession)
     bits = _term_map(items.select(F.col(item_text_col).alias("text")))
 
     def postings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        give_back()
         for batch in batches:
             for row, data, offsets in W.chunks(batch.column("text")):
                 w = W.split(data, offsets, _KIND)
@@ -266,8 +269,11 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = 13) -> DataFr
 
 
 def keep_uncontaminated(docs: DataFrame, items: DataFrame, window: int = 13, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs``, all columns, that are not contaminated."""
-    key = "__row_key"  # of a row's id and text; the same for repeated rows
+    """The rows of ``docs``, all columns, that are not contaminated.  Rows are filtered where they are, by a membership
+    table of the contaminated ones that lets none through; only rows it holds back are shuffled, to be asked exactly."""
+    key = fresh_name(docs, "row_key")  # of a row's id and text; the same for repeated rows
     keyed = docs.withColumn(key, F.xxhash64(F.col(id_col).cast("long"), F.xxhash64(text_col)))
     found = search(build_index(keyed, items, key, text_col), items, window)
-    return keyed.join(found.filter("contaminated").select(F.col("doc_id").alias(key)).distinct(), key, "left_anti").drop(key)
+    bad = stored(found.filter("contaminated").select(F.col("doc_id").alias(key)).distinct(), "contaminated")
+    some, others = slots.apart(keyed, key, bad)
+    return others.unionByName(some.join(bad, key, "left_anti").select(keyed.columns)).drop(key)

@@ -40,7 +40,7 @@ from pyspark.sql import functions as F
 from sparkmill.llm import slots
 from sparkmill.llm import words as W
 from sparkmill.llm.components import components
-from sparkmill.llm.store import small_batches, stored
+from sparkmill.llm.store import fresh_name, give_back, lean_batches, small_batches, stored
 
 _KIND = W.non_space(lower=True)
 _MAP_BITS, _WIDE_BITS = 9, 13
@@ -100,6 +100,7 @@ def _summaries(shingle: int):
                                           names=["doc_id", "text_hash", "n", "name", "map", "recurs"])
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        give_back()
         held, size = [], 0
         for batch in batches:
             for row, sizes, first, h in _sets(batch.column("text"), shingle):
@@ -147,6 +148,7 @@ def choose_boundary(sizes: pd.DataFrame, meeting: float, percent: int) -> int:
 # ------------------------------------------------------------------------ postings
 def _postings(shingle: int, percent: int, order: np.ndarray, boundary: int, largest: int):
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        give_back()
         seen: set[int] = set()  # copies met lately post once
         for batch in batches:
             if len(seen) > 100_000:
@@ -189,6 +191,7 @@ def _shared(percent: int):
     with the number of its block in the key's list.  In order of size a class fits some other if it
     fits a neighbour."""
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        give_back()
         held = None  # the last row: (key, n, name), its place in the list, and the row if it is not out yet
 
         def out(batch: pa.RecordBatch, place: np.ndarray) -> pa.RecordBatch:
@@ -299,6 +302,7 @@ def _candidates(percent: int, nearest: bool):
             yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["u", "v"])
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        give_back()
         held = None
         for batch in batches:
             frame = batch.to_pandas()
@@ -323,8 +327,11 @@ def _pairs(lists: DataFrame, maps: DataFrame, percent: int, nearest: bool) -> Da
 def _whole(shingle: int):
     """(name, n, wide, text), once per task for repeated rows of one text; wide: a parity map of 8192 bits."""
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        give_back()
         seen: set[int] = set()
         for batch in batches:
+            if len(seen) > 100_000:
+                seen.clear()
             texts = batch.column("text")
             for row, sizes, first, h in _sets(texts, shingle):
                 names = _classes(sizes, first, h)
@@ -339,6 +346,7 @@ def _whole(shingle: int):
 def _close(percent: int):
     """Pairs that the wide maps cannot rule out."""
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        give_back()
         for batch in batches:
             a, b = (np.frombuffer(b"".join(batch.column(c).to_pylist()), dtype=_U64).reshape(batch.num_rows, -1) for c in ("a", "b"))
             total = batch.column("m").to_numpy() + batch.column("n").to_numpy()
@@ -354,6 +362,7 @@ def _linked(percent: int, shingle: int):
         return [h[first[d]:first[d + 1]] for _, sizes, first, h in _sets(texts, shingle) for d in range(len(sizes))]
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        give_back()
         for whole in batches:
             for at in range(0, whole.num_rows, 256):
                 batch, ok = whole.slice(at, 256), []
@@ -386,6 +395,7 @@ def link(docs: DataFrame, shingle: int = 4, percent: int = 85, id_col: str = "do
     if not 1 <= percent <= 100:
         raise ValueError(f"percent must be from 1 to 100, not {percent}")
     small_batches(docs.sparkSession)
+    lean_batches(docs.sparkSession)
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text_col).alias("text_hash"),
                         F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     brief = stored(texts.mapInArrow(_summaries(shingle), "doc_id long, text_hash long, n long, name long, map binary, recurs long"), "sets")
@@ -428,13 +438,19 @@ def link(docs: DataFrame, shingle: int = 4, percent: int = 85, id_col: str = "do
 
 
 def keep_one(docs: DataFrame, shingle: int = 4, percent: int = 85, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with one row of each component, that of the smallest id; texts without words stay."""
-    linked = link(docs, shingle, percent, id_col, text_col)
+    """``docs`` with one row of each component, that of the smallest id; texts without words stay.
+
+    Only rows that may go are shuffled: those whose (id, text) was not chosen or is there more than once.  The others,
+    told by a membership table that lets no such row through, are filtered where they are."""
+    linked = stored(link(docs, shingle, percent, id_col, text_col).filter("root is not null").select("doc_id", "text_hash", "root"), "linked")
     row = F.struct(F.col("doc_id").isNull(), "doc_id", "text_hash")
-    chosen = (linked.filter("root is not null").groupBy("root").agg(F.min(row).alias("r")).select("r.doc_id", "r.text_hash"))
-    key = "__row_key"  # of a row's id and text; the same for repeated rows
-    keys = chosen.select(F.xxhash64("doc_id", "text_hash").alias(key))
+    chosen = linked.groupBy("root").agg(F.min(row).alias("r")).select(F.xxhash64("r.doc_id", "r.text_hash").alias("k"), F.lit(True).alias("stays"))
+    rows = linked.groupBy(F.xxhash64("doc_id", "text_hash").alias("k")).agg(F.count(F.lit(1)).alias("n"))
+    judged = stored(rows.join(chosen.distinct(), "k", "left").filter("stays is null or n > 1").select("k", F.coalesce("stays", F.lit(False)).alias("stays")), "judged")
+    key = fresh_name(docs, "row_key")  # of a row's id and text; the same for repeated rows
+    # texts without words are in no component, so their keys are not judged
     keyed = docs.withColumn(key, F.xxhash64(F.col(id_col).cast("long"), F.xxhash64(text_col)))
-    empty = ~F.coalesce(F.col(text_col), F.lit("")).rlike("[^\\x20\\x09-\\x0D]")
-    with_words = keyed.filter(~empty).join(keys, key, "left_semi").dropDuplicates([key])
-    return with_words.unionByName(keyed.filter(empty)).drop(key)
+    some, others = slots.apart(keyed, key, judged.select("k"))
+    left = some.join(judged.select(F.col("k").alias(key), F.col("stays").alias(key + "s")), key, "left")
+    once = left.filter(F.col(key + "s")).dropDuplicates([key]).select(keyed.columns)
+    return others.unionByName(left.filter(F.col(key + "s").isNull()).select(keyed.columns)).unionByName(once).drop(key)

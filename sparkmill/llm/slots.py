@@ -15,6 +15,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sparkmill.llm.store import give_back
+
 BITS, _SLICE = 22, 12
 
 
@@ -41,6 +43,7 @@ def keep(found, key: str, others: bool = False):
     """mapInArrow function: the rows whose long column ``key`` may be a member of the broadcast table
     ``found``, none that is one is lost; or all ``others``."""
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        give_back()
         for batch in batches:
             slot = batch.column(key).to_numpy().view(np.uint64) >> np.uint64(64 - BITS)
             yield batch.filter(pa.array((found.value[slot.astype(np.int64)] > 0) != others))
@@ -51,3 +54,10 @@ def keep(found, key: str, others: bool = False):
 def likely(df: DataFrame, key: str, found: np.ndarray, others: bool = False) -> DataFrame:
     """Rows of ``df`` as ``keep`` gives them."""
     return df.mapInArrow(keep(df.sparkSession.sparkContext.broadcast(found), key, others), df.schema)
+
+
+def apart(df: DataFrame, key: str, keys: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(the rows of ``df`` whose long column ``key`` may be among the one column of ``keys``, all others): no row of
+    the second is among them, so only the first needs an exact join."""
+    found = members(keys)
+    return likely(df, key, found), likely(df, key, found, others=True)

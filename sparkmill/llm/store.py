@@ -27,6 +27,14 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def fresh_name(df: DataFrame, name: str) -> str:
+    """A column name that ``df`` does not have."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken or (name + "s").lower() in taken:
+        name = "_" + name
+    return name
+
+
 BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 

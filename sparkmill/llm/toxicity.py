@@ -35,6 +35,7 @@ from pyspark.sql import functions as F
 
 from sparkmill.llm import words as W
 from sparkmill.llm.sample import held_out, training_texts
+from sparkmill.llm.store import give_back, lean_batches
 
 TOXIC_DOCS, ORDINARY_DOCS = 3000, 6000
 WINDOW, LEVEL, DICTIONARY, TAIL = 24, 7, 4096, 96
@@ -220,9 +221,11 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
 
 def keep_clean(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     """The rows of ``docs``, all columns, whose text is not predicted toxic."""
+    lean_batches(docs.sparkSession)
     sent, at = docs.sparkSession.sparkContext.broadcast(model), docs.columns.index(text_col)
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        give_back()
         distances = sent.value.distances()
         for batch in batches:
             s = sent.value.score(sent.value.features(batch.column(at), distances))

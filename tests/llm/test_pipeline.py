@@ -2,6 +2,7 @@ import random
 
 import __spark_entry__ as entry
 import corpus_pipeline
+from sparkmill.llm import decontam, jaccard
 from sparkmill.llm.store import stored
 from tests.llm.test_classifiers import RUDE, corpus
 
@@ -41,3 +42,46 @@ def test_registration():
     assert {f"op{n}" for n in range(1, 14)} == {x.split("_")[0] for x in names if x.startswith("op")}
     assert "pipeline" in names and len(corpus_pipeline.STAGES) == 5
     assert set(entry.oracle_sql()) <= names
+
+
+CLASH = "doc_id long, text string, row_key string, _row_key long, __row_key string, stays boolean, k int"
+
+
+def clashing(spark, rows):
+    return spark.createDataFrame([(i, t, f"r{n}", n, None, True, 1) for n, (i, t) in enumerate(rows)], CLASH)
+
+
+def test_filters_keep_columns_and_rows(spark):
+    a, b = " ".join(f"a{i}" for i in range(80)), " ".join(f"b{i}" for i in range(80))
+    rows = [(1, a), (2, a + " more"), (3, b), (3, b), (4, None), (4, None), (5, ""), (None, "c d e f g h"), (None, "c d e f g h"), (6, "  "), (7, a), (8, "one two")]
+    got = jaccard.keep_one(clashing(spark, rows), shingle=5, percent=80)
+    assert got.columns == ["doc_id", "text", "row_key", "_row_key", "__row_key", "stays", "k"]
+    got = got.collect()
+    assert sorted((str(r["doc_id"]), r["text"]) for r in got) == sorted((str(i), t) for i, t in [(1, a), (3, b), (4, None), (4, None), (5, ""), (None, "c d e f g h"), (6, "  "), (8, "one two")])
+    assert all(r["row_key"] == f"r{r['_row_key']}" and rows[r["_row_key"]] == (r["doc_id"], r["text"]) for r in got)
+    items = spark.createDataFrame([("x", " ".join(f"a{i}" for i in range(20)))], "item_id string, text string")
+    got = decontam.keep_uncontaminated(clashing(spark, rows), items).collect()
+    assert sorted(r["_row_key"] for r in got) == [n for n, (_, t) in enumerate(rows) if not (t or "").startswith("a0 ")]
+    assert all(r["row_key"] == f"r{r['_row_key']}" for r in got)
+
+
+def test_all_stages_on_awkward_rows(spark, tmp_dir):
+    rows, labels = corpus(3, 200)
+    docs = [(i, t, "en", "s", len(t), "x") for i, t, *_ in rows]
+    docs += [(None, "no id", None, None, None, None), (7000, None, None, None, None, None), (7000, None, None, None, None, None), (7001, "", "en", "s", 0, "x"),
+             (7002, "same row here", "en", "s", 13, "x"), (7002, "same row here", "en", "s", 13, "x"), (7003, "long " * 200_000, "en", "s", 1_000_000, "x")]
+    schema = "doc_id long, text string, lang string, source string, n_chars long, row_key string"
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(tmp_dir + "/labels.parquet")
+    spark.createDataFrame([], "item_id long, text string").write.parquet(tmp_dir + "/benchmark.parquet")
+    for given in (docs, []):
+        frame = spark.createDataFrame(given, schema)
+        for name, stage in corpus_pipeline.STAGES[:-1]:
+            frame = stored(stage(spark, frame, tmp_dir), name)
+            assert frame.columns == [x.split()[0] for x in schema.split(", ")]
+        kept = frame.collect()
+        last = corpus_pipeline.STAGES[-1][1](spark, frame, tmp_dir).collect()
+        assert all(r["round_trip"] for r in last) and {r["doc_id"] for r in last} == {r["doc_id"] for r in kept}
+        if given:
+            assert [sum(r["doc_id"] == i for r in kept) for i in (None, 7000, 7001, 7002, 7003)] == [1, 2, 1, 1, 1]
+        else:
+            assert not kept and not last

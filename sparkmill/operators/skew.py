@@ -17,18 +17,18 @@ from pyspark.sql import functions as F
 DEFAULT_BLOCK_SIZE = 2000
 
 
-def balanced_join(df: DataFrame, per_key: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+def balanced_join(df: DataFrame, per_key: DataFrame, keys: Sequence[str], how: str = "inner", written: bool = False) -> DataFrame:
     """Join rows with a table of one row per key, whatever share of ``df`` one key holds.
 
     The per-key table is usually an aggregate, which leaves it hash-partitioned, and AQE
     only splits a skewed partition when *both* sides of the join come straight from a
     shuffle.  Written to the checkpoint folder it is a plain table again: Spark broadcasts
     it if its size in bytes allows, or shuffles both sides and splits the hot key's rows.
-    No size is tested here."""
+    No size is tested here.  ``written`` says that the table has just been checkpointed."""
     from sparkmill.session import checkpoint_dir
 
     checkpoint_dir(df.sparkSession)
-    return df.join(per_key.checkpoint(eager=True), list(keys), how)
+    return df.join(per_key if written else per_key.checkpoint(eager=True), list(keys), how)
 
 
 def with_bucket_count(df: DataFrame, group_cols: Sequence[str], block_size: int,

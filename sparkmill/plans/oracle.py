@@ -215,8 +215,8 @@ def _texts() -> dict:
         "word_count_lower": _word_count("lower(text)"),
         "word_count_clean": _word_count(_clean_expr("text")),
         "word_count_lower_top10_ties": (
-            f"WITH c AS ({_word_count('lower(text)')}) SELECT word, n FROM c "
-            f"WHERE n >= (SELECT min(n) FROM (SELECT n FROM c ORDER BY n DESC LIMIT {Q.TOP_WORDS_TIES}))"),
+            f"WITH c AS MATERIALIZED ({_word_count('lower(text)')}) "
+            f"SELECT word, n FROM c QUALIFY rank() OVER (ORDER BY n DESC) <= {Q.TOP_WORDS_TIES}"),
         "word_count_clean_top20": (
             f"{_word_count(_clean_expr('text'))} ORDER BY n DESC, word LIMIT {Q.TOP_WORDS}"),
         "clean_documents": _clean_docs,

@@ -317,10 +317,7 @@ def min_support(spark, d) -> int:
 
 
 def _mined(spark, d, level):
-    m = itemsets.mine(text.document_words(_clean(spark, d)), min_support(spark, d))
-    out = getattr(m, level)
-    m.release()
-    return out
+    return getattr(itemsets.mine_texts(_clean(spark, d), min_support(spark, d)), level)
 
 
 def frequent_words(spark, d):

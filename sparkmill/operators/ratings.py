@@ -3,12 +3,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import math
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sparkmill.functions.metrics import squared_error
 from sparkmill.operators.ordering import global_row_number
 from sparkmill.operators.skew import balanced_join
+from sparkmill.session import checkpoint_dir
 
 
 def item_stats(ratings: DataFrame) -> DataFrame:
@@ -72,30 +75,69 @@ def random_split(ratings: DataFrame, weights=(8, 1, 1), seed: int = 0) -> list[D
     return ratings.randomSplit([float(w) for w in weights], seed)
 
 
+#: Bins of one step of the cut-off search; so many rows at most come to the driver.
+CUT_BINS = 1 << 14
+
+
+def _value_at(per: DataFrame, place: int, low: int, high: int) -> tuple[int, int, int]:
+    """(value, rows before it, rows of it) of the ``place``-th row, from rows (_k, _n): the range that
+    holds it is cut into bins, and the bin that holds it into bins again, until it is one value."""
+    before = 0
+    while True:
+        width = -(-(high - low + 1) // CUT_BINS)
+        bins = F.expr(f"(cast(_k as decimal(20,0)) - {low}bd) div {width}bd")
+        rows = per.filter(F.col("_k").between(low, high)).groupBy(bins.alias("bin")).agg(F.sum("_n").alias("n")).collect()
+        for at, n in sorted((r["bin"], r["n"]) for r in rows):
+            if before + n >= place:
+                break
+            before += n
+        low, high = low + at * width, min(high, low + at * width + width - 1)
+        if low == high:
+            return low, before, n
+
+
 def time_split(ratings: DataFrame, n_test: int | None = 100_000, n_valid: int | None = 100_000,
                frac_test: float | None = None, frac_valid: float | None = None,
                newest_first: bool = False) -> DataFrame:
     """Time-ordered split: the first ``n_test`` rows by (ts, user, item) are
     ``test``, the next ``n_valid`` are ``valid``, the rest ``train``.  Sizes may
     be given as fractions of the row count instead.  ``newest_first`` orders
-    by descending time instead (the reference sorts ascending).
-
-    Row numbers come from a distributed range sort (no global window)."""
-    ts = F.col("ts").desc() if newest_first else F.col("ts").asc()
-    numbered = global_row_number(ratings, [ts, F.col("user").asc(), F.col("item").asc()],
-                                 name="_rn", total_name="_total")
-    if frac_test is not None:
-        cut_test = F.floor(F.col("_total") * F.lit(frac_test))
-    else:
-        cut_test = F.lit(n_test)
-    if frac_valid is not None:
-        cut_valid = cut_test + F.floor(F.col("_total") * F.lit(frac_valid))
-    else:
-        cut_valid = cut_test + F.lit(n_valid)
-    split = (F.when(F.col("_rn") <= cut_test, F.lit("test"))
-             .when(F.col("_rn") <= cut_valid, F.lit("valid"))
-             .otherwise(F.lit("train")))
-    return numbered.withColumn("split", split).drop("_rn", "_total")
+    by descending time instead (the reference sorts ascending).  ``ts`` is a whole number; rows
+    without one come first in ascending order and last in descending order.
+
+    Cut-off search: rows are counted per time, and the two times that hold the cut-offs are found by
+    histograms over that table of counts.  All other rows are told by their time alone; only the rows of those two times
+    are numbered, by a range sort that spreads a time with very many rows over tasks by (user, item).
+    ``ratings`` is read three times: write it first if it is costly to form."""
+    checkpoint_dir(ratings.sparkSession)
+    ts = -F.col("ts").cast("long") if newest_first else F.col("ts").cast("long")
+    per = ratings.groupBy(ts.alias("_k")).agg(F.count(F.lit(1)).alias("_n")).checkpoint(eager=True)
+    found = per.agg(F.sum("_n").alias("total"), F.min("_k").alias("low"), F.max("_k").alias("high")).first()
+    total, low, high = found["total"] or 0, found["low"] or 0, found["high"] or 0
+    none = high + 1 if newest_first else low - 1  # stands for no time
+    per, low, high = per.select(F.coalesce("_k", F.lit(none)).alias("_k"), "_n"), min(low, none), max(high, none)
+    c1 = math.floor(total * frac_test) if frac_test is not None else n_test
+    c2 = c1 + (math.floor(total * frac_valid) if frac_valid is not None else n_valid)
+    cuts = [_value_at(per, c, low, high) for c in (c1, c2) if 0 < c < total]
+    keyed = ratings.withColumn("_k", F.coalesce(ts, F.lit(none)))
+
+    def side(place: Column) -> Column:
+        return F.when(place <= c1, F.lit("test")).when(place <= c2, F.lit("valid")).otherwise(F.lit("train"))
+
+    if not cuts:  # no cut-off lies between two rows: each is before the first row or behind the last
+        return keyed.withColumn("split", side(F.lit(max(total, 1)))).drop("_k")
+    # a place that lies on the same side of both cut-offs as every row of that time
+    place = F.lit(total)
+    for value, before, _ in reversed(cuts):
+        place = F.when(F.col("_k") < value, F.lit(before)).otherwise(place)
+    values = sorted({v for v, *_ in cuts})
+    clear = keyed.filter(~F.col("_k").isin(values)).withColumn("split", side(place))
+    numbered = global_row_number(keyed.filter(F.col("_k").isin(values)), ["_k", "user", "item"], name="_rn")
+    shift = F.lit(cuts[0][1])
+    if len(values) > 1:
+        shift = F.when(F.col("_k") == values[1], F.lit(cuts[1][1] - cuts[0][2])).otherwise(shift)
+    on = numbered.withColumn("split", side(F.col("_rn") + shift)).drop("_rn")
+    return clear.unionByName(on).drop("_k")
 
 
 def sort_by_time(ratings: DataFrame, newest_first: bool = False) -> DataFrame:

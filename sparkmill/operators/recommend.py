@@ -51,6 +51,57 @@ def cosine_similarity(ratings: DataFrame, key: str = "item", over: str = "user",
     return dots.select(a, b, "dot", "n_common", cosine(F.col("dot"), F.col("_n1"), F.col("_n2")).alias("sim"))
 
 
+def masked_similarity(ratings: DataFrame, mask: DataFrame, key: str = "item", over: str = "user",
+                      block_size: int = DEFAULT_BLOCK_SIZE, way: str | None = None) -> DataFrame:
+    """(a, b, sim) of the wanted pairs only: those rows of ``mask`` (a, b with a < b; a pair may be
+    there more than once) that at least one ``over`` value co-rates.
+
+    Ratings are divided by their key's norm first, so that a similarity is one sum of products and norms are not
+    carried.  A dot product is summed for no other pair.  The products come from one of two ways:
+
+    * ``groups``: the pairs inside each ``over`` group, cut down by a semi-join with the mask before they are summed;
+    * ``mask``: each pair of the mask meets the ratings of its key with fewer of them, then the other key's: no group is
+      ever paired with itself, so a group of very many ratings costs no more than its wanted pairs.
+
+    Without ``way`` the one that forms fewer rows is taken; both give the same table."""
+    a, b = f"{key}_1", f"{key}_2"
+    checkpoint_dir(ratings.sparkSession)
+    unit = balanced_join(ratings.select(over, key, "rating"), norms(ratings, key), [key])
+    weight = F.when(F.col("norm") == 0, F.lit(0.0)).otherwise(F.col("rating") / F.col("norm"))
+    unit = unit.select(over, key, weight.alias("_w")).checkpoint(eager=True)
+    if way is None:
+        way = _cheaper_way(unit, mask, key, over)
+    if way == "groups":
+        rows = pairs_within_groups(unit, [over], key, carry=["_w"], block_size=block_size, keep_group=False)
+        rows = rows.join(mask.select(a, b), [a, b], "left_semi")
+    else:
+        sizes = unit.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+        wanted = mask.select(a, b).distinct()
+        for c in (a, b):
+            wanted = balanced_join(wanted, sizes.select(F.col(key).alias(c), F.col("_n").alias(f"_n_{c}")), [c])
+        fewer = F.col(f"_n_{a}") <= F.col(f"_n_{b}")
+        wanted = wanted.select(a, b, F.when(fewer, F.col(a)).otherwise(F.col(b)).alias("_p"), F.when(fewer, F.col(b)).otherwise(F.col(a)).alias("_q"))
+        first = salted_join(wanted, unit.withColumnRenamed(key, "_p").withColumnRenamed("_w", "_w_1"), ["_p"], "_q", block_size)
+        rows = balanced_join(first, unit.select(over, F.col(key).alias("_q"), F.col("_w").alias("_w_2")), [over, "_q"], written=True)
+    return rows.groupBy(a, b).agg(F.sum(F.col("_w_1") * F.col("_w_2")).alias("sim"))
+
+
+def rows_formed(unit: DataFrame, mask: DataFrame, key: str, over: str) -> dict[str, int]:
+    """How many rows each way of ``masked_similarity`` forms: pairs of all groups, or ratings of the smaller key of each wanted pair."""
+    a, b, n = f"{key}_1", f"{key}_2", F.col("count")
+    groups = unit.groupBy(over).count().agg(F.sum(n * (n - 1) / 2)).first()[0] or 0
+    sizes = unit.groupBy(key).count().checkpoint(eager=True)
+    wanted = mask.select(a, b).distinct()
+    for c in (a, b):
+        wanted = wanted.join(sizes.select(F.col(key).alias(c), F.col("count").alias(f"_n_{c}")), c)
+    return {"groups": int(groups), "mask": int(wanted.agg(F.sum(F.least(f"_n_{a}", f"_n_{b}"))).first()[0] or 0)}
+
+
+def _cheaper_way(unit: DataFrame, mask: DataFrame, key: str, over: str) -> str:
+    formed = rows_formed(unit, mask, key, over)
+    return "mask" if formed["mask"] < formed["groups"] else "groups"
+
+
 def symmetric(sims: DataFrame, key: str = "item") -> DataFrame:
     """Both orientations of a canonical (a < b) similarity table: (key, other, sim)."""
     a, b = f"{key}_1", f"{key}_2"
@@ -67,31 +118,37 @@ def nearest_neighbors(sims: DataFrame, n: int = 10, key: str = "item", digits: i
 
 
 def _weighted(cand: DataFrame, sims: DataFrame, key: str, group: list[str]) -> DataFrame:
-    """Join candidate (target, other) rows with the canonical similarity table
-    on (least, greatest) and form sum(sim * rating) / sum(sim) per group.
+    """Join candidates, keyed by the pair they need (a < b), with the similarity table
+    and form sum(sim * rating) / sum(sim) per group.
     A pair wanted by very many candidates is split (``balanced_join``)."""
     a, b = f"{key}_1", f"{key}_2"
-    keyed = cand.select(*group, "rating", F.least("target", "other").alias(a),
-                        F.greatest("target", "other").alias(b))
-    scored = balanced_join(keyed, sims.select(a, b, "sim"), [a, b])
+    scored = balanced_join(cand, sims.select(a, b, "sim"), [a, b])
     agg = scored.groupBy(*group).agg(F.sum("sim").alias("_s"),
                                      F.sum(F.col("sim") * F.col("rating")).alias("_sr"))
     return agg.filter(F.col("_s") != 0).withColumn("prediction", F.col("_sr") / F.col("_s"))
 
 
+def _predicted(train: DataFrame, rated: DataFrame, want: DataFrame, sims: DataFrame | None, key: str, over: str,
+               group: list[str], block_size: int) -> DataFrame:
+    """Candidates (target, other) that share an ``over`` value, then the similarities they need and no others."""
+    cand = salted_join(rated, want, [over], "other", block_size).filter("target <> other")
+    cand = cand.select(*group, "rating", F.least("target", "other").alias(f"{key}_1"), F.greatest("target", "other").alias(f"{key}_2"))
+    if sims is None:
+        cand = cand.checkpoint(eager=True)  # the mask and the weighted means read it
+        sims = masked_similarity(train, cand, key, over, block_size)
+    return _weighted(cand, sims, key, group)
+
+
 def item_based_predict(train: DataFrame, pairs: DataFrame, sims: DataFrame | None = None,
                        block_size: int = DEFAULT_BLOCK_SIZE, by: tuple[str, ...] = ()) -> DataFrame:
     """pred(u, i) = sum_j s(i, j) r(u, j) / sum_j s(i, j) over the items j the
     user rated in ``train``; no row when no such j is similar to i (or the
-    similarity sum is 0).  Without ``sims`` only similarities of wanted items are
-    formed.  A user with many ratings or many wanted items has them split into buckets
+    similarity sum is 0).  Without ``sims`` only the similarities that some prediction needs are
+    formed (``masked_similarity``).  A user with many ratings or many wanted items has them split into buckets
     (``salted_join``).  Columns ``by`` of pairs are kept."""
     want = pairs.select("user", F.col("item").alias("target"), *by).distinct()
-    if sims is None:
-        sims = cosine_similarity(train, "item", "user", block_size, pairs.select("item").distinct())
     rated = train.select("user", F.col("item").alias("other"), "rating")
-    cand = salted_join(rated, want, ["user"], "other", block_size)
-    out = _weighted(cand, sims, "item", ["user", "target", *by])
+    out = _predicted(train, rated, want, sims, "item", "user", ["user", "target", *by], block_size)
     return out.select("user", F.col("target").alias("item"), *by, "prediction")
 
 
@@ -99,13 +156,10 @@ def user_based_predict(train: DataFrame, pairs: DataFrame, sims: DataFrame | Non
                        block_size: int = DEFAULT_BLOCK_SIZE, by: tuple[str, ...] = ()) -> DataFrame:
     """pred(u, i) = sum_v s(u, v) r(v, i) / sum_v s(u, v) over the users v who
     rated i in ``train`` (an item with many raters or many wanted users is split into
-    buckets).  Without ``sims`` only similarities of wanted users are formed."""
+    buckets).  Without ``sims`` only the similarities that some prediction needs are formed."""
     want = pairs.select(F.col("user").alias("target"), "item", *by).distinct()
-    if sims is None:
-        sims = cosine_similarity(train, "user", "item", block_size, pairs.select("user").distinct())
     rated = train.select(F.col("user").alias("other"), "item", "rating")
-    cand = salted_join(rated, want, ["item"], "other", block_size)
-    out = _weighted(cand, sims, "user", ["target", "item", *by])
+    out = _predicted(train, rated, want, sims, "user", "item", ["target", "item", *by], block_size)
     return out.select(F.col("target").alias("user"), "item", *by, "prediction")
 
 

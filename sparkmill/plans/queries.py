@@ -153,7 +153,7 @@ def random_split_counts(spark, d):
 
 
 def _time_split(spark, d):
-    return rt.time_split(_ratings(spark, d), frac_test=SPLIT_TEST, frac_valid=SPLIT_VALID)
+    return rt.time_split(_ratings_once(spark, d), frac_test=SPLIT_TEST, frac_valid=SPLIT_VALID)
 
 
 def time_split(spark, d):
@@ -165,7 +165,7 @@ def time_split_counts(spark, d):
 
 
 def _splits(spark, d):
-    s = _time_split(spark, d)
+    s = _time_split(spark, d).checkpoint(eager=True)  # read by every branch
     return (s.filter("split = 'train'").drop("split"), s.filter("split = 'valid'").drop("split"),
             s.filter("split = 'test'").drop("split"))
 

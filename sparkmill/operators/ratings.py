@@ -79,15 +79,18 @@ def random_split(ratings: DataFrame, weights=(8, 1, 1), seed: int = 0) -> list[D
 CUT_BINS = 1 << 14
 
 
-def _value_at(per: DataFrame, place: int, low: int, high: int) -> tuple[int, int, int]:
+def _value_at(per: DataFrame, place: int, low: int, high: int, met: dict) -> tuple[int, int, int]:
     """(value, rows before it, rows of it) of the ``place``-th row, from rows (_k, _n): the range that
-    holds it is cut into bins, and the bin that holds it into bins again, until it is one value."""
+    holds it is cut into bins, and the bin that holds it into bins again, until it is one value.  ``met`` keeps
+    the counts of ranges asked for before."""
     before = 0
     while True:
         width = -(-(high - low + 1) // CUT_BINS)
         bins = F.expr(f"(cast(_k as decimal(20,0)) - {low}bd) div {width}bd")
-        rows = per.filter(F.col("_k").between(low, high)).groupBy(bins.alias("bin")).agg(F.sum("_n").alias("n")).collect()
-        for at, n in sorted((r["bin"], r["n"]) for r in rows):
+        if (low, high) not in met:
+            rows = per.filter(F.col("_k").between(low, high)).groupBy(bins.alias("bin")).agg(F.sum("_n").alias("n")).collect()
+            met[low, high] = sorted((r["bin"], r["n"]) for r in rows)
+        for at, n in met[low, high]:
             if before + n >= place:
                 break
             before += n
@@ -118,7 +121,8 @@ def time_split(ratings: DataFrame, n_test: int | None = 100_000, n_valid: int |
     per, low, high = per.select(F.coalesce("_k", F.lit(none)).alias("_k"), "_n"), min(low, none), max(high, none)
     c1 = math.floor(total * frac_test) if frac_test is not None else n_test
     c2 = c1 + (math.floor(total * frac_valid) if frac_valid is not None else n_valid)
-    cuts = [_value_at(per, c, low, high) for c in (c1, c2) if 0 < c < total]
+    met: dict = {}
+    cuts = [_value_at(per, c, low, high, met) for c in (c1, c2) if 0 < c < total]
     keyed = ratings.withColumn("_k", F.coalesce(ts, F.lit(none)))
 
     def side(place: Column) -> Column:

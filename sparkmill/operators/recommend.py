@@ -87,14 +87,12 @@ def masked_similarity(ratings: DataFrame, mask: DataFrame, key: str = "item", ov
 
 
 def rows_formed(unit: DataFrame, mask: DataFrame, key: str, over: str) -> dict[str, int]:
-    """How many rows each way of ``masked_similarity`` forms: pairs of all groups, or ratings of the smaller key of each wanted pair."""
-    a, b, n = f"{key}_1", f"{key}_2", F.col("count")
-    groups = unit.groupBy(over).count().agg(F.sum(n * (n - 1) / 2)).first()[0] or 0
-    sizes = unit.groupBy(key).count().checkpoint(eager=True)
-    wanted = mask.select(a, b).distinct()
-    for c in (a, b):
-        wanted = wanted.join(sizes.select(F.col(key).alias(c), F.col("count").alias(f"_n_{c}")), c)
-    return {"groups": int(groups), "mask": int(wanted.agg(F.sum(F.least(f"_n_{a}", f"_n_{b}"))).first()[0] or 0)}
+    """About how many rows each way of ``masked_similarity`` forms: the pairs of all groups, or for each row of the mask the
+    mean number of ratings of a key."""
+    n = F.col("count")
+    groups = unit.groupBy(over).count().agg(F.sum(n * (n - 1) / 2), F.sum(n)).first()
+    keys = unit.agg(F.approx_count_distinct(key)).first()[0]
+    return {"groups": int(groups[0] or 0), "mask": int(mask.count() * (groups[1] or 0) / max(1, keys))}
 
 
 def _cheaper_way(unit: DataFrame, mask: DataFrame, key: str, over: str) -> str:

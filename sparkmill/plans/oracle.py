@@ -254,6 +254,26 @@ def _texts() -> dict:
                        "FROM ratings GROUP BY 1"),
         "item_means": (f"WITH {RATINGS} SELECT item, round(avg(rating), 6) AS item_mean, count(*) AS n_ratings "
                        "FROM ratings GROUP BY 1"),
+        "ratings_dat_files": f"WITH {RATINGS} SELECT * FROM ratings",
+        "ratings_csv_files": f"WITH {RATINGS} SELECT * FROM ratings",
+        "rated_movie_files": (
+            f"WITH {RATINGS}, s AS (SELECT item, count(*) AS n_ratings, avg(rating) AS avg_rating FROM ratings GROUP BY item) "
+            "SELECT s.item, p.p_name AS title, p.p_type AS genres, s.n_ratings, round(s.avg_rating, 6) AS avg_rating FROM s JOIN part p ON p.p_partkey = s.item"),
+        "split_files": f"WITH {SPLIT} SELECT \"user\", item, rating, ts, split FROM split",
+        "clean_document_lines": lambda: f"SELECT text FROM ({_clean_docs()})",
+        "whole_file_word_counts": lambda: f"SELECT word, count(*) AS n FROM (SELECT unnest({_tokens('text')}) AS word FROM ({_clean_docs()})) GROUP BY word",
+        "stop_word_file_counts": (
+            f"WITH c AS MATERIALIZED ({_word_count(_clean_expr('text'))}), stop AS (SELECT word FROM c QUALIFY rank() OVER (ORDER BY n DESC) <= {Q.TOP_WORDS}), "
+            f"t AS (SELECT unnest(regexp_split_to_array(lower({_clean_expr('text')}), '\\W+')) AS word FROM documents) "
+            "SELECT word, count(*) AS n FROM t WHERE word <> '' AND word NOT IN (SELECT word FROM stop) GROUP BY word"),
+        "access_log_files": _with_log("SELECT * FROM recs"),
+        "edge_list_files": f"WITH {EDGES} SELECT src, dst FROM edges",
+        "log_stats_observed": _with_log(
+            "SELECT count(*) AS n_read, count(*) FILTER (WHERE is_valid) AS n_parsed, count(*) FILTER (WHERE NOT is_valid) AS n_failed FROM recs"),
+        "log_sketched_hosts": _with_log(
+            ", v AS (SELECT host, CAST(day(date_time) AS INTEGER) AS day FROM recs WHERE is_valid) "
+            "SELECT CAST(day AS VARCHAR) AS days, count(DISTINCT host) AS n_hosts, true AS within FROM v GROUP BY day "
+            "UNION ALL SELECT 'all', count(DISTINCT host), true FROM v UNION ALL SELECT '8-14', count(DISTINCT host), true FROM v WHERE day BETWEEN 8 AND 14"),
         "random_split": f"WITH {RATINGS} SELECT \"user\", item, {HASH_SPLIT} AS split FROM ratings",
         "random_split_counts": (f"WITH {RATINGS} SELECT {HASH_SPLIT} AS split, count(*) AS n FROM ratings "
                                 "GROUP BY 1"),

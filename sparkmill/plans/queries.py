@@ -7,13 +7,14 @@ different order still agree.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sparkmill.operators import graph, itemsets, ratings as rt, recommend as rc, text, weblog
-from sparkmill.sources import tables
+from sparkmill.sources import files, sinks, tables
 from sparkmill.sources.files import parse_log_lines
 from sparkmill.session import checkpoint_dir
 from sparkmill.sources.stopwords import spark_stop_words
@@ -350,6 +351,100 @@ def frequent_sets_fpgrowth(spark, d):
     return sets.select(F.array_join("items", " ").alias("items"), F.size("items").alias("n_words"), "support")
 
 
+# ---------------------------------------------------------------- files
+# Each writes rows derived from the tables to the shared folder with a sink and reads them with a source.
+
+def _folder(spark, name):
+    return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def ratings_dat_files(spark, d):
+    path = _folder(spark, "ratings-dat")
+    sinks.write_ratings_dat(_ratings(spark, d), path)
+    return files.read_ratings_dat(spark, path)
+
+
+def ratings_csv_files(spark, d):
+    path = _folder(spark, "ratings-csv")
+    sinks.write_ratings_csv(_ratings(spark, d), path)
+    return files.read_ratings_csv(spark, path)
+
+
+def rated_movie_files(spark, d):
+    """Ratings and movies, both from '::' files, as mean rating per title."""
+    path, movies = _folder(spark, "ratings-dat"), _folder(spark, "movies-dat")
+    sinks.write_ratings_dat(_ratings(spark, d), path)
+    part = tables.table(spark, d, "part")
+    sinks.write_movies_dat(part.select(F.col("p_partkey").alias("item"), F.col("p_name").alias("title"), F.col("p_type").alias("genres")), movies)
+    s = rt.item_stats_with_titles(files.read_ratings_dat(spark, path), files.read_movies_dat(spark, movies))
+    return s.select("item", "title", "genres", "n_ratings", r6("avg_rating").alias("avg_rating"))
+
+
+def split_files(spark, d):
+    path = _folder(spark, "splits")
+    sinks.write_splits(_time_split(spark, d), path)
+    return spark.read.parquet(path).select("user", "item", "rating", "ts", "split")
+
+
+def clean_document_lines(spark, d):
+    """Cleaned documents written as lines of text and read line by line."""
+    path = _folder(spark, "clean-text")
+    sinks.write_clean_documents(_clean(spark, d), path, "text")
+    return files.read_lines(spark, path).withColumnRenamed("value", "text")
+
+
+def whole_file_word_counts(spark, d):
+    """Words of cleaned documents, counted over whole files."""
+    path = _folder(spark, "clean-text")
+    sinks.write_clean_documents(_clean(spark, d), path, "text")
+    return text.word_count(files.read_documents(spark, path), "text", "raw")
+
+
+def stop_word_file_counts(spark, d):
+    """Word counts of documents cleaned with a stop-word file; the list is the most frequent words, ties included."""
+    path = _folder(spark, "stop-words")
+    often = text.top_words_with_ties(text.word_count(_docs(spark, d), "text", "clean"), TOP_WORDS)
+    often.select("word").write.text(path)
+    clean = text.clean_documents_by_join(_docs(spark, d), files.stop_words(spark, path))
+    return text.word_count(clean, "text", "raw")
+
+
+def access_log_files(spark, d):
+    path = _folder(spark, "access-log")
+    tables.log_lines(spark, d).select("raw").write.text(path)
+    return files.read_access_log(spark, path)
+
+
+def edge_list_files(spark, d):
+    path = _folder(spark, "edges")
+    tables.graph_edge_lines(spark, d).write.text(path)
+    return files.read_edge_list(spark, path)
+
+
+def log_stats_observed(spark, d):
+    """Lines read, parsed and failed, observed while the records are written."""
+    seen = weblog.write_observed(log_records(spark, d), _folder(spark, "log-records"))
+    return spark.createDataFrame([(seen["n_read"], seen["n_parsed"], seen["n_failed"])], "n_read long, n_parsed long, n_failed long")
+
+
+def log_sketched_hosts(spark, d):
+    """Distinct hosts per day, of days 8 to 14 and of all days, from one table of sketches, next to the exact count:
+    whether each estimate is within the stated error."""
+    checkpoint_dir(spark)
+    records = log_records(spark, d).select("is_valid", "host", "date_time").checkpoint(eager=True)  # parsed once for both sides
+    sketches = weblog.host_sketches(records).checkpoint(eager=True)
+    valid = records.filter("is_valid").select("host", F.dayofmonth("date_time").alias("day"))
+    hosts = F.countDistinct("host").alias("n_hosts")
+    exact = valid.groupBy(F.col("day").cast("string").alias("days")).agg(hosts)
+    exact = exact.unionByName(valid.agg(hosts).withColumn("days", F.lit("all")))
+    exact = exact.unionByName(valid.filter("day between 8 and 14").agg(hosts).withColumn("days", F.lit("8-14")))
+    guess = weblog.sketched_daily_hosts(sketches).select(F.col("day").cast("string").alias("days"), "estimate")
+    guess = guess.unionByName(weblog.sketched_hosts(sketches).withColumn("days", F.lit("all")))
+    guess = guess.unionByName(weblog.sketched_hosts(sketches, 8, 14).withColumn("days", F.lit("8-14")))
+    near = F.abs(F.col("estimate") - F.col("n_hosts")) <= weblog.SKETCH_ERROR * F.col("n_hosts")
+    return exact.join(guess, "days").select("days", "n_hosts", near.alias("within"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     name: fn for name, fn in [
         ("word_count_raw", word_count_raw),
@@ -406,5 +501,16 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         ("frequent_quads", frequent_quads),
         ("frequent_quads_top10", frequent_quads_top10),
         ("frequent_sets_fpgrowth", frequent_sets_fpgrowth),
+        ("ratings_dat_files", ratings_dat_files),
+        ("ratings_csv_files", ratings_csv_files),
+        ("rated_movie_files", rated_movie_files),
+        ("split_files", split_files),
+        ("clean_document_lines", clean_document_lines),
+        ("whole_file_word_counts", whole_file_word_counts),
+        ("stop_word_file_counts", stop_word_file_counts),
+        ("access_log_files", access_log_files),
+        ("edge_list_files", edge_list_files),
+        ("log_stats_observed", log_stats_observed),
+        ("log_sketched_hosts", log_sketched_hosts),
     ]
 }

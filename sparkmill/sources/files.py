@@ -48,9 +48,21 @@ def read_movies_dat(spark: SparkSession, path: str, mode: str = "FAILFAST") -> D
     return _read_double_colon(spark, path, MOVIE_SCHEMA, mode)
 
 
-def read_ratings_csv(spark: SparkSession, path: str, mode: str = "FAILFAST") -> DataFrame:
-    """``userId,movieId,rating,timestamp`` with a header line."""
-    return (spark.read.schema(RATING_SCHEMA).option("header", True).option("mode", mode).csv(path))
+#: First line of rating files of S5.
+CSV_HEADER = "userId,movieId,rating,timestamp"
+
+
+def read_ratings_csv(spark: SparkSession, path: str, mode: str = "FAILFAST", header: str = CSV_HEADER) -> DataFrame:
+    """``userId,movieId,rating,timestamp`` lines.  Every line equal to ``header`` is dropped wherever it stands, so
+    files may have it once, each, repeatedly (joined files) or not at all.  Other lines must parse; with another ``mode`` than
+    FAILFAST, fields that do not are null."""
+    names = [f.name for f in RATING_SCHEMA.fields]
+    lines = spark.read.schema(", ".join(f"{n} string" for n in names)).option("mode", mode).csv(path)
+    is_header = F.lit(True)
+    for n, h in zip(names, header.split(","), strict=True):
+        is_header = is_header & F.col(n).eqNullSafe(F.lit(h))
+    typed = [F.col(f.name).cast(f.dataType) if mode == "FAILFAST" else F.col(f.name).try_cast(f.dataType) for f in RATING_SCHEMA.fields]
+    return lines.filter(~is_header).select(*[c.alias(n) for c, n in zip(typed, names, strict=True)])
 
 
 def read_access_log(spark: SparkSession, path: str, lenient: bool = False, compat: bool = True) -> DataFrame:

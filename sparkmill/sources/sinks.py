@@ -25,3 +25,17 @@ def write_ratings_dat(ratings: DataFrame, path: str, mode: str = "overwrite") ->
     line = F.concat_ws("::", F.col("user").cast("string"), F.col("item").cast("string"),
                        F.col("rating").cast("string"), F.col("ts").cast("string"))
     ratings.select(line.alias("value")).write.mode(mode).text(path)
+
+
+def write_ratings_csv(ratings: DataFrame, path: str, mode: str = "overwrite") -> None:
+    """Comma-separated rating lines with the header of S5 in each file."""
+    from sparkmill.sources.files import CSV_HEADER
+
+    ratings.select("user", "item", "rating", "ts").toDF(*CSV_HEADER.split(",")).write.mode(mode).option("header", True).csv(path)
+
+
+def write_movies_dat(movies: DataFrame, path: str, mode: str = "overwrite") -> None:
+    """``item::title::genres`` text lines."""
+    from pyspark.sql import functions as F
+
+    movies.select(F.concat_ws("::", F.col("item").cast("string"), "title", "genres").alias("value")).write.mode(mode).text(path)

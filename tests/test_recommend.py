@@ -127,3 +127,32 @@ def test_method_comparison_shape(spark, train, test):
     assert keys == {(m, s) for m in ("als", "baseline", "item_cf", "user_cf") for s in ("valid", "test")}
     base = {r.split: r for r in out if r.method == "baseline"}
     assert close(base["test"].rmse, 0.367701076) and base["test"].n == 4
+
+
+def test_als_factors_solve_their_normal_equations(spark):
+    """After a fit each user's factors minimise that user's regularised squared error given the item factors:
+    (Q'Q + reg n I) p = Q'r, which any engine can recompute from the factors alone."""
+    import random
+
+    import numpy as np
+
+    rng = random.Random(3)
+    rows = [(u, i, float(rng.randrange(1, 6))) for u in range(40) for i in rng.sample(range(25), 9)]
+    train = spark.createDataFrame(rows, "user long, item long, rating double")
+    reg = 0.1
+    model = rc.als_fit(train, rank=4, max_iter=6, reg=reg)
+    p, q = ({r["id"]: np.array(r["features"], dtype=float) for r in f.collect()} for f in (model.userFactors, model.itemFactors))
+    assert set(p) == set(range(40)) and all(len(v) == 4 for v in [*p.values(), *q.values()])
+    for u, own in p.items():
+        rated = [(i, r) for v, i, r in rows if v == u]
+        m = np.array([q[i] for i, _ in rated])
+        left = (m.T @ m + reg * len(rated) * np.eye(4)) @ own
+        right = m.T @ np.array([r for _, r in rated])
+        assert np.abs(left - right).max() <= 1e-3 * max(1.0, np.abs(right).max())
+    got = {(r.user, r.item): r.prediction for r in rc.als_predict(model, train).collect()}
+    assert all(abs(got[u, i] - p[u] @ q[i]) < 1e-4 for u, i, _ in rows) and len(got) == len(rows)
+    table, best = rc.als_rank_search(train, train, (2, 4), max_iter=4)
+    errors = {r["rank"]: r["valid_rmse"] for r in table.collect()}
+    mean = np.mean([r for *_, r in rows])
+    flat = float(np.sqrt(np.mean([(r - mean) ** 2 for *_, r in rows])))
+    assert all(0 < e < flat for e in errors.values()) and errors[best] == min(errors.values())

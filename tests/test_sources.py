@@ -1,5 +1,6 @@
 import os
 
+import pytest
 
 from sparkmill.operators import ratings as rt
 from sparkmill.sources import files, sinks
@@ -60,3 +61,24 @@ def test_sinks_round_trip(spark, tmp_dir):
     clean_out = os.path.join(tmp_dir, "clean")
     sinks.write_clean_documents(spark.createDataFrame([(1, "a b")], "doc_id long, text string"), clean_out, "text")
     assert [r.value for r in spark.read.text(clean_out).collect()] == ["a b"]
+
+
+def test_every_header_line_is_dropped(spark, tmp_dir):
+    import os
+
+    from sparkmill.sources import files
+
+    head = files.CSV_HEADER
+    os.makedirs(tmp_dir + "/csv")
+    for name, lines in (("a.csv", [head, "1,2,3.5,10", head, "1,3,4.0,11"]), ("b.csv", ["2,2,1.0,12"]), ("c.csv", [head])):
+        with open(f"{tmp_dir}/csv/{name}", "w") as f:
+            f.write("\n".join(lines) + "\n")
+    got = files.read_ratings_csv(spark, tmp_dir + "/csv")
+    assert got.schema == files.RATING_SCHEMA
+    assert sorted(tuple(r) for r in got.collect()) == [(1, 2, 3.5, 10), (1, 3, 4.0, 11), (2, 2, 1.0, 12)]
+    with open(tmp_dir + "/csv/d.csv", "w") as f:
+        f.write("x,2,1.0,12\n")
+    with pytest.raises(Exception):
+        files.read_ratings_csv(spark, tmp_dir + "/csv").collect()
+    lenient = files.read_ratings_csv(spark, tmp_dir + "/csv/d.csv", mode="PERMISSIVE").collect()
+    assert [tuple(r) for r in lenient] == [(None, 2, 1.0, 12)]

@@ -76,3 +76,32 @@ def test_line_terminators_inside_a_line(spark):
     df = spark.createDataFrame([(x,) for x in lines], "raw string")
     rows = parse_log_lines(df, "raw").collect()
     assert all(r.is_valid for r in rows) and {r.endpoint[2] for r in rows} == {"\r", "\u0085", "\u2028", "\u2029", "x"}
+
+
+def test_sketches_merge_without_a_second_read(spark):
+    from sparkmill.operators import weblog
+
+    rows = [(True, f"h{(i * 7919) % 3000}", f"2024-03-{1 + i % 28:02} 10:00:00") for i in range(30_000)] + [(False, None, None)] * 5
+    records = spark.createDataFrame(rows, "is_valid boolean, host string, t string").selectExpr("is_valid", "host", "cast(t as timestamp) as date_time")
+    sketches = weblog.host_sketches(records).checkpoint()
+    exact = {}
+    for ok, host, t in rows:
+        if ok:
+            exact.setdefault(int(t[8:10]), set()).add(host)
+    daily = {r["day"]: r["estimate"] for r in weblog.sketched_daily_hosts(sketches).collect()}
+    assert daily.keys() == exact.keys()
+    assert all(abs(daily[d] - len(exact[d])) <= weblog.SKETCH_ERROR * len(exact[d]) for d in exact)
+    for first, last in ((None, None), (3, 9), (28, 28)):
+        want = len(set().union(*(h for d, h in exact.items() if first is None or first <= d <= last)))
+        assert abs(weblog.sketched_hosts(sketches, first, last).first()[0] - want) <= weblog.SKETCH_ERROR * want
+    assert {r["day"].isoformat() for r in weblog.host_sketches(records, by_date=True).collect()} == {f"2024-03-{d:02}" for d in exact}
+    assert weblog.sketched_hosts(sketches.limit(0)).first()[0] in (0, None)
+
+
+def test_counts_observed_by_the_writing_job(spark, tmp_dir):
+    from sparkmill.operators import weblog
+
+    records = spark.range(1000).selectExpr("id % 7 <> 0 as is_valid", "id")
+    assert weblog.write_observed(records, tmp_dir + "/out") == {"n_read": 1000, "n_parsed": 857, "n_failed": 143}
+    assert spark.read.parquet(tmp_dir + "/out").count() == 1000
+    assert weblog.write_observed(records.limit(0), tmp_dir + "/none") == {"n_read": 0, "n_parsed": 0, "n_failed": 0}

@@ -2,7 +2,9 @@ import hashlib
 import math
 import random
 import re
+import time
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from sparkmill.llm import secrets
@@ -110,3 +112,46 @@ def test_allowed_words_read_alike_in_java_and_python(spark):
     rows = spark.createDataFrame([(t,) for t in texts], "t string").select("t", F.col("t").rlike(java).alias("ok")).collect()
     expected = [re.fullmatch("|".join(f"(?:{a})" for a in secrets.ALLOWED), t) is not None for t in texts]
     assert [r["ok"] for r in rows] == expected and 0 < sum(expected) < len(texts)
+
+
+def timed(spark, text):
+    begin = time.time()
+    row = secrets.redact(docs(spark, [(1, text)])).select("text").collect()[0][0]
+    got = secrets.report(docs(spark, [(1, text)])).collect()[0]
+    return time.time() - begin, row, got
+
+
+def test_megabyte_of_matches(spark):
+    text = "token=abcdef12 " * 70_000
+    seconds, clean, got = timed(spark, text)
+    assert got["n_assign"] == 70_000 and got["spans"].split(",")[-1] == f"assign:{15 * 69_999}:{15 * 70_000 - 1}"
+    assert clean == "[secret] " * 70_000 and seconds < 60
+
+
+def test_megabyte_run_that_is_not_allowed(spark):
+    rng = random.Random(7)
+    text = "é " + "".join(rng.choice(secrets.CLASSES[1].alphabet) for _ in range(1_000_000)) + " end"
+    seconds, clean, got = timed(spark, text)
+    c, codes = secrets.CLASSES[1], np.array([secrets.CLASSES[1].alphabet.index(x) for x in text[2:-4]])
+    totals, terms = np.zeros(len(codes) - c.window + 1, dtype=np.int64), np.array(c.terms)
+    for code in range(len(c.alphabet)):
+        seen = np.concatenate([[0], np.cumsum(codes == code)])
+        totals += terms[seen[c.window:] - seen[:-c.window]]
+    hits = np.flatnonzero(totals <= c.most)
+    cuts = np.flatnonzero(np.diff(hits) > c.window)
+    runs = zip(hits[np.concatenate([[0], cuts + 1])], hits[np.concatenate([cuts, [len(hits) - 1]])] + c.window)
+    assert not re.search("[0-9a-fA-F]{20}", text)  # the other class has no candidate
+    assert got["spans"] == listed(base(text) + [(int(a) + 2, 4, int(b) + 2, c.kind) for a, b in runs]) and clean.endswith(" end") and "[secret]" in clean
+    assert seconds < 60
+
+
+def test_spans_across_stretches(spark):
+    """Windows that meet, part and end around the borders of the stretches."""
+    rng = random.Random(9)
+    flat = "a" * 19 + "1"
+    texts = []
+    for pad in range(1000, 1050, 3):
+        texts.append(flat + "ab" * (pad // 2) + "".join(rng.choice("0123456789abcdefXYZ+") for _ in range(rng.randrange(20, 80))) + "a1" * 700)
+    texts += ["".join(rng.choice("abcdef0123456789") for _ in range(n)) for n in (1023, 1024, 1025, 1043, 1044, 2048, 2049)]
+    got = dict(secrets.report(docs(spark, list(enumerate(texts)))).select("doc_id", "spans").collect())
+    assert got == {i: listed(base(t) + entropy(t)) for i, t in enumerate(texts)}

@@ -3,9 +3,11 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 
-from pyspark import StorageLevel
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -51,6 +53,38 @@ def cosine_similarity(ratings: DataFrame, key: str = "item", over: str = "user",
     return dots.select(a, b, "dot", "n_common", cosine(F.col("dot"), F.col("_n1"), F.col("_n2")).alias("sim"))
 
 
+def sampled_similarity(ratings: DataFrame, threshold: float, key: str = "item", over: str = "user", seed: int = 7,
+                       oversampling: float = 10.0, block_size: int = DEFAULT_BLOCK_SIZE) -> DataFrame:
+    """(a, b, sim) of pairs whose estimated cosine similarity is at least ``threshold`` (above 0), a < b: the approximate
+    option beside ``cosine_similarity``.
+
+    A rating is kept with the chance min(1, limit / norm of its key) and divided by that chance, with limit =
+    largest rating * sqrt(oversampling * ln(number of keys) / threshold): keys of small norm are kept whole, and a key of very many
+    ratings sends only about limit / norm of them into the pairs.  An estimate is unbiased; the chance depends on the norm
+    alone, so the error at or above the threshold does not grow with the data.  Whether a rating is kept is decided
+    by a hash of (seed, over, key): the same rows in any partitioning."""
+    if not threshold > 0:
+        raise ValueError("the threshold must be above 0")
+    a, b = f"{key}_1", f"{key}_2"
+    unit = _sampled_ratings(ratings, threshold, key, over, seed, oversampling)
+    pairs = pairs_within_groups(unit, [over], key, carry=["_w"], block_size=block_size, keep_group=False)
+    sums = pairs.groupBy(a, b).agg(F.sum(F.col("_w_1") * F.col("_w_2")).alias("sim"))
+    return sums.filter(F.col("sim") >= threshold)
+
+
+def _sampled_ratings(ratings: DataFrame, threshold: float, key: str, over: str, seed: int, oversampling: float) -> DataFrame:
+    """(over, key, _w): the kept ratings, divided by their key's norm and by the chance of being kept."""
+    checkpoint_dir(ratings.sparkSession)
+    per_key = ratings.groupBy(key).agg(F.sqrt(F.sum(F.col("rating") * F.col("rating"))).alias("norm"),
+                                       F.max(F.abs("rating")).alias("_most")).checkpoint(eager=True)
+    n, most = per_key.agg(F.count(F.lit(1)), F.max("_most")).first()
+    limit = float(most or 0) * math.sqrt(oversampling * math.log(max(2, n)) / threshold)
+    chance = F.least(F.lit(1.0), limit / F.col("norm"))
+    draw = F.shiftrightunsigned(F.xxhash64(F.lit(seed), over, key), 11) / float(1 << 53)
+    rated = balanced_join(ratings.select(over, key, "rating"), per_key.filter("norm > 0").drop("_most"), [key], written=True)
+    return rated.filter(draw < chance).select(over, key, (F.col("rating") / F.col("norm") / chance).alias("_w"))
+
+
 def masked_similarity(ratings: DataFrame, mask: DataFrame, key: str = "item", over: str = "user",
                       block_size: int = DEFAULT_BLOCK_SIZE, way: str | None = None) -> DataFrame:
     """(a, b, sim) of the wanted pairs only: those rows of ``mask`` (a, b with a < b; a pair may be
@@ -196,30 +230,35 @@ def als_predict(model, pairs: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
 
 
 def als_rank_search(train: DataFrame, valid: DataFrame, ranks: Sequence[int] = (4, 8, 12),
-                    max_iter: int = 5, reg: float = 0.1, seed: int = 5) -> tuple[DataFrame, int]:
+                    max_iter: int = 5, reg: float = 0.1, seed: int = 5, at_once: int = 3) -> tuple[DataFrame, int]:
     """Fit one model per rank; train and validation RMSE per rank (scored in
     one pass over both splits); returns (table, best_rank) with the lowest
-    validation RMSE.  The training split is cached across the fits."""
-    table, best, _ = _rank_search(train, valid, ranks, max_iter, reg, seed)
+    validation RMSE.  Both splits are written once to the checkpoint folder; up to ``at_once`` ranks
+    are fitted as concurrent jobs over them, so that one fit's short stages fill the cores another leaves idle."""
+    table, best, _ = _rank_search(train, valid, ranks, max_iter, reg, seed, at_once)
     return table, best
 
 
-def _rank_search(train: DataFrame, valid: DataFrame, ranks: Sequence[int], max_iter: int = 5, reg: float = 0.1, seed: int = 5):
+def _rank_search(train: DataFrame, valid: DataFrame, ranks: Sequence[int], max_iter: int = 5, reg: float = 0.1, seed: int = 5,
+                 at_once: int = 3):
     """(table, best rank, the model fitted with it)."""
     spark = train.sparkSession
-    train = train.select("user", "item", "rating").persist(StorageLevel.MEMORY_AND_DISK)
-    both = (train.withColumn("split", F.lit("train"))
-            .unionByName(valid.select("user", "item", "rating").withColumn("split", F.lit("valid"))))
-    rows, models = [], {}
-    try:
-        for r in ranks:
-            model = models[int(r)] = als_fit(train, r, max_iter, reg, seed)
-            scored = model.transform(both.select(_int_id("user"), _int_id("item"), "rating", "split"))
-            res = {x["split"]: x["rmse"] for x in scored.groupBy("split").agg(
-                F.sqrt(F.avg(F.pow(F.col("prediction") - F.col("rating"), 2))).alias("rmse")).collect()}
-            rows.append((int(r), res.get("train"), res.get("valid")))
-    finally:
-        train.unpersist()
+    checkpoint_dir(spark)
+    both = (train.select("user", "item", "rating", F.lit("train").alias("split"))
+            .unionByName(valid.select("user", "item", "rating", F.lit("valid").alias("split")))).checkpoint(eager=True)
+    train = both.filter("split = 'train'").drop("split")
+    models = {}
+
+    def fitted(r: int) -> tuple:
+        spark.sparkContext.setLocalProperty("spark.scheduler.pool", f"als-rank-{r}")  # this thread's jobs only
+        model = models[r] = als_fit(train, r, max_iter, reg, seed)
+        scored = model.transform(both.select(_int_id("user"), _int_id("item"), "rating", "split"))
+        res = {x["split"]: x["rmse"] for x in scored.groupBy("split").agg(
+            F.sqrt(F.avg(F.pow(F.col("prediction") - F.col("rating"), 2))).alias("rmse")).collect()}
+        return r, res.get("train"), res.get("valid")
+
+    with ThreadPoolExecutor(max(1, at_once)) as pool:
+        rows = [f.result() for f in [pool.submit(inheritable_thread_target(spark)(fitted), int(r)) for r in ranks]]
     valid_rows = [x for x in rows if x[2] is not None]
     best = min(valid_rows, key=lambda x: x[2])[0] if valid_rows else int(ranks[0])
     table = spark.createDataFrame([(r, t, v, r == best) for r, t, v in rows],

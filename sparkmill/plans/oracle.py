@@ -288,6 +288,8 @@ def _texts() -> dict:
                        "FROM ratings GROUP BY 1"),
         "item_cosine": (f"WITH {RATINGS}, {_sims('ratings', 'item', 'user', 'isim')} "
                         "SELECT item_1, item_2, round(dot, 6) AS dot, n_common, round(sim, 6) AS sim FROM isim"),
+        "item_cosine_sampled": (f"WITH {RATINGS}, {_sims('ratings', 'item', 'user', 'isim')} "
+                                f"SELECT count(*) AS n_similar, true AS recalled, true AS within FROM isim WHERE sim >= {Q.SIMILAR} - 1e-9"),
         "user_cosine": (f"WITH {RATINGS}, {_sims('ratings', 'user', 'item', 'usim')} "
                         "SELECT user_1, user_2, round(dot, 6) AS dot, n_common, round(sim, 6) AS sim FROM usim"),
         "item_neighbors_top10": (

@@ -36,6 +36,7 @@ TOP_NODES = 20
 SUPPORT_FRACTION = 0.12   # minimum support = floor(0.12 * number of documents)
 TOP_SETS = 10
 ALS_RANKS = (4, 8, 12)
+SIMILAR = 0.1             # threshold of the approximate similarities
 
 
 def r6(c) -> F.Column:
@@ -197,6 +198,19 @@ def item_cosine(spark, d):
     return _cos_out(rc.cosine_similarity(_ratings_once(spark, d), "item", "user"), "item")
 
 
+def item_cosine_sampled(spark, d):
+    """The approximate similarities held against the exact ones: how many pairs reach the threshold, whether at least 0.9 of
+    those are found, and whether their mean relative error is at most 0.2."""
+    checkpoint_dir(spark)
+    ratings = _ratings_once(spark, d)
+    exact = rc.cosine_similarity(ratings).filter(F.col("sim") >= SIMILAR - 1e-9).select("item_1", "item_2", "sim")
+    found = rc.sampled_similarity(ratings, SIMILAR - 1e-9).withColumnRenamed("sim", "estimate")
+    error = F.avg(F.abs(F.col("estimate") - F.col("sim")) / F.col("sim"))
+    return exact.join(found, ["item_1", "item_2"], "left").agg(
+        F.count(F.lit(1)).alias("n_similar"), (F.count("estimate") >= 0.9 * F.count(F.lit(1))).alias("recalled"),
+        (F.coalesce(error, F.lit(0.0)) <= 0.2).alias("within"))
+
+
 def user_cosine(spark, d):
     return _cos_out(rc.cosine_similarity(_ratings_once(spark, d), "user", "item"), "user")
 
@@ -476,6 +490,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         ("item_norms", item_norms),
         ("user_norms", user_norms),
         ("item_cosine", item_cosine),
+        ("item_cosine_sampled", item_cosine_sampled),
         ("user_cosine", user_cosine),
         ("item_neighbors_top10", item_neighbors_top10),
         ("user_neighbors_top10", user_neighbors_top10),

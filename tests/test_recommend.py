@@ -1,4 +1,5 @@
 import math
+import random
 
 import pytest
 
@@ -156,3 +157,37 @@ def test_als_factors_solve_their_normal_equations(spark):
     mean = np.mean([r for *_, r in rows])
     flat = float(np.sqrt(np.mean([(r - mean) ** 2 for *_, r in rows])))
     assert all(0 < e < flat for e in errors.values()) and errors[best] == min(errors.values())
+
+
+def test_sampled_similarity_of_large_vectors(spark):
+    """Keys of many ratings are sampled, small ones kept whole; similar pairs are found with a small error."""
+    rng = random.Random(4)
+    rows = [(u, i, float(rng.randrange(1, 6))) for i in range(12) for u in range(4000) if rng.random() < 0.6]
+    rows += [(u, 100 + k, 5.0) for k in range(2) for u in range(6)]  # norm 12.2, below 5 * 9.4
+    ratings = spark.createDataFrame(rows, "user long, item long, rating double")
+    kept = rc._sampled_ratings(ratings, 0.3, "item", "user", 7, 10.0)
+    assert 0 < kept.filter("item < 100").count() < 0.4 * len(rows) and kept.filter("item >= 100").count() == 12
+    exact = {(r.item_1, r.item_2): r.sim for r in rc.cosine_similarity(ratings).filter("sim >= 0.3").collect()}
+    got = {(r.item_1, r.item_2): r.sim for r in rc.sampled_similarity(ratings, 0.3).collect()}
+    assert len(exact) == 12 * 11 // 2 + 1 and close(got[(100, 101)], 1.0)
+    assert len(exact.keys() & got.keys()) >= 0.9 * len(exact)
+    assert sum(abs(got[k] - exact[k]) / exact[k] for k in exact.keys() & got.keys()) / len(exact) <= 0.2
+    again = {(r.item_1, r.item_2): r.sim for r in rc.sampled_similarity(ratings.repartition(7), 0.3).collect()}
+    assert again.keys() == got.keys() and all(close(again[k], got[k]) for k in got)
+
+
+def test_sampled_similarity_keeps_small_vectors_whole(spark, train):
+    exact = {(r.item_1, r.item_2): r.sim for r in rc.cosine_similarity(train).collect()}
+    got = {(r.item_1, r.item_2): r.sim for r in rc.sampled_similarity(train, 0.01).collect()}
+    assert got.keys() == exact.keys() and all(close(got[k], exact[k]) for k in exact)
+    assert rc.sampled_similarity(train.limit(0), 0.1).count() == 0
+    with pytest.raises(ValueError):
+        rc.sampled_similarity(train, 0.0)
+
+
+def test_ranks_fitted_at_once_or_in_turn(spark, train):
+    one, best = rc.als_rank_search(train, train, (2, 3, 4), max_iter=3, at_once=1)
+    three, same = rc.als_rank_search(train, train, (2, 3, 4), max_iter=3, at_once=3)
+    assert best == same and [r["rank"] for r in three.collect()] == [2, 3, 4]
+    for x, y in zip(one.collect(), three.collect()):
+        assert close(x.train_rmse, y.train_rmse, 1e-4) and x.is_best == y.is_best

@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark import inheritable_thread_target
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sparkmill.functions.metrics import cosine
@@ -85,6 +85,12 @@ def _sampled_ratings(ratings: DataFrame, threshold: float, key: str, over: str,
     return rated.filter(draw < chance).select(over, key, (F.col("rating") / F.col("norm") / chance).alias("_w"))
 
 
+def _unit(ratings: DataFrame, key: str, over: str) -> DataFrame:
+    """(over, key, _w): ratings divided by their key's norm (0 where the norm is 0)."""
+    rated = balanced_join(ratings.select(over, key, "rating"), norms(ratings, key), [key])
+    return rated.select(over, key, F.when(F.col("norm") == 0, F.lit(0.0)).otherwise(F.col("rating") / F.col("norm")).alias("_w"))
+
+
 def masked_similarity(ratings: DataFrame, mask: DataFrame, key: str = "item", over: str = "user",
                       block_size: int = DEFAULT_BLOCK_SIZE, way: str | None = None) -> DataFrame:
     """(a, b, sim) of the wanted pairs only: those rows of ``mask`` (a, b with a < b; a pair may be
@@ -100,9 +106,14 @@ def masked_similarity(ratings: DataFrame, mask: DataFrame, key: str = "item", ov
     Without ``way`` the one that forms fewer rows is taken; both give the same table."""
     a, b = f"{key}_1", f"{key}_2"
     checkpoint_dir(ratings.sparkSession)
-    unit = balanced_join(ratings.select(over, key, "rating"), norms(ratings, key), [key])
-    weight = F.when(F.col("norm") == 0, F.lit(0.0)).otherwise(F.col("rating") / F.col("norm"))
-    unit = unit.select(over, key, weight.alias("_w")).checkpoint(eager=True)
+    unit = _unit(ratings, key, over).checkpoint(eager=True)
+    rows = _masked_products(unit, mask, key, over, block_size, way)
+    return rows.groupBy(a, b).agg(F.sum(F.col("_w_1") * F.col("_w_2")).alias("sim"))
+
+
+def _masked_products(unit: DataFrame, mask: DataFrame, key: str, over: str, block_size: int, way: str | None = None) -> DataFrame:
+    """(a, b, _w_1, _w_2): the factors of each product that a pair of the mask needs."""
+    a, b = f"{key}_1", f"{key}_2"
     if way is None:
         way = _cheaper_way(unit, mask, key, over)
     if way == "groups":
@@ -117,7 +128,7 @@ def masked_similarity(ratings: DataFrame, mask: DataFrame, key: str = "item", ov
         wanted = wanted.select(a, b, F.when(fewer, F.col(a)).otherwise(F.col(b)).alias("_p"), F.when(fewer, F.col(b)).otherwise(F.col(a)).alias("_q"))
         first = salted_join(wanted, unit.withColumnRenamed(key, "_p").withColumnRenamed("_w", "_w_1"), ["_p"], "_q", block_size)
         rows = balanced_join(first, unit.select(over, F.col(key).alias("_q"), F.col("_w").alias("_w_2")), [over, "_q"], written=True)
-    return rows.groupBy(a, b).agg(F.sum(F.col("_w_1") * F.col("_w_2")).alias("sim"))
+    return rows.select(a, b, "_w_1", "_w_2")
 
 
 def rows_formed(unit: DataFrame, mask: DataFrame, key: str, over: str) -> dict[str, int]:
@@ -149,6 +160,104 @@ def nearest_neighbors(sims: DataFrame, n: int = 10, key: str = "item", digits: i
     return ranked.select(key, "other", "sim", "rank")
 
 
+def bounded_neighbors(ratings: DataFrame, n: int = 10, key: str = "item", over: str = "user", rest: float = 0.1,
+                      digits: int = 9, block_size: int = DEFAULT_BLOCK_SIZE) -> DataFrame:
+    """``nearest_neighbors`` of the exact cosine similarities without forming every co-rated pair.
+
+    Each key's unit vector is cut in two: its *rest* holds the ratings that lie in the largest ``over`` groups, as many as
+    make up at most ``rest`` of its squared norm; the others are its *head*.  Products are formed where at least one
+    of the two ratings is in a head, so the pairs of the largest groups, quadratic in their size, are not formed.
+    What a pair (a, b) still lacks is at most |rest of a| * |rest of b| (Cauchy-Schwarz), which bounds its similarity on both sides:
+
+    * a key's threshold is the ``n``-th largest lower bound among its pairs;
+    * a pair whose upper bound is below the thresholds of both its keys is dropped, the others get their missing
+      products by the mask (``_masked_products``);
+    * a key is *open* if a pair without any formed product might reach its threshold, or if it has fewer than ``n``
+      pairs: its rest meets all others' rests, whole.
+
+    The result is exact for any ``rest`` in 0..1 and ratings of any sign; ``rest`` only moves work.  Hot groups and hot keys are
+    split as in ``pairs_within_groups``, ``salted_join`` and ``balanced_join``."""
+    if not 0 <= rest < 1:
+        raise ValueError("rest must be in [0, 1)")
+    a, b = f"{key}_1", f"{key}_2"
+    unit = _head_and_rest(_unit(ratings, key, over), key, over, rest).checkpoint(eager=True)
+    tail = unit.filter("_rest").drop("_rest")
+    left = tail.groupBy(key).agg(F.sqrt(F.sum(F.col("_w") * F.col("_w"))).alias("_s"), (F.min("_w") < 0).alias("_signed"))
+    left = left.checkpoint(eager=True)
+    formed = _formed_products(unit, key, over, block_size)
+    sums = formed.groupBy(a, b).agg(F.sum(F.col("_w_1") * F.col("_w_2")).alias("_p"))
+    for c, i in ((a, 1), (b, 2)):
+        sums = balanced_join(sums, left.select(F.col(key).alias(c), F.col("_s").alias(f"_s{i}"), F.col("_signed").alias(f"_g{i}")), [c], "left", written=True)
+    lack = F.coalesce(F.col("_s1") * F.col("_s2"), F.lit(0.0))
+    signed = F.coalesce("_g1", F.lit(False)) | F.coalesce("_g2", F.lit(False))
+    sums = sums.select(a, b, "_p", lack.alias("_lack"), (F.col("_p") - F.when(signed, lack).otherwise(0.0)).alias("sim")).checkpoint(eager=True)
+    slack = 2 * 10.0 ** -digits  # similarities are ranked after rounding
+    keys = _thresholds(sums, unit, left, n, key, rest, slack).checkpoint(eager=True)
+    for c, i in ((a, 1), (b, 2)):
+        sums = balanced_join(sums, keys.select(F.col(key).alias(c), F.col("_t").alias(f"_t{i}"), F.col("_open").alias(f"_o{i}")), [c], written=True)
+    upper = F.col("_p") + F.col("_lack") + slack
+    sums = sums.filter(F.col("_o1") | F.col("_o2") | (upper >= F.col("_t1")) | (upper >= F.col("_t2"))).checkpoint(eager=True)
+    mask = sums.filter(~F.col("_o1") & ~F.col("_o2") & (F.col("_lack") > 0)).select(a, b)
+    product = (F.col("_w_1") * F.col("_w_2")).alias("_p")
+    lacking = _masked_products(tail, mask, key, over, block_size).select(a, b, product)
+    whole = sums.select(a, b, "_p").unionByName(lacking).unionByName(_open_products(tail, keys, key, over, block_size).select(a, b, product))
+    return nearest_neighbors(whole.groupBy(a, b).agg(F.sum("_p").alias("sim")), n, key, digits)
+
+
+def _head_and_rest(unit: DataFrame, key: str, over: str, rest: float) -> DataFrame:
+    """``unit`` with _rest: whether the rating belongs to its key's rest.
+
+    Groups are ordered by classes of their size (eight to a doubling, each cut in 16 by hash), the largest first; the squares of a
+    key's weights are summed per class, and its rest ends before the class that would pass ``rest``.  A key has at
+    most 16 * 8 classes for each doubling of the largest group, so the running sum is over a bounded partition."""
+    sizes = unit.groupBy(over).agg(F.count(F.lit(1)).alias("_n"))
+    rank = (F.floor(8 * F.log2("_n")) * 16 + F.pmod(F.xxhash64(over), F.lit(16))).cast("int")
+    placed = balanced_join(unit, sizes.select(over, rank.alias("_class")), [over])
+    largest_first = Window.partitionBy(key).orderBy(F.col("_class").desc())
+    running = (placed.groupBy(key, "_class").agg(F.sum(F.col("_w") * F.col("_w")).alias("_m"))
+               .withColumn("_m", F.sum("_m").over(largest_first)))
+    # a key without a norm has only weights of 0: all of them stay in its head, so that its pairs are formed
+    ends = running.groupBy(key).agg(F.min(F.when(F.col("_m") <= rest, F.col("_class"))).alias("_end"), F.max("_m").alias("_all"))
+    ends = ends.filter("_all > 0").select(key, "_end")
+    joined = balanced_join(placed, ends, [key], "left")
+    return joined.select(over, key, "_w", F.coalesce(F.col("_class") >= F.col("_end"), F.lit(False)).alias("_rest"))
+
+
+def _formed_products(unit: DataFrame, key: str, over: str, block_size: int) -> DataFrame:
+    """(a, b, _w_1, _w_2) of the pairs inside a group of which at least one rating is in a head."""
+    a, b = f"{key}_1", f"{key}_2"
+    head, tail = unit.filter("not _rest").drop("_rest"), unit.filter("_rest").drop("_rest")
+    inside = pairs_within_groups(head, [over], key, carry=["_w"], block_size=block_size, keep_group=False)
+    across = salted_join(head.select(over, F.col(key).alias("_p"), F.col("_w").alias("_wp")),
+                         tail.select(over, F.col(key).alias("_q"), F.col("_w").alias("_wq")), [over], "_p", block_size, "_q")
+    return inside.unionByName(_canonical(across, a, b))
+
+
+def _open_products(tail: DataFrame, keys: DataFrame, key: str, over: str, block_size: int) -> DataFrame:
+    """(a, b, _w_1, _w_2) of the pairs of two rests, one of an open key at least, each once."""
+    a, b = f"{key}_1", f"{key}_2"
+    marked = balanced_join(tail, keys.select(key, "_open"), [key], written=True)
+    rows = salted_join(marked.filter("_open").select(over, F.col(key).alias("_p"), F.col("_w").alias("_wp")),
+                       marked.select(over, F.col(key).alias("_q"), F.col("_w").alias("_wq"), "_open"), [over], "_p", block_size, "_q")
+    rows = rows.filter((F.col("_p") < F.col("_q")) | (~F.col("_open") & (F.col("_p") > F.col("_q"))))
+    return _canonical(rows, a, b)
+
+
+def _canonical(rows: DataFrame, a: str, b: str) -> DataFrame:
+    swap = F.col("_p") > F.col("_q")
+    return rows.select(F.least("_p", "_q").alias(a), F.greatest("_p", "_q").alias(b), F.when(swap, F.col("_wq")).otherwise(F.col("_wp")).alias("_w_1"),
+                       F.when(swap, F.col("_wp")).otherwise(F.col("_wq")).alias("_w_2"))
+
+
+def _thresholds(bounds: DataFrame, unit: DataFrame, left: DataFrame, n: int, key: str, rest: float, slack: float) -> DataFrame:
+    """(key, _t, _open) of every key: the n-th largest lower bound (minus infinity where there are fewer pairs)."""
+    best = nearest_neighbors(bounds, n, key).filter(F.col("rank") == n).select(key, F.col("sim").alias("_t"))
+    keys = unit.select(key).distinct().join(best, key, "left").join(left.select(key, "_s"), key, "left")
+    unseen = F.coalesce("_s", F.lit(0.0)) * float(math.sqrt(rest)) + slack
+    t = F.coalesce("_t", F.lit(float("-inf")))
+    return keys.select(key, t.alias("_t"), (F.col("_s").isNotNull() & (unseen >= t)).alias("_open"))
+
+
 def _weighted(cand: DataFrame, sims: DataFrame, key: str, group: list[str]) -> DataFrame:
     """Join candidates, keyed by the pair they need (a < b), with the similarity table
     and form sum(sim * rating) / sum(sim) per group.

@@ -367,6 +367,7 @@ def _texts() -> dict:
             "UNION ALL SELECT w1 || ' ' || w2 || ' ' || w3, CAST(3 AS INTEGER), support FROM l3 "
             "UNION ALL SELECT w1 || ' ' || w2 || ' ' || w3 || ' ' || w4, CAST(4 AS INTEGER), support FROM l4"),
     }
+    sql |= {f"{key}_neighbors_bounded": sql[f"{key}_neighbors_top10"] for key in ("item", "user")}  # the same rows, found another way
     return sql
 
 

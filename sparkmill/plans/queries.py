@@ -227,6 +227,16 @@ def user_neighbors_top10(spark, d):
     return nn.select("user", "other", r6("sim").alias("sim"), F.col("rank").cast("int").alias("rank"))
 
 
+def item_neighbors_bounded(spark, d):
+    nn = rc.bounded_neighbors(_ratings_once(spark, d), NEIGHBORS, "item", "user")
+    return nn.select("item", "other", r6("sim").alias("sim"), F.col("rank").cast("int").alias("rank"))
+
+
+def user_neighbors_bounded(spark, d):
+    nn = rc.bounded_neighbors(_ratings_once(spark, d), NEIGHBORS, "user", "item")
+    return nn.select("user", "other", r6("sim").alias("sim"), F.col("rank").cast("int").alias("rank"))
+
+
 def ratings_by_time(spark, d):
     return rt.sort_by_time(_ratings(spark, d))
 
@@ -494,6 +504,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         ("user_cosine", user_cosine),
         ("item_neighbors_top10", item_neighbors_top10),
         ("user_neighbors_top10", user_neighbors_top10),
+        ("item_neighbors_bounded", item_neighbors_bounded),
+        ("user_neighbors_bounded", user_neighbors_bounded),
         ("ratings_by_time", ratings_by_time),
         ("item_cf_predict", item_cf_predict),
         ("user_cf_predict", user_cf_predict),

@@ -191,3 +191,41 @@ def test_ranks_fitted_at_once_or_in_turn(spark, train):
     assert best == same and [r["rank"] for r in three.collect()] == [2, 3, 4]
     for x, y in zip(one.collect(), three.collect()):
         assert close(x.train_rmse, y.train_rmse, 1e-4) and x.is_best == y.is_best
+
+
+def _same_neighbors(got, want, key):
+    rows = [{(r[key], r["rank"]): (r["other"], r["sim"]) for r in df.collect()} for df in (got, want)]
+    assert rows[0].keys() == rows[1].keys()
+    for k, (other, sim) in rows[1].items():
+        assert rows[0][k][0] == other and close(rows[0][k][1], sim)
+
+
+@pytest.mark.parametrize("seed,rest,block", [(1, 0.1, 2000), (2, 0.3, 7), (3, 0.0, 2000), (4, 0.9, 40)])
+def test_bounded_neighbors_are_exact(spark, seed, rest, block):
+    """Users from few to very many ratings, negative and zero ratings, a key without a norm, keys with few partners."""
+    rng = random.Random(seed)
+    low = -2 if seed == 2 else 0
+    rows = {(u, rng.randrange(60)): float(rng.randrange(low, 6)) for u in range(40) for _ in range(rng.randrange(1, 50 if u < 6 else 7))}
+    rows |= {(u, 900): 0.0 for u in range(5)} | {(77, 901): 3.0, (78, 902): 4.0, (78, 903): 1.0}
+    ratings = spark.createDataFrame([(u, i, r) for (u, i), r in rows.items()], "user long, item long, rating double")
+    for key, over in (("item", "user"), ("user", "item")):
+        want = rc.nearest_neighbors(rc.cosine_similarity(ratings, key, over), 4, key)
+        _same_neighbors(rc.bounded_neighbors(ratings, 4, key, over, rest=rest, block_size=block), want, key)
+
+
+def test_bounded_neighbors_form_fewer_pairs(spark):
+    """One user rated every item: nearly all co-rated pairs are that user's, and next to none of them are formed."""
+    rng = random.Random(5)
+    rows = [(0, i, 3.0) for i in range(300)]
+    rows += [(1 + 3 * (i // 10) + j, i, float(rng.randrange(2, 6))) for i in range(300) for j in range(3)]
+    ratings = spark.createDataFrame(rows, "user long, item long, rating double")
+    sims = rc.cosine_similarity(ratings)
+    unit = rc._head_and_rest(rc._unit(ratings, "item", "user"), "item", "user", 0.4)
+    assert rc._formed_products(unit, "item", "user", 2000).count() < sims.agg({"n_common": "sum"}).first()[0] / 4
+    _same_neighbors(rc.bounded_neighbors(ratings, 5, rest=0.4), rc.nearest_neighbors(sims, 5), "item")
+
+
+def test_bounded_neighbors_of_nothing(spark, train):
+    assert rc.bounded_neighbors(train.limit(0)).count() == 0
+    with pytest.raises(ValueError):
+        rc.bounded_neighbors(train, rest=1.0)

@@ -15,7 +15,7 @@ from sparkmill.functions.metrics import cosine
 from sparkmill.operators.ordering import top_n_per_group
 from sparkmill.operators.ratings import baseline_predict, rmse_by_split
 from sparkmill.operators.skew import DEFAULT_BLOCK_SIZE, balanced_join, pairs_within_groups, salted_join
-from sparkmill.session import checkpoint_dir
+from sparkmill.session import checkpoint_dir, written
 
 
 def norms(ratings: DataFrame, key: str) -> DataFrame:
@@ -190,14 +190,17 @@ def bounded_neighbors(ratings: DataFrame, n: int = 10, key: str = "item", over:
         sums = balanced_join(sums, left.select(F.col(key).alias(c), F.col("_s").alias(f"_s{i}"), F.col("_signed").alias(f"_g{i}")), [c], "left", written=True)
     lack = F.coalesce(F.col("_s1") * F.col("_s2"), F.lit(0.0))
     signed = F.coalesce("_g1", F.lit(False)) | F.coalesce("_g2", F.lit(False))
-    sums = sums.select(a, b, "_p", lack.alias("_lack"), (F.col("_p") - F.when(signed, lack).otherwise(0.0)).alias("sim")).checkpoint(eager=True)
+    sums = written(sums.select(a, b, "_p", lack.alias("_lack"), signed.alias("_signed")), "neighbor-bounds")
+    lower = sums.select(a, b, (F.col("_p") - F.when(F.col("_signed"), F.col("_lack")).otherwise(0.0)).alias("sim"))
     slack = 2 * 10.0 ** -digits  # similarities are ranked after rounding
-    keys = _thresholds(sums, unit, left, n, key, rest, slack).checkpoint(eager=True)
+    keys = _thresholds(lower, unit, left, n, key, rest, slack).checkpoint(eager=True)
     for c, i in ((a, 1), (b, 2)):
         sums = balanced_join(sums, keys.select(F.col(key).alias(c), F.col("_t").alias(f"_t{i}"), F.col("_open").alias(f"_o{i}")), [c], written=True)
     upper = F.col("_p") + F.col("_lack") + slack
-    sums = sums.filter(F.col("_o1") | F.col("_o2") | (upper >= F.col("_t1")) | (upper >= F.col("_t2"))).checkpoint(eager=True)
-    mask = sums.filter(~F.col("_o1") & ~F.col("_o2") & (F.col("_lack") > 0)).select(a, b)
+    sums = sums.filter(F.col("_o1") | F.col("_o2") | (upper >= F.col("_t1")) | (upper >= F.col("_t2")))
+    lacks = ~F.col("_o1") & ~F.col("_o2") & (F.col("_lack") > 0)
+    sums = written(sums.select(a, b, "_p", lacks.alias("_lacks")), "neighbor-candidates")
+    mask = sums.filter("_lacks").select(a, b)
     product = (F.col("_w_1") * F.col("_w_2")).alias("_p")
     lacking = _masked_products(tail, mask, key, over, block_size).select(a, b, product)
     whole = sums.select(a, b, "_p").unionByName(lacking).unionByName(_open_products(tail, keys, key, over, block_size).select(a, b, product))

@@ -56,3 +56,26 @@ def test_adjacency(spark, edges, parts):
         lists.setdefault(src, []).append(dst)
         assert position == len(lists[src])
     assert lists == {"A": ["B", "C"], "B": ["C"], "C": ["A", "E"], "D": ["C"], "H": [f"n{i:03d}" for i in range(300)]}
+
+
+def test_pagerank_of_nodes_that_share_a_hash(spark, edges, monkeypatch):
+    """Ids are hashes of nodes unless two nodes share one."""
+    monkeypatch.setattr(graph.F, "xxhash64", lambda *c: graph.F.lit(7).cast("bigint"))
+    got = {r.node: r.rank for r in graph.pagerank(edges, 3).collect()}
+    assert {k: round(v, 9) for k, v in got.items()} == ROUNDS[3]
+
+
+def test_rounds_hold_no_names(spark, edges, monkeypatch):
+    """What a round joins and keeps in memory is lists of numbers."""
+    kept = []
+    lists = graph._salted_lists
+    monkeypatch.setattr(graph, "_salted_lists", lambda e, block: kept.append(dict(e.dtypes)) or lists(e, block))
+    graph.pagerank(edges, 1)
+    assert kept == [{"src": "bigint", "dst": "bigint"}]
+
+
+def test_edge_lines_are_not_split_by_a_compiled_pattern(spark):
+    rows = [("  a \t b c",), ("\x0b\fx\ty\n",), (None,), ("x#\ty",), ("\t",), ("one ",), ("x y",)]
+    out = parse_edge_lines(spark.createDataFrame(rows, "value string"))
+    assert sorted(map(tuple, out.collect())) == [("a", "b"), ("x", "y")]
+    assert "split(" not in out._jdf.queryExecution().optimizedPlan().toString()

@@ -13,6 +13,24 @@ def write_clean_documents(clean: DataFrame, path: str, fmt: str = "parquet", mod
         clean.write.mode(mode).format(fmt).save(path)
 
 
+#: Classes of texts by length in bytes, and how many of each class share a file: no more than 8 MiB or one text.
+FILE_CLASSES = ((1 << 14, 512), (1 << 18, 32), (None, 1))
+
+
+def write_document_files(clean: DataFrame, path: str) -> None:
+    """Text files for readers that take each file whole (S2): a file holds at most 8 MiB, or one text, however many rows a task writes."""
+    from pyspark.sql import functions as F
+
+    from sparkmill.session import written
+
+    clean = written(clean.select("text"), "clean-documents")
+    size, least = F.coalesce(F.octet_length("text"), F.lit(0)), -1
+    for most, rows in FILE_CLASSES:
+        part = clean.filter(size > least) if most is None else clean.filter((size > least) & (size <= most))
+        part.write.mode("append").option("maxRecordsPerFile", rows).text(path)
+        least = most
+
+
 def write_splits(split_df: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite") -> None:
     """All splits in one write, partitioned by ``split`` (readers prune by partition)."""
     split_df.write.mode(mode).partitionBy("split").format(fmt).save(path)

@@ -2,7 +2,7 @@
 
 import os
 
-from sparkmill.operators import graph, ratings as rt, recommend as rc, weblog
+from sparkmill.operators import graph, ratings as rt, recommend as rc, text as text_words, weblog
 from sparkmill.sources import files, sinks
 
 
@@ -60,3 +60,15 @@ def test_pagerank_from_edge_file(spark, tmp_dir):
     assert set(ranks) == {"1", "2", "3"}
     # with every node on a cycle the un-normalised ranks sum to the node count
     assert abs(sum(ranks.values()) - 3.0) < 1e-9
+
+
+def test_document_files_are_bounded(spark, tmp_dir):
+    """However few tasks write, no file holds more than 8 MiB or one text."""
+    rows = [(i, "ab " * 5000) for i in range(1100)] + [(2000 + i, "cd " * 40000) for i in range(70)] + [(3000, "ef " * 200000), (3001, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    path = f"{tmp_dir}/docs"
+    sinks.write_document_files(df, path)
+    sizes = [os.path.getsize(f"{path}/{f}") for f in os.listdir(path) if f.endswith(".txt")]
+    assert len(sizes) > 4 and max(sizes) <= 8 << 20
+    words = {r.word: r.n for r in text_words.word_count(files.read_documents(spark, path), "text", "raw").collect()}
+    assert words == {"ab": 1100 * 5000, "cd": 70 * 40000, "ef": 200000}

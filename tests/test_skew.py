@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from sparkmill.operators.skew import balanced_join, pairs_within_groups, salted_join, with_bucket_count
+from sparkmill.operators.skew import balanced_join, pairs_within_groups, salted_join, sums_of_pairs, with_bucket_count
 
 
 def _skewed(spark, hot_rows=3000, cold_groups=50, cold_rows=5):
@@ -85,3 +85,28 @@ def test_salted_join_bounds_a_key(spark):
     cells = (out.select(F.pmod(F.xxhash64("a"), F.lit(16)).alias("x"), F.pmod(F.xxhash64("k", "b"), F.lit(16)).alias("y"))
              .groupBy("x", "y").count().collect())
     assert len(cells) == 256 and max(c["count"] for c in cells) <= 100 * 100 and sum(c["count"] for c in cells) == 640000
+
+
+@pytest.mark.parametrize("block,per_task", [(2000, 1_000_000), (4, 1_000_000), (2000, 5), (4, 5)])
+def test_sums_of_pairs_equal_grouped_pairs(spark, block, per_task):
+    """Hot groups, hot items, repeated rows and nulls: the same sums as of the pairs themselves."""
+    rows = [(u, i, float((u * i) % 5)) for u in range(12) for i in range(15) if (u + i) % 3 or u == 0]
+    rows += [(0, 3, 2.0), (None, 3, 1.0), (None, 4, 1.0), (5, None, 1.0), (5, 4, None)]
+    df = spark.createDataFrame(rows, "user long, item long, r double")
+    sums = [F.sum(F.col("r_1") * F.col("r_2")).alias("dot"), F.count(F.lit(1)).alias("n")]
+    want = {tuple(x) for x in pairs_within_groups(df, ["user"], "item", ["r"], keep_group=False).groupBy("item_1", "item_2").agg(*sums).collect()}
+    got = [tuple(x) for x in sums_of_pairs(df, "user", "item", ["r"], sums, block, pairs_per_task=per_task).select("item_1", "item_2", "dot", "n").collect()]
+    assert len(got) == len(want) and set(got) == want
+    both = [tuple(x) for x in sums_of_pairs(df, "user", "item", ["r"], sums, block, True, pairs_per_task=per_task).select("item_1", "item_2", "dot", "n").collect()]
+    assert len(both) == 2 * len(want) and set(both) == want | {(b, a, d, n) for a, b, d, n in want}
+
+
+def test_no_pair_is_shuffled(spark):
+    """The similarity of a pair is summed where it is formed, and neighbours are ranked there."""
+    from sparkmill.operators import recommend as rc
+
+    df = spark.createDataFrame([(u, i, 1.0) for u in range(9) for i in range(9) if (u * i) % 4], "user long, item long, rating double")
+    for out in (rc.cosine_similarity(df), rc.sampled_similarity(df, 0.1), rc.cosine_neighbors(df, 3)):
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        moved = [line for line in plan.split("\n") if "Exchange hashpartitioning(item" in line]
+        assert len(moved) == 1 and "REPARTITION_BY_NUM" in moved[0] and "item_2" not in moved[0]

@@ -229,3 +229,44 @@ def test_bounded_neighbors_of_nothing(spark, train):
     assert rc.bounded_neighbors(train.limit(0)).count() == 0
     with pytest.raises(ValueError):
         rc.bounded_neighbors(train, rest=1.0)
+
+
+@pytest.mark.parametrize("seed,rest,block", [(1, 0.1, 2000), (2, 0.3, 7), (3, 0.0, 2000), (4, 0.9, 40), (5, 0.6, 9)])
+def test_bounded_neighbors_with_any_cut_are_exact(spark, seed, rest, block):
+    """The rests are kept however little they save; items of many pairs, negative ratings, open keys."""
+    rng = random.Random(seed)
+    low = -4 if seed in (2, 5) else 0
+    rows = {(u, rng.randrange(60)): float(rng.randrange(low, 6)) for u in range(40) for _ in range(rng.randrange(1, 50 if u < 6 else 7))}
+    ratings = spark.createDataFrame([(u, i, r) for (u, i), r in rows.items()], "user long, item long, rating double")
+    for key, over in (("item", "user"), ("user", "item")):
+        want = rc.nearest_neighbors(rc.cosine_similarity(ratings, key, over), 4, key)
+        _same_neighbors(rc.bounded_neighbors(ratings, 4, key, over, rest=rest, block_size=block, least_saved=0.0), want, key)
+
+
+def test_bounded_neighbors_write_candidates_only(spark):
+    """Groups alike in size: no cut pays, the bounds are the similarities, and only what may enter a list is written."""
+    rng = random.Random(8)
+    rows = {(u, rng.randrange(120)): float(rng.randrange(1, 6)) for u in range(120) for _ in range(20)}
+    ratings = spark.createDataFrame([(u, i, r) for (u, i), r in rows.items()], "user long, item long, rating double")
+    unit = rc._head_and_rest(rc._unit(ratings, "item", "user"), "item", "user", 0.1).cache()
+    assert rc._share_saved(unit, "user") < 0.5
+    unit = unit.withColumn("_rest", rc.F.lit(False))
+    none = unit.filter("_rest").selectExpr("item", "_w _s", "_rest _signed").checkpoint()
+    cand = rc._candidates(unit, none, 3, "item", "user", 2000, 2e-9)
+    pairs = 2 * rc.cosine_similarity(ratings).count()
+    assert 120 * 3 <= cand.count() < pairs / 10
+    _same_neighbors(rc.bounded_neighbors(ratings, 3), rc.nearest_neighbors(rc.cosine_similarity(ratings), 3), "item")
+
+
+def test_sums_across_split_an_item_of_many_pairs(spark):
+    rows = [(g, i, float(1 + (g * i) % 5)) for g in range(6) for i in range(40) if (g + i) % 4 or i == 0]
+    df = spark.createDataFrame(rows, "g long, i long, w double")
+    total = rc.F.sum(rc.F.col("w_1") * rc.F.col("w_2")).alias("p")
+    got = rc.sums_across([(df, df.filter("i < 30")), (df.filter("i < 30"), df.filter("i >= 30"))], "g", "i", ["w"], [total], block_size=7, pairs_per_task=50)
+    want = {}
+    for g, i, w in rows:
+        for h, j, v in rows:
+            if g == h and i != j and (j < 30 or i < 30):
+                want[i, j] = want.get((i, j), 0.0) + w * v
+    assert {(r.i_1, r.i_2): r.p for r in got.collect()} == want
+    assert got.select("_s").distinct().count() > 1

@@ -1,3 +1,5 @@
+import os
+
 import pytest
 
 from sparkmill.operators import graph
@@ -79,3 +81,37 @@ def test_edge_lines_are_not_split_by_a_compiled_pattern(spark):
     out = parse_edge_lines(spark.createDataFrame(rows, "value string"))
     assert sorted(map(tuple, out.collect())) == [("a", "b"), ("x", "y")]
     assert "split(" not in out._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_pagerank_keeps_no_table_that_is_not_read_again(spark, edges):
+    """Of what the rounds write, the last ranks and the lists of links stay; the edge table and earlier ranks are removed."""
+    from sparkmill.session import checkpoint_dir
+
+    there = lambda: set(os.listdir(checkpoint_dir(spark).removeprefix("file:")))
+    before = there()
+    got = graph.pagerank(edges, 3, checkpoint_interval=1)
+    names = sorted(x.partition("-")[0] for x in there() - before)
+    assert names == ["links", "nodes", "ranks", "sources"]
+    assert {r.node: round(r.rank, 9) for r in got.collect()} == ROUNDS[3]
+
+
+def test_given_edges_stay(spark, edges):
+    own = graph.prepare_edges(edges)
+    graph.pagerank(own, 2, assume_distinct=True)
+    assert own.count() == 6
+
+
+def test_written_frees_what_was_shuffled(spark):
+    import time
+
+    from sparkmill.session import written
+
+    blocks = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    shuffled = lambda: {b for b in str(blocks.getAllBlocks().mkString(" ")).split() if b.startswith("shuffle_")}
+    before = shuffled()
+    table = written(spark.range(1000).repartition(3, "id").groupBy("id").count(), "freed")
+    for _ in range(50):
+        if not shuffled() - before:
+            break
+        time.sleep(0.2)
+    assert not shuffled() - before and table.count() == 1000

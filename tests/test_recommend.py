@@ -270,3 +270,69 @@ def test_sums_across_split_an_item_of_many_pairs(spark):
                 want[i, j] = want.get((i, j), 0.0) + w * v
     assert {(r.i_1, r.i_2): r.p for r in got.collect()} == want
     assert got.select("_s").distinct().count() > 1
+
+
+def test_bounded_neighbors_with_a_rest_of_zeros(spark):
+    """User 1's rest has no weight: a pair of negative products must not come back with what the rests add, which is 0."""
+    rows = [(1, 2, 4.0), (1, 6, 0.0), (2, 2, -1.0), (2, 6, 5.0), (2, 7, 5.0)] + [(u, 6, 2.0) for u in range(3, 9)] + [(u, 20 + u, 1.0) for u in range(3, 9)]
+    ratings = spark.createDataFrame(rows, "user long, item long, rating double")
+    want = rc.nearest_neighbors(rc.cosine_similarity(ratings, "user", "item"), 2, "user")
+    for rest in (0.4, 0.6, 0.9):
+        _same_neighbors(rc.bounded_neighbors(ratings, 2, "user", "item", rest=rest, least_saved=0.0), want, "user")
+
+
+@pytest.mark.parametrize("low", [0, 0.5])
+def test_waves_give_the_same(spark, low):
+    """Few pairs at a time: written wave by wave, the same rows; whole ratings are sent as bytes, others as they are."""
+    rng = random.Random(11)
+    rows = {(u, 10**10 * (i % 2) + i): low + rng.randrange(1, 6) for u in range(30) for i in rng.sample(range(40), 9)}
+    ratings = spark.createDataFrame([(u, i, float(r)) for (u, i), r in rows.items()], "user long, item long, rating double")
+    for key, over in (("item", "user"), ("user", "item")):
+        _same_neighbors(rc.cosine_neighbors(ratings, 3, key, over, pairs_per_wave=300), rc.nearest_neighbors(rc.cosine_similarity(ratings, key, over), 3, key), key)
+        got = rc.cosine_similarity(ratings, key, over, then=lambda s: s.filter("sim >= 0.3"), pairs_per_wave=300)
+        assert len(got.inputFiles()) > 1  # written
+        want = {tuple(r)[:2]: r.sim for r in rc.cosine_similarity(ratings, key, over).filter("sim >= 0.3").collect()}
+        got = {tuple(r)[:2]: r.sim for r in got.collect()}
+        assert got.keys() == want.keys() and all(close(got[k], want[k]) for k in want)
+        sampled = [{tuple(r)[:2]: r.sim for r in rc.sampled_similarity(ratings, 0.3, key, over, pairs_per_wave=n).collect()} for n in (300, 10**9)]
+        assert sampled[0].keys() == sampled[1].keys() and all(close(sampled[0][k], v) for k, v in sampled[1].items())
+
+
+def test_masked_similarity_in_waves_and_blocks(spark):
+    """Items asked for that no rating holds, repeated rows of the mask, few pairs at a time, hot items: the pairs of the full table."""
+    rng = random.Random(12)
+    rows = {(u, i): float(rng.randrange(1, 6)) for u in range(30) for i in rng.sample(range(40), 9)}
+    ratings = spark.createDataFrame([(u, i, r) for (u, i), r in rows.items()], "user long, item long, rating double")
+    full = {tuple(r)[:2]: r.sim for r in rc.cosine_similarity(ratings).collect()}
+    asked = [(a, b) for a in range(40) for b in range(a + 1, 40) if (a + b) % 3 == 0] + [(1, 10**12), (-10**12, 3), (0, 300)]
+    mask = spark.createDataFrame(asked + asked[:50], "item_1 long, item_2 long")
+    want = {k: full[k] for k in asked if k in full}
+    for block, wave in ((2000, 200), (2, 200), (2, 10**9)):
+        got = {tuple(r)[:2]: r.sim for r in rc.masked_similarity(ratings, mask, block_size=block, way="groups", pairs_per_wave=wave).collect()}
+        assert got.keys() == want.keys() and all(close(got[k], want[k]) for k in want)
+
+
+def test_predictions_in_waves(spark, monkeypatch):
+    rng = random.Random(13)
+    rows = [(u, i, float(rng.randrange(1, 6))) for u in range(30) for i in rng.sample(range(40), 9)]
+    ratings = spark.createDataFrame(rows, "user long, item long, rating double")
+    pairs = spark.createDataFrame([(u, i) for u in range(30) for i in range(0, 40, 3)], "user long, item long")
+    for predict, key in ((rc.item_based_predict, "item"), (rc.user_based_predict, "user")):
+        over = "user" if key == "item" else "item"
+        want = {(r.user, r.item): r.prediction for r in predict(ratings, pairs, rc.cosine_similarity(ratings, key, over)).collect()}
+        for most in (500, 10**9):
+            monkeypatch.setattr(rc, "CANDIDATES_PER_WAVE", most)
+            got = {(r.user, r.item): r.prediction for r in predict(ratings, pairs).collect()}
+            assert got.keys() == want.keys() and all(close(got[k], want[k]) for k in want)
+
+
+def test_als_blocks_grow_with_the_ratings(spark, monkeypatch):
+    """A block holds a bounded number of ratings, and the model hangs on written factors, not on the blocks of the fit."""
+    from pyspark.ml import recommendation
+
+    seen, fit = [], recommendation.ALS.fit
+    monkeypatch.setattr(recommendation.ALS, "fit", lambda self, data: seen.append(self.getNumUserBlocks()) or fit(self, data))
+    monkeypatch.setattr(rc, "RATINGS_PER_BLOCK", 10)
+    train = spark.createDataFrame([(u, i, float(1 + (u * i) % 5)) for u in range(20) for i in range(10)], "user long, item long, rating double")
+    model = rc.als_fit(train, rank=2, max_iter=2)
+    assert seen == [20] and model.userFactors.inputFiles() and rc.als_predict(model, train).count() == 200
